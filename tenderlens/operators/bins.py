@@ -70,68 +70,138 @@ def collect_edges(edges_long: DataFrame) -> dict:
     return out
 
 
-def bin_index_fixed(x: Column, edges: list[float]) -> Column:
-    """H3 for fixed edges: 1 + #(edges <= x), as a balanced comparison tree."""
+def _fmt(v: float) -> str:
+    # exact round-trip literal for a double in Spark SQL
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def bin_index_fixed_sql(x: str, edges: list[float]) -> str:
+    """H3 for fixed edges as SQL: 1 + #(edges <= x) by a balanced comparison tree."""
     edges = sorted(edges)
 
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         # number of edges <= x lies in [lo, hi]
         if lo == hi:
-            return F.lit(lo + 1)
+            return str(lo + 1)
         mid = (lo + hi + 1) // 2
-        return F.when(x >= F.lit(edges[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
+        return f"CASE WHEN {x} >= {_fmt(edges[mid - 1])} THEN {tree(mid, hi)} ELSE {tree(lo, mid - 1)} END"
 
-    return F.when(x.isNull(), F.lit(None).cast("int")).otherwise(tree(0, len(edges)).cast("int"))
+    return f"CAST(CASE WHEN {x} IS NULL THEN NULL ELSE {tree(0, len(edges))} END AS INT)"
 
 
-def bin_index_equal_width(x: Column, lower: Column, upper: Column, n: int) -> Column:
+def bin_index_equal_width_sql(x: str, lower: str, upper: str, n: int) -> str:
     """H3 for equal-width edges: floor guess corrected on the neighbouring edges."""
+    lo = f"CAST({lower} AS DOUBLE)"
+    step = f"((CAST({upper} AS DOUBLE) - {lo}) / CAST({n} AS DOUBLE))"
+    g0 = f"least(greatest(floor(({x} - {lo}) / {step}), 0), {n - 1})"
+    return (f"CAST(1 + CASE WHEN {g0} >= 1 AND CAST({g0} AS DOUBLE) * {step} + {lo} > {x} THEN {g0} - 1 "
+            f"WHEN {g0} <= {n - 2} AND CAST({g0} + 1 AS DOUBLE) * {step} + {lo} <= {x} THEN {g0} + 1 "
+            f"ELSE {g0} END AS INT)")
+
+
+def bin_index_equal_width(x: Column, lower: Column, upper: Column, n: int) -> Column:
+    """Column form of :func:`bin_index_equal_width_sql` for ad-hoc use."""
     lo = lower.cast("double")
     step = (upper.cast("double") - lo) / F.lit(float(n))
     g0 = F.least(F.greatest(F.floor((x - lo) / step), F.lit(0)), F.lit(n - 1))
-
-    def edge(i):
-        return i.cast("double") * step + lo
-
-    g = (F.when((g0 >= 1) & (edge(g0) > x), g0 - 1)
-         .when((g0 <= n - 2) & (edge(g0 + 1) <= x), g0 + 1)
+    g = (F.when((g0 >= 1) & (g0.cast("double") * step + lo > x), g0 - 1)
+         .when((g0 <= n - 2) & ((g0 + 1).cast("double") * step + lo <= x), g0 + 1)
          .otherwise(g0))
     return (g + 1).cast("int")
 
 
+def _fixed_bins(df: DataFrame, x: str, fixed_edges: dict) -> tuple[DataFrame, dict]:
+    """Bucket indices for every fixed edge set with ML ``Bucketizer`` (binary search).
+
+    Returns the frame with one ``__k_<level>_<n>`` column per set and, per set,
+    the SQL that turns the bucket into ``1 + #(edges <= x)``; duplicated edges
+    (a degenerate file) are handled by a cumulative-count lookup.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    if not fixed_edges:
+        return df, {}
+    names = {k: f"__k_{k[0]}_{k[1]}" for k in fixed_edges}
+    splits, post = [], {}
+    for k, edges in fixed_edges.items():
+        e = sorted(edges)
+        uniq = sorted(set(e))
+        splits.append([float("-inf")] + uniq + [float("inf")])
+        if len(uniq) == len(e):
+            post[k] = f"CAST({names[k]} AS INT) + 1"
+        else:
+            cum = [sum(1 for v in e if v <= u) for u in uniq]
+            arr = ", ".join(str(c) for c in [0] + cum)
+            post[k] = f"element_at(array({arr}), CAST({names[k]} AS INT) + 1) + 1"
+    inputs = {k: f"__x_{k[0]}_{k[1]}" for k in fixed_edges}
+    d = df.select("*", *[F.col(x).cast("double").alias(inputs[k]) for k in fixed_edges])
+    bk = Bucketizer(splitsArray=splits, inputCols=[inputs[k] for k in fixed_edges],
+                    outputCols=[names[k] for k in fixed_edges], handleInvalid="keep")
+    out = bk.transform(d).drop(*inputs.values())
+    # NaN lands in the extra bucket of 'keep': clamp it to the last bin (as digitize + clip)
+    post = {k: f"least({v}, {len(fixed_edges[k]) + 1})" for k, v in post.items()}
+    return out, post
+
+
 def add_bin_columns(df: DataFrame, rate: str, level: str, lower: str, upper: str,
                     fixed_edges: dict, granularities=GRANULARITIES) -> DataFrame:
-    """H6 per row: fixed edges for levels with an edge set, equal width otherwise."""
-    x = F.col(rate).cast("double")
-    cols = []
+    """H6 per row: fixed edges for levels with an edge set, equal width otherwise.
+
+    Fixed sets use ``Bucketizer`` (binary search in the JVM); the per-row
+    equal-width index is a short arithmetic SQL expression.
+    """
+    x = f"CAST({_q(rate)} AS DOUBLE)"
+    d, post = _fixed_bins(df, rate, fixed_edges)
+    exprs = []
     for n in granularities:
-        expr = bin_index_equal_width(x, F.col(lower), F.col(upper), n)
-        for (lv, gn), edges in sorted(fixed_edges.items(), reverse=True):
+        expr = bin_index_equal_width_sql(x, _q(lower), _q(upper), n)
+        for (lv, gn), sql in sorted(post.items()):
             if gn == n:
-                expr = F.when(F.col(level) == lv, bin_index_fixed(x, edges)).otherwise(expr)
-        cols.append(expr.alias(f"__b{n}"))
-    return df.select("*", *cols)
+                expr = f"CASE WHEN {_q(level)} = {lv} THEN {sql} ELSE {expr} END"
+        exprs.append(f"CAST(CASE WHEN {x} IS NULL THEN NULL ELSE {expr} END AS INT) AS __b{n}")
+    tmp = [c for c in d.columns if c.startswith("__k_")]
+    return d.selectExpr("*", *exprs).drop(*tmp)
+
+
+def long_bin_counts(binned: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
+    """(keys, n, bin, c): one row per non-empty bin; 4 hash updates per input row."""
+    pairs = ", ".join(f"named_struct('n', {n}, 'bin', __b{n})" for n in granularities)
+    return (binned.selectExpr(*[_q(k) for k in keys], f"inline(array({pairs}))")
+            .groupBy(*keys, "n", "bin").agg(F.count(F.lit(1)).alias("c")))
 
 
 def bin_count_aggs(granularities=GRANULARITIES) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("__total")]
     for n in granularities:
-        b = F.col(f"__b{n}")
-        aggs += [F.count_if(b == i).alias(f"__c{target_name(n, i)}") for i in range(1, n + 1)]
+        aggs += [F.expr(f"count_if(__b{n} = {i}) AS __c{target_name(n, i)}") for i in range(1, n + 1)]
     return aggs
 
 
 def shares_from_counts(counts: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
-    total = F.col("__total").cast("double")
-    shares = [(F.col(f"__c{target_name(n, i)}") / total).alias(target_name(n, i))
+    shares = [f"__c{target_name(n, i)} / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
               for n in granularities for i in range(1, n + 1)]
-    return counts.select(*keys, *shares)
+    return counts.selectExpr(*[_q(k) for k in keys], *shares)
 
 
 def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
-    """H5: one row per key with one share column per (granularity, bin)."""
-    counts = binned.groupBy(*keys).agg(*bin_count_aggs(granularities))
-    return shares_from_counts(counts, keys, granularities)
+    """H5: one row per key with one share column per (granularity, bin).
+
+    Long counts first (partial aggregation: a key with very many rows sends
+    one row per non-empty bin and task), then per key a map of at most
+    sum(granularities) entries -- a fixed bound -- read out into columns.
+    """
+    counts = long_bin_counts(binned, keys, granularities)
+    first = granularities[0]
+    per_key = counts.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.format_string("%03d_%03d", "n", "bin"), "c"))).alias("__m"),
+        F.sum(F.when(F.col("n") == first, F.col("c"))).alias("__total"))
+    shares = [f"coalesce(__m['{target_name(n, i)}'], 0) / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
+              for n in granularities for i in range(1, n + 1)]
+    return per_key.selectExpr(*[_q(k) for k in keys], *shares)
 
 
 def wide_to_long(wide: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:

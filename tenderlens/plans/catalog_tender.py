@@ -196,7 +196,7 @@ SELECT * FROM targets""")
 def calculate_target_q(spark, sf):
     n, b = _ctx(spark, sf)
     nt = TP.clean_notices(n)
-    return round_doubles(TP.calculate_target(nt, TP.parsed_bids(b)))
+    return round_doubles(TP.calculate_target(nt, TP.parsed_bids(b), hot_source=b))
 
 
 @query("bin_shares_long", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
@@ -223,7 +223,7 @@ SELECT total_share, count(*) AS n_notices FROM s GROUP BY total_share""")
 def target_mass_check_q(spark, sf):
     """Row sum of the 180 shares (expected 4.0), then value counts."""
     n, b = _ctx(spark, sf)
-    t = round_doubles(TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b)))
+    t = round_doubles(TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b), hot_source=b))
     from functools import reduce
     s = reduce(lambda a, c: a + c, [F.col(target_name(g, i)) for g in GRANULARITIES for i in range(1, g + 1)])
     return t.select(F.round(s, 6).alias("total_share")).groupBy("total_share").agg(

@@ -20,7 +20,7 @@ from tenderlens.functions.expr import (GRANULARITIES, log1p_strict, parse_rate,
                                        strip_whitespace, a_value_ratio)
 from tenderlens.operators import bins as B
 from tenderlens.operators.clean import dedupe_keep_first, drop_null_keys, fill_mean
-from tenderlens.operators.skew import salted_join
+from tenderlens.operators.skew import hot_keys, salted_join
 from tenderlens.roles import TenderColumns, require_columns
 
 DATASET = "dataset"
@@ -102,7 +102,8 @@ def default_edges(spark) -> dict:
 
 def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns = TenderColumns(),
                      edges: dict | None = None, granularities=GRANULARITIES,
-                     salt_buckets: int = 16, hot: list | None = None, **hot_kw) -> DataFrame:
+                     salt_buckets: int = 16, hot: list | None = None, hot_source: DataFrame | None = None,
+                     **hot_kw) -> DataFrame:
     """H6: per-notice shares for all granularities, one column per ``NNN_iii``.
 
     Levels 2/3 use the fixed edge sets, level 0 equal-width edges between the
@@ -110,9 +111,13 @@ def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns =
     bounds give no targets (see :func:`range_rejects`).
     """
     edges = default_edges(nt.sparkSession) if edges is None else edges
+    if hot is None:
+        # hot keys from the key column alone (no parsing needed for a sample)
+        src = bids_long if hot_source is None else hot_source
+        hot = hot_keys(src.select(cols.key).dropna(), cols.key, **hot_kw)
     nb = notice_bounds(nt, cols).filter((F.col("__level") > 0) | F.col("__valid"))
     joined = salted_join(bids_long.select(cols.key, cols.rate), nb, cols.key, "inner",
-                         salt_buckets=salt_buckets, hot=hot, **hot_kw)
+                         salt_buckets=salt_buckets, hot=hot)
     binned = B.add_bin_columns(joined, cols.rate, "__level", "__lower", "__upper", edges, granularities)
     return B.bin_shares_wide(binned, [cols.key], granularities)
 
@@ -185,5 +190,5 @@ def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderC
     pb = parsed_bids(bids, cols)
     counts = pb.groupBy(cols.key).agg(F.count(F.lit(1)).alias("n_rates"))
     merged = separate(nt.join(counts, cols.key, "inner"), cols)
-    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, **hot_kw)
+    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, hot_source=bids, **hot_kw)
     return process_notices(merged, targets, cols, categories=categories, text_features=text_features)
