@@ -228,3 +228,49 @@ def target_mass_check_q(spark, sf):
     s = reduce(lambda a, c: a + c, [F.col(target_name(g, i)) for g in GRANULARITIES for i in range(1, g + 1)])
     return t.select(F.round(s, 6).alias("total_share")).groupBy("total_share").agg(
         F.count(F.lit(1)).alias("n_notices"))
+
+
+# Fixed values for the oracle only: the category domains of the driver tables
+# (order priorities without spaces, nation names, market segments and order
+# statuses). The Spark side finds its categories from the data.
+ORACLE_CATEGORIES = {
+    C.agency: ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOTSPECIFIED", "5-LOW"],
+    C.region: [f"NATION_{i}" for i in range(25)],
+    C.mark: ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "F", "O", "P"],
+}
+NORMS = {C.base: "norm_log_기초금액", C.estimate: "norm_log_예정가격", C.bid_rate: "norm_log_투찰률(%)",
+         C.a_value: "norm_A값/기초금액"}
+
+
+def _transform_sql() -> str:
+    lg = (f"SELECT m.*, ln(1 + {q(C.base)}) AS l0, ln(1 + {q(C.estimate)}) AS l1, ln(1 + {q(C.bid_rate)}) AS l2, "
+          f"{q(C.a_value)} / (1 + ln(1 + {q(C.base)})) AS l3 FROM m")
+    st = ", ".join(f"avg(l{i}) AS m{i}, stddev_pop(l{i}) AS s{i}" for i in range(4))
+    norm = ", ".join(f"{r(f'CASE WHEN s{i} IS NULL OR s{i} = 0 THEN 0 ELSE (l{i} - m{i}) / s{i} END')} AS {q(name)}"
+                     for i, name in enumerate(NORMS.values()))
+    hots = ", ".join(f"CAST(list_contains(string_split({q(c)}, '/'), '{v}') AS INTEGER) AS {q(f'{c}_{v}')}"
+                     for c, vals in ORACLE_CATEGORIES.items() for v in vals)
+    return f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
+{TARGETS_SQL.strip()},
+cnt AS (SELECT {KEY}, count(*) AS n_rates FROM pb GROUP BY {KEY}),
+m AS (SELECT nt.*, CASE WHEN {q(C.range_text)} = '+3%~-3%' THEN 'range3'
+                        WHEN {q(C.range_text)} = '+2%~-2%' THEN 'range2' ELSE 'others' END AS dataset
+      FROM nt JOIN cnt ON nt.{KEY} = cnt.{KEY}),
+lg AS ({lg}),
+st AS (SELECT dataset, {st} FROM lg GROUP BY dataset)
+SELECT lg.{KEY}, lg.{q(C.range_text)}, lg.dataset, {norm}, {hots}, targets.* EXCLUDE ({KEY})
+FROM lg JOIN st ON lg.dataset = st.dataset JOIN targets ON targets.{KEY} = lg.{KEY}"""
+
+
+@query("transform", _transform_sql())
+def transform_q(spark, sf):
+    """H8 flagship: cleaned notices x parsed bids -> features + 180 targets per notice."""
+    n, b = _ctx(spark, sf)
+    return round_doubles(TP.transform(n, b))
+
+
+@query("process_notices", None)
+def process_notices_q(spark, sf):
+    """H7 with the title text features (hashed embedding -> PCA, 20 columns)."""
+    n, b = _ctx(spark, sf)
+    return round_doubles(TP.transform(n, b, text_features=20))
