@@ -28,9 +28,11 @@ def unigrams_bigrams(t: F.Column) -> F.Column:
 
 def term_counts(df: DataFrame, key: str, text: str, ngrams: bool = True) -> DataFrame:
     """(key, term, tf) for every document and term."""
-    t = tokens(text)
+    # tokens are materialised once per document; the bigram lambda indexes that column
+    tok = df.select(key, tokens(text).alias("__tok"))
+    t = F.col("__tok")
     terms = unigrams_bigrams(t) if ngrams else t
-    return (df.select(key, F.explode(terms).alias("term"))
+    return (tok.select(key, F.explode(terms).alias("term"))
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

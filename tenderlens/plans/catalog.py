@@ -31,7 +31,10 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name).cast("double") + F.lit(0.0), digits).alias(f.name))
+            # multiply, round to an integer, divide: the same IEEE steps in both engines
+            scale = float(10 ** digits)
+            out.append((F.round(F.col(f.name).cast("double") * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0))
+                       .alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -43,7 +46,8 @@ def q(name: str) -> str:
 
 
 def r(expr: str, digits: int = DIGITS) -> str:
-    return f"round(CAST({expr} AS DOUBLE) + 0.0, {digits})"
+    scale = f"{float(10 ** digits)!r}"
+    return f"(round(CAST({expr} AS DOUBLE) * CAST({scale} AS DOUBLE)) / CAST({scale} AS DOUBLE) + 0.0)"
 
 
 def strip_sql(col: str) -> str:
