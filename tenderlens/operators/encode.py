@@ -35,6 +35,21 @@ def categories_of(df: DataFrame, c: str, sep: str | None = "/", max_categories:
     return [r[0] for r in rows]
 
 
+def categories_of_many(df: DataFrame, cols: list[str], sep: str = "/",
+                       max_categories: int = MAX_DENSE_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted distinct parts of several multi-valued columns in ONE job (bounded per column)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])
+    d = (df.select(F.explode(pairs).alias("p"))
+         .select(F.col("p.c").alias("c"), F.explode(F.split(F.col("p.v"), _quote_regex(sep))).alias("v"))
+         .filter(F.col("v").isNotNull() & (F.col("v") != "")).distinct())
+    rows = d.limit(max_categories * len(cols) + 1).collect()
+    out = {c: sorted(r["v"] for r in rows if r["c"] == c) for c in cols}
+    too_many = [c for c, v in out.items() if len(v) > max_categories]
+    if too_many or len(rows) > max_categories * len(cols):
+        raise ValueError(f"{too_many}: more than {max_categories} categories; use multi_hot_long")
+    return out
+
+
 def multi_hot(df: DataFrame, c: str, sep: str = "/", categories: list[str] | None = None,
               prefix: str | None = None) -> DataFrame:
     """One 0/1 column ``<col>_<part>`` per distinct part; '' is not a category."""

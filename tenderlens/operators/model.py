@@ -43,11 +43,17 @@ def fit_linear_multi(df: DataFrame, features: list[str], targets: list[str], rid
 
     Returns {"features", "targets", "coef" (p x t), "intercept" (t)}.
     """
+    from pyspark import StorageLevel
     cols = features + targets
-    d = assemble(df.dropna(subset=targets), cols, "__v")
-    st = d.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("__v")).alias("s")).first()["s"]
-    mean, var, n = np.array(st["mean"].toArray()), np.array(st["variance"].toArray()), float(st["count"])
-    corr = np.array(Correlation.corr(d, "__v").first()[0].toArray())
+    # the assembled [X | Y] vectors are read twice (moments, correlation): persist them once
+    d = assemble(df.dropna(subset=targets).select(*cols), cols, "__v").select("__v").persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        st = d.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("__v")).alias("s")).first()["s"]
+        mean, var, n = np.array(st["mean"].toArray()), np.array(st["variance"].toArray()), float(st["count"])
+        corr = np.array(Correlation.corr(d, "__v").first()[0].toArray())
+    finally:
+        d.unpersist()
     sd = np.sqrt(np.maximum(var, 0.0) * (n - 1) / n)
     corr = np.nan_to_num(corr, nan=0.0)
     cov = corr * np.outer(sd, sd)
@@ -82,16 +88,24 @@ def targets_long(df: DataFrame, key: str, targets: list[str]) -> DataFrame:
 
 
 def fit_tree(df: DataFrame, features: list[str], target: str, kind: str = "gbt", seed: int = 42, **params):
-    """Spark ML gradient-boosted trees or random forest for one target."""
+    """Spark ML gradient-boosted trees or random forest for one target.
+
+    The assembled rows are persisted for the iterations and released after.
+    """
+    from pyspark import StorageLevel
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-    d = assemble(df.dropna(subset=[target]), features)
+    d = assemble(df.dropna(subset=[target]).select(*features, target), features).select(
+        "features", target).persist(StorageLevel.MEMORY_AND_DISK)
     if kind == "gbt":
         est = GBTRegressor(featuresCol="features", labelCol=target, seed=seed,
                            maxIter=params.get("maxIter", 20), maxDepth=params.get("maxDepth", 4))
     else:
         est = RandomForestRegressor(featuresCol="features", labelCol=target, seed=seed,
                                     numTrees=params.get("numTrees", 100), maxDepth=params.get("maxDepth", 5))
-    return est.fit(d)
+    try:
+        return est.fit(d)
+    finally:
+        d.unpersist()
 
 
 def predict_tree_long(df: DataFrame, key: str, features: list[str], model, target: str, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ the vector width, not by the row count).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -49,7 +50,7 @@ def pca_fit(df: DataFrame, c: str, k: int):
     centred = v.select(array_to_vector(F.zip_with(vector_to_array(c), F.array(*[F.lit(x) for x in mean]),
                                                   lambda a, m: a - m)).alias(c))
     model = PCA(k=k, inputCol=c, outputCol="__pca").fit(centred)
-    pc = model.pc.toArray()  # d x k
+    pc = np.array(model.pc.toArray(), copy=True)  # d x k
     for j in range(k):
         col = pc[:, j]
         if col[abs(col).argmax()] < 0:

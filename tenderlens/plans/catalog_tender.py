@@ -59,12 +59,17 @@ binned AS (SELECT pb.{KEY}, {ORDER}, nb.lvl, pb.{q(C.rate)},
            FROM pb JOIN nb ON pb.{KEY} = nb.{KEY}
            WHERE nb.lvl > 0 OR (nb.lo IS NOT NULL AND nb.lo < nb.hi))"""
 
-TARGETS_SQL = f"""
-targets AS (SELECT {KEY}, {", ".join(f"{r(f'count_if(b{n} = {i}) / count(*)')} AS {q(target_name(n, i))}"
+def targets_sql(rounded: bool = True) -> str:
+    rr = r if rounded else (lambda e: e)
+    return f"""
+targets AS (SELECT {KEY}, {", ".join(f"{rr(f'count_if(b{n} = {i}) / count(*)')} AS {q(target_name(n, i))}"
                                      for n in GRANULARITIES for i in range(1, n + 1))}
             FROM binned GROUP BY {KEY})"""
 
 
+TARGETS_SQL = targets_sql(True)
+
+
 def _ctx(spark, sf):
     return V.notices(spark, sf), V.bids(spark, sf)
 

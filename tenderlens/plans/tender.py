@@ -158,14 +158,17 @@ def process_notices(df: DataFrame, targets: DataFrame | None, cols: TenderColumn
     dataset on its own). ``text_features`` > 0 adds hashed-embedding + PCA
     columns of the title (G12 -> G13).
     """
-    from tenderlens.operators.encode import multi_hot
+    from tenderlens.operators.encode import categories_of_many, multi_hot
 
+    hot_cols = [cols.agency, cols.region, cols.mark]
+    if categories is None or any(c not in categories for c in hot_cols):
+        categories = {**categories_of_many(df, hot_cols), **(categories or {})}
     amounts = [cols.base, cols.estimate, cols.bid_rate]
     d = df.withColumns({c: log1p_strict(c) for c in amounts})
     d = d.withColumn(cols.a_value, a_value_ratio(cols.a_value, cols.base))
     d = standardize_by(d, DATASET, {**{c: f"norm_log_{c}" for c in amounts}, cols.a_value: "norm_A값/기초금액"})
-    for c in (cols.agency, cols.region, cols.mark):
-        d = multi_hot(d, c, categories=(categories or {}).get(c))
+    for c in hot_cols:
+        d = multi_hot(d, c, categories=categories[c])
     if text_features:
         from tenderlens.operators.text import reduced_text_features
         red = reduced_text_features(d.select(cols.key, cols.title), cols.key, cols.title, k=text_features)
