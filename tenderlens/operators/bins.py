@@ -50,6 +50,23 @@ def edge_file_table(spark: SparkSession, levels=(2, 3), granularities=GRANULARIT
     return seq.select("level", "n", "seq", ((F.col("seq").cast("double") * step + lo) / 100).alias("upper"))
 
 
+def rule_edges(levels=(2, 3), granularities=GRANULARITIES) -> dict:
+    """The stand-in edge sets computed directly: {(level, n): sorted inner edges}.
+
+    Same IEEE double operations as :func:`edge_file_table` followed by
+    :func:`load_bin_edges` (upper = (i*step + lo)/100 for i = 1..n, last row
+    dropped, x100), so the values are bit-identical without running a job.
+    """
+    out = {}
+    for lv in levels:
+        lo, hi = -float(lv), float(lv)
+        for n in granularities:
+            step = (hi - lo) / float(n)
+            uppers = [(float(i) * step + lo) / 100 for i in range(1, n + 1)]
+            out[(lv, n)] = sorted(u * 100 for u in uppers[:-1])
+    return out
+
+
 def load_bin_edges(edge_table: DataFrame) -> DataFrame:
     """Per (level, n): drop the last file row, sort, x100 -> (level, n, idx, edge)."""
     last = edge_table.groupBy("level", "n").agg(F.max("seq").alias("last_seq"))

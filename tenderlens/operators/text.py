@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlens.functions.expr import normalize_text
+from tenderlens.sources.views import spread
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -45,7 +46,7 @@ def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_d
     vocabulary. Every document gets a row per vocabulary term (zeros kept).
     The gate (>= 30 rows, > 100 characters in total) returns no rows when not met.
     """
-    d = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t"))
+    d = spread(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")))
     gate = d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("__t")).alias("chars"))
     tc = term_counts(d, key, "__t")
     dfc = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
@@ -86,7 +87,7 @@ def embed_text_long(df: DataFrame, key: str, text: str, dim: int = 64) -> DataFr
     A model-based encoder can replace it (see :func:`embed_with`); this one
     needs no model files and runs fully in the JVM.
     """
-    d = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t"))
+    d = spread(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")))
     tok = d.select(key, F.explode(tokens("__t")).alias("tok"))
     cnt = tok.groupBy(key, hash_bucket(F.col("tok"), dim).alias("dim")).agg(F.count(F.lit(1)).alias("c"))
     norm = cnt.groupBy(key).agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("__n"))

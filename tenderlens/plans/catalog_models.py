@@ -47,13 +47,20 @@ def _targets(spark, sf):
 
 
 def _preds(spark, sf):
+    """Long predictions (model, target, key, y, p) of the MEAN and PRIOR candidates.
+
+    One unpivot of the targets; per-target training means are 180 rows
+    (broadcast); no cross join and no join of two long tables.
+    """
     t = MD.hash_split(_targets(spark, sf), C.key)
-    train, test = t.filter(~F.col("is_test")), t.filter(F.col("is_test"))
-    y = MD.targets_long(test, C.key, TARGETS)
-    mean = MD.mean_baseline_long(train, test, C.key, TARGETS)
-    prior = y.select(F.lit("PRIOR").alias("model"), "target", C.key,
-                     (F.lit(1.0) / F.split("target", "_").getItem(0).cast("int")).alias("p"))
-    return mean.unionByName(prior).join(y, ["target", C.key])
+    yl = t.select(C.key, "is_test", *TARGETS).unpivot([C.key, "is_test"], TARGETS, "target", "y")
+    means = yl.filter(~F.col("is_test")).groupBy("target").agg(F.avg("y").alias("p_mean"))
+    test = yl.filter(F.col("is_test")).join(F.broadcast(means), "target", "left")
+    prior = F.lit(1.0) / F.split("target", "_").getItem(0).cast("int")
+    both = test.select("target", C.key, "y", F.array(
+        F.struct(F.lit("MEAN").alias("model"), F.col("p_mean").alias("p")),
+        F.struct(F.lit("PRIOR").alias("model"), prior.alias("p"))).alias("__m"))
+    return both.select("target", C.key, "y", F.inline("__m")).select("model", "target", C.key, "y", "p")
 
 
 def _metrics(spark, sf):
