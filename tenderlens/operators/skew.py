@@ -49,5 +49,5 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     salt_big = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salt_buckets))).otherwise(F.lit(0))
     salts_small = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     b = big.withColumn(SALT, salt_big.cast("int"))
-    s = small.withColumn(SALT, F.explode(salts_small).cast("int"))
+    s = small.withColumn(SALT, F.explode(salts_small.cast("array<int>")))
     return b.join(s, [key, SALT], how).drop(SALT)
