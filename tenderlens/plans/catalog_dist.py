@@ -146,3 +146,26 @@ def histogram_q(spark, sf):
 @query("density_grid", None)
 def density_grid_q(spark, sf):
     return round_doubles(E.density_grid(_ev(spark, sf), "value"))
+
+
+def _wide_sql() -> str:
+    from tenderlens.functions.expr import GRANULARITIES, target_name
+    from tenderlens.plans.catalog import q
+    bins = ", ".join(
+        f"1 + len(list_filter(range(1, {n}), lambda i: CAST(i AS DOUBLE) * ((hi - lo) / CAST({n} AS DOUBLE)) + lo"
+        f" <= value)) AS b{n}" for n in GRANULARITIES)
+    shares = ", ".join(f"{r(f'count_if(b{n} = {i}) / count(*)')} AS {q(target_name(n, i))}"
+                       for n in GRANULARITIES for i in range(1, n + 1))
+    return f"""WITH e AS (SELECT user_id, value, CAST(0 AS DOUBLE) AS lo, CAST(500 AS DOUBLE) AS hi FROM events
+                WHERE value IS NOT NULL),
+b AS (SELECT user_id, {bins} FROM e)
+SELECT user_id, {shares} FROM b GROUP BY user_id"""
+
+
+@query("bin_shares_wide", _wide_sql())
+def bin_shares_wide_q(spark, sf):
+    """H5: per user, shares of values in equal-width bins of [0, 500] at all four granularities."""
+    from tenderlens.operators import bins as B
+    ev = _ev(spark, sf).filter(F.col("value").isNotNull()).select(
+        "user_id", "value", F.lit(0).alias("lvl"), F.lit(0.0).alias("lo"), F.lit(500.0).alias("hi"))
+    return round_doubles(B.bin_shares_wide(B.add_bin_columns(ev, "value", "lvl", "lo", "hi", {}), ["user_id"]))

@@ -179,3 +179,39 @@ def run_summary_q(spark, sf):
     rt = spark.createDataFrame(runs, "model_type string, dataset string, prefix string, success boolean, "
                                      "models_trained long")
     return run_summary(rt)
+
+
+def _bid_table(spark, sf):
+    """lineitem with names that carry the role keywords (amounts, dates)."""
+    li = V.table(spark, sf, "lineitem")
+    return li.select(F.col("l_orderkey").alias("notice_no"), *V.BID_ORDER[:3],
+                     F.col("l_extendedprice").alias("bid_amount"), F.col("l_quantity").alias("qty"),
+                     (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("net_price"),
+                     F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"))
+
+
+def _bid_roles():
+    from tenderlens.roles import ColumnRoles
+    return ColumnRoles(key="notice_no", dedupe_key=None, essential=("notice_no",), target=("net_price",),
+                       required=("notice_no", "bid_amount"), exclude_keywords=("id", "ID", "번호", "index", "_no"))
+
+
+@query("preprocess", None)
+def preprocess_q(spark, sf):
+    """P2 on the bid-like lineitem table (no dedupe key: bids keep every row, Q21)."""
+    from tenderlens.plans import preprocess as PP
+    return round_doubles(PP.run(_bid_table(spark, sf), "bid_data_lineitem", _bid_roles()))
+
+
+@query("custom_hook", None)
+def custom_hook_q(spark, sf):
+    """A user hook ``(df, name, roles) -> df`` runs after the feature stage."""
+    from tenderlens.plans import preprocess as PP
+
+    def hook(df, name, roles):
+        return df.withColumn("hook_dataset", F.lit(name)).withColumn(
+            "amount_per_qty", F.try_divide(F.col("bid_amount"), F.col("qty")))
+
+    out = PP.run(_bid_table(spark, sf), "bid_data_lineitem", _bid_roles(), hook=hook)
+    return round_doubles(out.select("notice_no", "l_linenumber", "hook_dataset", "amount_per_qty"))
