@@ -53,9 +53,11 @@ def _preds(spark, sf):
     (broadcast); no cross join and no join of two long tables.
     """
     t = MD.hash_split(_targets(spark, sf), C.key)
-    yl = t.select(C.key, "is_test", *TARGETS).unpivot([C.key, "is_test"], TARGETS, "target", "y")
-    means = yl.filter(~F.col("is_test")).groupBy("target").agg(F.avg("y").alias("p_mean"))
-    test = yl.filter(F.col("is_test")).join(F.broadcast(means), "target", "left")
+    # training means: one wide aggregation (a single row), unpivoted to 180 rows
+    means = t.filter(~F.col("is_test")).agg(*[F.avg(F.col(f"`{x}`")).alias(x) for x in TARGETS]).unpivot(
+        [], TARGETS, "target", "p_mean")
+    yl = t.filter(F.col("is_test")).select(C.key, *TARGETS).unpivot([C.key], TARGETS, "target", "y")
+    test = yl.join(F.broadcast(means), "target", "left")
     prior = F.lit(1.0) / F.split("target", "_").getItem(0).cast("int")
     both = test.select("target", C.key, "y", F.array(
         F.struct(F.lit("MEAN").alias("model"), F.col("p_mean").alias("p")),

@@ -196,5 +196,10 @@ def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderC
     pb = parsed_bids(bids, cols)
     counts = pb.groupBy(cols.key).agg(F.count(F.lit(1)).alias("n_rates"))
     merged = separate(nt.join(counts, cols.key, "inner"), cols)
+    if categories is None:
+        # category lists from the cleaned notices (one job, no bid pass); a
+        # category only found on notices without bids gives an all-zero column
+        from tenderlens.operators.encode import categories_of_many
+        categories = categories_of_many(nt, [cols.agency, cols.region, cols.mark])
     targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, hot_source=bids, **hot_kw)
     return process_notices(merged, targets, cols, categories=categories, text_features=text_features)
