@@ -28,16 +28,17 @@ def query(name: str, sql: str | None):
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    out = []
+    """Round double columns the same way as :func:`r` (one SQL-text projection)."""
+    scale = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
+    exprs = []
     for f in df.schema.fields:
+        name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             # multiply, round to an integer, divide: the same IEEE steps in both engines
-            scale = float(10 ** digits)
-            out.append((F.round(F.col(f.name).cast("double") * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0))
-                       .alias(f.name))
+            exprs.append(f"round(CAST({name} AS DOUBLE) * {scale}, 0) / {scale} + CAST(0.0 AS DOUBLE) AS {name}")
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            exprs.append(name)
+    return df.selectExpr(*exprs)
 
 
 def q(name: str) -> str:
