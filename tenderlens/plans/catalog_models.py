@@ -52,7 +52,9 @@ def _preds(spark, sf):
     One unpivot of the targets; per-target training means are 180 rows
     (broadcast); no cross join and no join of two long tables.
     """
-    t = MD.hash_split(_targets(spark, sf), C.key)
+    from tenderlens.session import cut_lineage
+    # the split target table feeds two branches (training means, test rows): write it once
+    t = cut_lineage(MD.hash_split(_targets(spark, sf), C.key))
     # training means: one wide aggregation (a single row), unpivoted to 180 rows
     means = t.filter(~F.col("is_test")).agg(*[F.avg(F.col(f"`{x}`")).alias(x) for x in TARGETS]).unpivot(
         [], TARGETS, "target", "p_mean")
