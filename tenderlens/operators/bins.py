@@ -204,7 +204,8 @@ def shares_from_counts(counts: DataFrame, keys: list[str], granularities=GRANULA
     return counts.selectExpr(*[_q(k) for k in keys], *shares)
 
 
-def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
+def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARITIES,
+                    total_col: str | None = None) -> DataFrame:
     """H5: one row per key with one share column per (granularity, bin).
 
     Long counts first (partial aggregation: a key with very many rows sends
@@ -218,7 +219,8 @@ def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARIT
         F.sum(F.when(F.col("n") == first, F.col("c"))).alias("__total"))
     shares = [f"coalesce(__m['{target_name(n, i)}'], 0) / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
               for n in granularities for i in range(1, n + 1)]
-    return per_key.selectExpr(*[_q(k) for k in keys], *shares)
+    extra = [f"__total AS {_q(total_col)}"] if total_col else []
+    return per_key.selectExpr(*[_q(k) for k in keys], *shares, *extra)
 
 
 def wide_to_long(wide: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:

@@ -106,7 +106,7 @@ def default_edges(spark=None) -> dict:
 def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns = TenderColumns(),
                      edges: dict | None = None, granularities=GRANULARITIES,
                      salt_buckets: int = 16, hot: list | None = None, hot_source: DataFrame | None = None,
-                     **hot_kw) -> DataFrame:
+                     total_col: str | None = None, **hot_kw) -> DataFrame:
     """H6: per-notice shares for all granularities, one column per ``NNN_iii``.
 
     Levels 2/3 use the fixed edge sets, level 0 equal-width edges between the
@@ -122,7 +122,7 @@ def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns =
     joined = salted_join(bids_long.select(cols.key, cols.rate), nb, cols.key, "inner",
                          salt_buckets=salt_buckets, hot=hot)
     binned = B.add_bin_columns(joined, cols.rate, "__level", "__lower", "__upper", edges, granularities)
-    return B.bin_shares_wide(binned, [cols.key], granularities)
+    return B.bin_shares_wide(binned, [cols.key], granularities, total_col=total_col)
 
 
 def range_rejects(nt: DataFrame, cols: TenderColumns = TenderColumns()) -> DataFrame:
@@ -186,20 +186,25 @@ def process_notices(df: DataFrame, targets: DataFrame | None, cols: TenderColumn
 
 def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderColumns(),
               edges: dict | None = None, categories: dict[str, list[str]] | None = None,
-              text_features: int = 0, hot: list | None = None, **hot_kw) -> DataFrame:
+              text_features: int = 0, hot: list | None = None, materialize: bool = True, **hot_kw) -> DataFrame:
     """H8: the whole tender plan; one DataFrame with a ``dataset`` column.
 
-    Write it with :func:`tenderlens.sources.files.write_datasets` (one folder
-    per dataset) or filter by ``dataset`` for the three reference datasets.
+    Bids are parsed once: the per-notice bid count comes with the target
+    totals, and the inner join with the targets keeps exactly the notices
+    that have parsed bids. With ``materialize`` (default) the per-notice base
+    table (cleaned notices + targets) is written once as a Parquet table in
+    ``spark.checkpoint.dir``: the per-dataset statistics, the category lists
+    and the final projection all read it, so the bid join and the 180-share
+    aggregation run once. Write the result with
+    :func:`tenderlens.sources.files.write_datasets` or filter by ``dataset``.
     """
+    from tenderlens.session import cut_lineage
+    keep = cut_lineage if materialize else (lambda d: d)
     nt = clean_notices(notices, cols)
     pb = parsed_bids(bids, cols)
-    counts = pb.groupBy(cols.key).agg(F.count(F.lit(1)).alias("n_rates"))
-    merged = separate(nt.join(counts, cols.key, "inner"), cols)
+    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, hot_source=bids, total_col="n_rates", **hot_kw)
+    base = keep(separate(nt.join(targets, cols.key, "inner"), cols))
     if categories is None:
-        # category lists from the cleaned notices (one job, no bid pass); a
-        # category only found on notices without bids gives an all-zero column
         from tenderlens.operators.encode import categories_of_many
-        categories = categories_of_many(nt, [cols.agency, cols.region, cols.mark])
-    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, hot_source=bids, **hot_kw)
-    return process_notices(merged, targets, cols, categories=categories, text_features=text_features)
+        categories = categories_of_many(base, [cols.agency, cols.region, cols.mark])
+    return process_notices(base, None, cols, categories=categories, text_features=text_features)

@@ -59,7 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    One job (compute + write); later reads get column pruning and filter
+    pushdown, and a lost executor only re-reads files instead of recomputing
+    the lineage. Never ``localCheckpoint`` (executor-local storage).
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
