@@ -45,25 +45,41 @@ def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_d
     (ties by term); idf = ln((1+n)/(1+df)) + 1; rows L2-normalised over the
     vocabulary. Every document gets a row per vocabulary term (zeros kept).
     The gate (>= 30 rows, > 100 characters in total) returns no rows when not met.
+
+    Two passes over the texts: the first finds the vocabulary with its
+    document frequencies (at most ``max_features`` rows reach the driver),
+    the second counts only those terms per document.
     """
     d = spread(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")))
-    gate = d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("__t")).alias("chars"))
+    spark = df.sparkSession
+    gate = d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("__t")).alias("chars")).first()
+    n, chars = int(gate["n"]), int(gate["chars"] or 0)
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, term string, tfidf double"
+    if n < min_rows or chars <= min_chars:
+        return spark.createDataFrame([], schema)
     tc = term_counts(d, key, "__t")
     dfc = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
-    vocab = dfc.filter(F.col("df") >= min_df).orderBy(F.col("tot").desc(), "term").limit(max_features)
-    vocab = vocab.crossJoin(F.broadcast(gate)).filter((F.col("n") >= min_rows) & (F.col("chars") > min_chars))
-    # the vocabulary has at most max_features rows: broadcast is bounded
-    vb = F.broadcast(vocab.select("term", "df", "n"))
-    hits = tc.join(vb, "term", "inner")
-    idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = hits.select(key, "term", (F.col("tf") * idf).alias("w"))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__norm"))
-    # zero rows for documents without a vocabulary term, via a bounded expand (<= max_features per doc)
-    terms = vocab.select(F.collect_list("term").alias("__terms"))
-    allrows = d.select(key).crossJoin(F.broadcast(terms)).select(key, F.explode("__terms").alias("term"))
-    j = allrows.join(w, [key, "term"], "left").join(norm, key, "left")
-    val = F.when(F.col("w").isNull(), F.lit(0.0)).otherwise(F.col("w") / F.col("__norm"))
-    return j.select(key, "term", val.alias("tfidf"))
+    vocab = [(r["term"], int(r["df"])) for r in
+             dfc.filter(F.col("df") >= min_df).orderBy(F.col("tot").desc(), "term").limit(max_features).collect()]
+    if not vocab:
+        return spark.createDataFrame([], schema)
+    import math
+    idf = {t: math.log((1.0 + n) / (1.0 + dfv)) + 1.0 for t, dfv in vocab}
+    terms = [t for t, _ in vocab]
+    idf_map = F.create_map(*[x for t in terms for x in (F.lit(t), F.lit(idf[t]))])
+    # pass 2: only vocabulary terms survive the explode
+    hits = (d.select(key, tokens("__t").alias("__tok"))
+            .select(key, F.explode(unigrams_bigrams(F.col("__tok"))).alias("term"))
+            .filter(F.col("term").isin(terms))
+            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    w = hits.select(key, "term", (F.col("tf") * idf_map[F.col("term")]).alias("w"))
+    per_doc = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("__m"))
+    per_doc = per_doc.select(key, "__m", F.sqrt(F.aggregate(F.map_values("__m"), F.lit(0.0),
+                                                            lambda acc, x: acc + x * x)).alias("__norm"))
+    docs = d.select(key).join(per_doc, key, "left")
+    rows = docs.select(key, "__m", "__norm", F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
+    val = F.coalesce(rows["__m"][F.col("term")] / F.col("__norm"), F.lit(0.0))
+    return rows.select(key, "term", val.alias("tfidf"))
 
 
 def tfidf_wide(df: DataFrame, key: str, text: str, **kw) -> DataFrame:
