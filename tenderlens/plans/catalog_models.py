@@ -283,9 +283,7 @@ def batch_predict_q(spark, sf):
     return prediction_docs(long.withColumnRenamed("p", "prediction"), C.key, "DataSet_3")
 
 
-@query("model_store", None)
-def model_store_q(spark, sf):
-    """J16 + E11: save linear models per dataset, reload, list the registry."""
+def _save_models(spark, sf):
     import tempfile
     from tenderlens.session import checkpoint_dir
     d, feats = _model_data(spark, sf)
@@ -299,6 +297,28 @@ def model_store_q(spark, sf):
         path = f"{root}/{ds}"
         MD.save_linear(spark, m, path, ds, "010")
         paths.append(path)
+    return d, feats, paths
+
+
+@query("model_store", None)
+def model_store_q(spark, sf):
+    """Linear models saved per dataset, loaded back and applied to the test rows."""
+    d, feats, paths = _save_models(spark, sf)
+    out = []
+    for path in paths:
+        m = MD.load_linear(spark, path, "010")
+        ds = path.rsplit("/", 1)[-1]
+        test = d.filter((F.col("dataset") == ds) & F.col("is_test"))
+        out.append(MD.predict_linear_long(test, C.key, m).withColumn("dataset", F.lit(ds)))
+    p = out[0].unionByName(out[1]).unionByName(out[2])
+    return round_doubles(p.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_predictions"),
+                                                  F.avg("p").alias("mean_prediction")))
+
+
+@query("model_registry", None)
+def model_registry_q(spark, sf):
+    """Bins with a saved model per dataset and prefix."""
+    _, _, paths = _save_models(spark, sf)
     reg = spark.read.parquet(*paths)
     return reg.groupBy("dataset", "prefix").agg(
         F.array_sort(F.collect_set(F.split("target", "_").getItem(1).cast("int"))).alias("bins"),

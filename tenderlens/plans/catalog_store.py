@@ -215,3 +215,78 @@ def custom_hook_q(spark, sf):
 
     out = PP.run(_bid_table(spark, sf), "bid_data_lineitem", _bid_roles(), hook=hook)
     return round_doubles(out.select("notice_no", "l_linenumber", "hook_dataset", "amount_per_qty"))
+
+
+REQUIRED_OUT = ["공고번호", "공고제목", "발주처(수요기관)", "지역제한", "기초금액", "예정가격", "예가범위", "A값",
+                "투찰률(%)", "참여업체수", "공고구분표시"]
+
+
+@query("project_required", "SELECT " + ", ".join(
+    (f'{r(chr(34) + c + chr(34))} AS "{c}"' if c in ("기초금액", "예정가격", "A값", "투찰률(%)") else f'"{c}"')
+    for c in REQUIRED_OUT) + f" FROM ({V.NOTICES_SQL})")
+def project_required_q(spark, sf):
+    """B1 + B2: required-column check at plan time, then the projection to them."""
+    from tenderlens.roles import require_columns
+    n = V.notices(spark, sf)
+    require_columns(n, C.notice_required, "notices")
+    return round_doubles(n.select(*C.notice_required))
+
+
+_SPLIT = "CAST(('0x' || substr(md5(CAST(\"공고번호\" AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 100 < 20"
+
+
+@query("align_types", f"""WITH n AS ({V.NOTICES_SQL})
+SELECT 'train' AS split, "공고번호", CAST("참여업체수" AS VARCHAR) AS "참여업체수", {r('"기초금액"')} AS "기초금액"
+FROM n WHERE NOT ({_SPLIT})
+UNION ALL
+SELECT 'test', "공고번호", CAST(CAST("참여업체수" AS DOUBLE) AS VARCHAR), {r('"기초금액"')} FROM n WHERE {_SPLIT}""")
+def align_types_q(spark, sf):
+    """B7 + B8: train and test projected to their common columns; a column typed
+    differently in the two (bidder count: long vs double) becomes a string in both."""
+    from tenderlens.operators.model import hash_split
+    from tenderlens.operators.modeldata import align_types
+    n = hash_split(V.notices(spark, sf).select(C.key, C.n_bidders, C.base, "입찰일자"), C.key)
+    train = n.filter(~F.col("is_test")).drop("is_test", "입찰일자")
+    test = n.filter(F.col("is_test")).drop("is_test").withColumn(C.n_bidders, F.col(C.n_bidders).cast("double"))
+    a, b = align_types(train, test)
+    return round_doubles(a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test"))))
+
+
+@query("common_schema", None)
+def common_schema_q(spark, sf):
+    """Common columns of the two datasets' tables (names only; rows list them)."""
+    from tenderlens.operators.modeldata import common_schema
+    n = V.notices(spark, sf)
+    b = V.bids(spark, sf)
+    return spark.createDataFrame([(c,) for c in common_schema(n, b)], "column_name string")
+
+
+@query("load_split_tables", None)
+def load_split_tables_q(spark, sf):
+    """Both saved splits loaded (a missing one raises)."""
+    from tenderlens.operators.model import hash_split
+    path = _scratch(spark, "splits")
+    o = hash_split(V.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    FI.write_split(o.withColumn("split", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test"), path)
+    parts = FI.load_split_tables(spark, path)
+    return parts["train"].unionByName(parts["test"]).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("overwrite_collections", None)
+def overwrite_collections_q(spark, sf):
+    """A collection replaced in place per dataset (dynamic partition overwrite)."""
+    path = _scratch(spark, "collections")
+    nt = TP.separate(TP.clean_notices(V.notices(spark, sf))).select(C.key, "dataset", C.base)
+    FI.write_datasets(nt, path)
+    FI.write_datasets(nt.filter(F.col("dataset") == "range3").withColumn(C.base, F.lit(0.0)), path)
+    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                            F.count_if(F.col(C.base) == 0).alias("n_replaced"))
+
+
+@query("prediction_docs", None)
+def prediction_docs_q(spark, sf):
+    """One JSON document per (notice, prefix) from the training-mean candidate."""
+    from tenderlens.plans.catalog_models import _preds
+    p = _preds(spark, sf).filter(F.col("model") == "MEAN").withColumn("prefix", F.split("target", "_").getItem(0))
+    return ST.prediction_docs(p.withColumnRenamed("p", "prediction"), C.key, "DataSet_3")
