@@ -71,8 +71,12 @@ def safe_ratio(a, b, zero_default: bool = True) -> Column:
 
 
 def days_between(a, b) -> Column:
-    """floor of (a - b) in days, like a pandas timedelta ``.days``."""
-    micros = F.unix_micros(_c(a).cast("timestamp")) - F.unix_micros(_c(b).cast("timestamp"))
+    """floor of (a - b) in days, like a pandas timedelta ``.days``.
+
+    ``timestamp_diff`` in microseconds: wall-clock difference for TIMESTAMP_NTZ
+    (no session time zone, so no DST hour), instant difference otherwise.
+    """
+    micros = F.timestamp_diff("MICROSECOND", _c(b), _c(a))
     return F.floor(micros / F.lit(86_400_000_000)).cast("long")
 
 

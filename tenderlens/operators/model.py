@@ -122,9 +122,11 @@ def feature_importance(model, features: list[str], spark) -> DataFrame:
 
 def mean_baseline_long(train: DataFrame, test: DataFrame, key: str, targets: list[str], name: str = "MEAN") -> DataFrame:
     """A constant candidate: the training mean of each target."""
-    means = train.agg(*[F.avg(t).alias(t) for t in targets])
-    m = means.unpivot([], targets, "target", "p")
-    return test.select(key).crossJoin(F.broadcast(m)).select(F.lit(name).alias("model"), "target", key, "p")
+    # one row of means (bounded by the target count) becomes a literal array per row
+    row = train.agg(*[F.avg(F.col(f"`{t}`")).alias(t) for t in targets]).first()
+    entries = F.array(*[F.struct(F.lit(t).alias("target"), F.lit(row[t]).cast("double").alias("p"))
+                        for t in targets])
+    return test.select(key, F.inline(entries)).select(F.lit(name).alias("model"), "target", key, "p")
 
 
 def leaderboard(train: DataFrame, test: DataFrame, key: str, features: list[str], targets: list[str],
