@@ -50,17 +50,37 @@ def _apply_stats(df: DataFrame, stats: DataFrame, exprs: dict[str, Column]) -> D
     return joined.select(*out)
 
 
-def median_stats(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
+def _distributed_quantile_row(df: DataFrame, cols: list[str], probs: dict[str, float]) -> DataFrame:
+    """One-row table of exact quantiles computed on the distributed ECDF per column."""
+    from tenderlens.operators.ecdf import exact_quantiles
+    out = None
+    for c in cols:
+        q = exact_quantiles(df, c, list(probs.values()))
+        row = q.agg(*[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(_stat_col(c, tag))
+                      for tag, p in probs.items()])
+        out = row if out is None else out.crossJoin(row)
+    return out
+
+
+def median_stats(df: DataFrame, cols: list[str], accuracy: int | None = None, method: str = "exact") -> DataFrame:
+    if method == "distributed":
+        return _distributed_quantile_row(df, cols, {"med": 0.5})
     return df.agg(*[_pct(c, 0.5, accuracy).alias(_stat_col(c, "med")) for c in cols])
 
 
-def fill_median(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """Numeric NULLs to the column median (NaN treated as NULL)."""
+def fill_median(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None,
+                method: str = "exact") -> DataFrame:
+    """Numeric NULLs to the column median (NaN treated as NULL).
+
+    ``method="distributed"`` computes the exact median on the distributed
+    ECDF (no value->count map merged in one task); ``accuracy`` switches to
+    ``percentile_approx``.
+    """
     cols = numeric_columns(df) if cols is None else cols
     if not cols:
         return df
     df = nan_to_null(df, cols)
-    stats = median_stats(df, cols, accuracy)
+    stats = median_stats(df, cols, accuracy, method)
     return _apply_stats(df, stats, {c: F.coalesce(F.col(c).cast("double"), F.col(_stat_col(c, "med")))
                                     for c in cols})
 
@@ -129,11 +149,16 @@ def duplicate_count(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], accuracy: int | None = None, k: float = 1.5) -> DataFrame:
-    aggs = []
-    for c in cols:
-        aggs += [_pct(c, 0.25, accuracy).alias(_stat_col(c, "q1")), _pct(c, 0.75, accuracy).alias(_stat_col(c, "q3"))]
-    s = df.agg(*aggs)
+def iqr_bounds(df: DataFrame, cols: list[str], accuracy: int | None = None, k: float = 1.5,
+               method: str = "exact") -> DataFrame:
+    if method == "distributed":
+        s = _distributed_quantile_row(df, cols, {"q1": 0.25, "q3": 0.75})
+    else:
+        aggs = []
+        for c in cols:
+            aggs += [_pct(c, 0.25, accuracy).alias(_stat_col(c, "q1")),
+                     _pct(c, 0.75, accuracy).alias(_stat_col(c, "q3"))]
+        s = df.agg(*aggs)
     out = []
     for c in cols:
         q1, q3 = F.col(_stat_col(c, "q1")), F.col(_stat_col(c, "q3"))
@@ -141,12 +166,13 @@ def iqr_bounds(df: DataFrame, cols: list[str], accuracy: int | None = None, k: f
     return s.select(*out)
 
 
-def cap_outliers_iqr(df: DataFrame, cols: list[str], accuracy: int | None = None, k: float = 1.5) -> DataFrame:
+def cap_outliers_iqr(df: DataFrame, cols: list[str], accuracy: int | None = None, k: float = 1.5,
+                     method: str = "exact") -> DataFrame:
     """C11: values capped to [Q1 - k*IQR, Q3 + k*IQR]; NULL stays NULL."""
     if not cols:
         return df
     df = nan_to_null(df, cols)
-    b = iqr_bounds(df, cols, accuracy, k)
+    b = iqr_bounds(df, cols, accuracy, k, method)
     exprs = {}
     for c in cols:
         x = F.col(c).cast("double")

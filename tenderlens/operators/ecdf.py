@@ -77,9 +77,41 @@ def prob_between(df: DataFrame, value: str, a: float, b: float, group: list[str]
     return g.agg((F.count_if(x.between(lo, hi)) / F.count(x)).alias("probability"))
 
 
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[str] | None = None,
+                    buckets: int = 64) -> DataFrame:
+    """Exact quantiles (linear interpolation, as pandas/numpy) without one-task merges.
+
+    The order statistics at ranks floor(h) and ceil(h), h = p*(n-1), are the
+    ECDF rows with cum_lt <= rank < cum_le: found by a filter on the
+    distributed ECDF table, so at most two rows per probability are aggregated.
+    Returns (group..., p, value).
+    """
+    group = group or []
+    e = ecdf_table(df, value, group, buckets)
+    pr = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
+    h = F.col("p") * (F.col("n") - 1)
+    lo, hi = F.floor(h), F.ceil(h)
+    # each probability meets at most two ECDF rows (bounded fan-out of a tiny table)
+    j = e.crossJoin(F.broadcast(pr)).filter(
+        ((F.col("cum_lt") <= lo) & (lo < F.col("cum_le"))) | ((F.col("cum_lt") <= hi) & (hi < F.col("cum_le"))))
+    g = j.groupBy(*group, "p").agg(
+        F.max(F.when((F.col("cum_lt") <= lo) & (lo < F.col("cum_le")), F.col("value"))).alias("v_lo"),
+        F.max(F.when((F.col("cum_lt") <= hi) & (hi < F.col("cum_le")), F.col("value"))).alias("v_hi"),
+        F.first(h).alias("h"))
+    frac = F.col("h") - F.floor("h")
+    return g.select(*group, "p", (F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+
+
 def value_at_percentile(df: DataFrame, value: str, p: float, group: list[str] | None = None,
-                        accuracy: int | None = None) -> DataFrame:
-    """Value at percentile ``p`` (0..100), linear interpolation."""
+                        accuracy: int | None = None, method: str = "exact") -> DataFrame:
+    """Value at percentile ``p`` (0..100), linear interpolation.
+
+    ``method``: "exact" (Spark ``percentile``: one value->count map per group
+    in the final merge), "distributed" (:func:`exact_quantiles`, for columns
+    with very many distinct values) or give ``accuracy`` for ``percentile_approx``.
+    """
+    if method == "distributed":
+        return exact_quantiles(df, value, [p / 100.0], group).drop("p")
     x = _x(value)
     agg = F.percentile_approx(x, p / 100.0, accuracy) if accuracy else F.percentile(x, p / 100.0)
     return df.groupBy(*(group or [])).agg(agg.alias("value"))

@@ -59,3 +59,17 @@ def test_salted_join_equals_plain_join(spark):
     plain = sorted(tuple(r) for r in big.join(small, "k").collect())
     salted = sorted(tuple(r) for r in salted_join(big, small, "k", hot=[1], salt_buckets=8).select("k", "v", "s").collect())
     assert plain == salted
+
+
+def test_exact_quantiles_distributed_match_numpy(spark):
+    import numpy as np
+    rnd = random.Random(11)
+    vals = [rnd.choice([2.0, 3.0]) if rnd.random() < 0.4 else round(rnd.gauss(0, 5), 2) for _ in range(2001)]
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+    got = {r["p"]: r["value"] for r in E.exact_quantiles(nums(spark, vals), "x", probs, buckets=8).collect()}
+    for p in probs:
+        assert abs(got[p] - float(np.quantile(vals, p))) < 1e-9, p
+    grouped = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, x double")
+    out = {r["g"]: r["value"] for r in E.value_at_percentile(grouped, "x", 50, ["g"], method="distributed").collect()}
+    for g in range(3):
+        assert abs(out[g] - float(np.quantile([v for i, v in enumerate(vals) if i % 3 == g], 0.5))) < 1e-9
