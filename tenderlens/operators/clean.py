@@ -104,8 +104,16 @@ def fill_empty(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def fill_mode(df: DataFrame, cols: list[str], default: str = "UNKNOWN") -> DataFrame:
-    """NULLs to the most frequent value (smallest on ties); default if none."""
-    stats = df.agg(*[F.mode(F.col(c), True).alias(_stat_col(c, "mode")) for c in cols])
+    """NULLs to the most frequent value (smallest on ties); default if none.
+
+    Two partial aggregations per column (count per value, then ``min_by`` on
+    (-count, value)); no value->count map is merged in one task.
+    """
+    stats = None
+    for c in cols:
+        vc = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
+        row = vc.agg(F.min_by(F.col(c), F.struct(-F.col("__n"), F.col(c))).alias(_stat_col(c, "mode")))
+        stats = row if stats is None else stats.crossJoin(row)
     return _apply_stats(df, stats, {c: F.coalesce(F.col(c), F.col(_stat_col(c, "mode")), F.lit(default))
                                     for c in cols})
 
