@@ -124,18 +124,27 @@ def compare_samples_q(spark, sf):
     return round_doubles(s.select("ks_d", "mw_u", "welch_t"))
 
 
-def _hist_sql(value_sql: str, src: str, bins: int = 100) -> str:
+def hist_ctes(value_sql: str, src: str, bins: int = 100, p: str = "h") -> str:
+    """CTEs of the equal-width histogram oracle (no WITH keyword, names prefixed)."""
     step = f"((hi - lo) / CAST({bins} AS DOUBLE))"
     idx = (f"CASE WHEN hi = lo THEN 1 ELSE 1 + len(list_filter(range(1, {bins}), "
            f"lambda i: CAST(i AS DOUBLE) * {step} + lo <= x)) END")
-    return f"""WITH d AS (SELECT {value_sql} AS x FROM {src}),
-s AS (SELECT min(x) AS lo, max(x) AS hi FROM d),
-c AS (SELECT {idx} AS bin, count(*) AS cnt FROM d, s WHERE x IS NOT NULL GROUP BY 1),
-g AS (SELECT unnest(range(1, {bins + 1})) AS bin)
-SELECT CAST(g.bin AS INTEGER) AS bin, {r(f'CAST(g.bin - 1 AS DOUBLE) * {step} + lo')} AS lower,
+    return f"""{p}_d AS (SELECT {value_sql} AS x FROM {src}),
+{p}_s AS (SELECT min(x) AS lo, max(x) AS hi FROM {p}_d),
+{p}_c AS (SELECT {idx} AS bin, count(*) AS cnt FROM {p}_d, {p}_s WHERE x IS NOT NULL GROUP BY 1),
+{p}_g AS (SELECT unnest(range(1, {bins + 1})) AS bin)"""
+
+
+def hist_select(bins: int = 100, p: str = "h") -> str:
+    step = f"((hi - lo) / CAST({bins} AS DOUBLE))"
+    return f"""SELECT CAST(g.bin AS INTEGER) AS bin, {r(f'CAST(g.bin - 1 AS DOUBLE) * {step} + lo')} AS lower,
        {r(f'CASE WHEN g.bin = {bins} THEN hi ELSE CAST(g.bin AS DOUBLE) * {step} + lo END')} AS upper,
        coalesce(c.cnt, 0) AS count
-FROM g CROSS JOIN s LEFT JOIN c ON c.bin = g.bin"""
+FROM {p}_g g CROSS JOIN {p}_s LEFT JOIN {p}_c c ON c.bin = g.bin"""
+
+
+def _hist_sql(value_sql: str, src: str, bins: int = 100) -> str:
+    return f"WITH {hist_ctes(value_sql, src, bins)}\n{hist_select(bins)}"
 
 
 @query("histogram", _hist_sql("value", "events"))

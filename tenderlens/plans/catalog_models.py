@@ -151,10 +151,13 @@ def predicted_vs_actual_q(spark, sf):
                                   M.bin_position(n, i, -3.0, 3.0).alias("x"), "y", "p"))
 
 
-@query("residuals", BASE_SQL.replace("WITH ", "WITH ", 1) + ",\nres AS (SELECT y - p AS residual FROM preds WHERE model = 'MEAN')\n"
-       + "SELECT * FROM (" + __import__("tenderlens.plans.catalog_dist", fromlist=["_hist_sql"])._hist_sql(
-           "residual", "res").replace("WITH d AS", "WITH dd AS").replace("FROM d,", "FROM dd,").replace(
-           "FROM d)", "FROM dd)") + ")")
+def _residuals_sql() -> str:
+    from tenderlens.plans.catalog_dist import hist_ctes, hist_select
+    return (BASE_SQL + ",\nres AS (SELECT y - p AS residual FROM preds WHERE model = 'MEAN'),\n"
+            + hist_ctes("residual", "res") + "\n" + hist_select())
+
+
+@query("residuals", _residuals_sql())
 def residuals_q(spark, sf):
     from tenderlens.operators.ecdf import histogram
     p = M.residuals(_preds(spark, sf).filter(F.col("model") == "MEAN"))
@@ -284,11 +287,10 @@ def batch_predict_q(spark, sf):
 
 
 def _save_models(spark, sf):
-    import tempfile
+    import uuid
     from tenderlens.session import checkpoint_dir
     d, feats = _model_data(spark, sf)
-    root = tempfile.mkdtemp(prefix="models-", dir=None) if not checkpoint_dir(spark).startswith("/") else \
-        f"{checkpoint_dir(spark)}/models-{abs(hash(sf)) % 10**8}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex[:12]}"
     t10 = [t for t in TARGETS if t.startswith("010_")]
     paths = []
     for ds in ("range3", "range2", "others"):
