@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderlens.operators.clean import _apply_stats, fill_median, nan_to_null, numeric_columns
+from tenderlens.operators.clean import fill_median, nan_to_null, numeric_columns
 
 # Name fragments that keep a numeric column out of min-max scaling.
 ID_KEYWORDS = ("id", "ID", "번호", "index")

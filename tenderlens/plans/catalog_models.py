@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenderlens.functions.expr import GRANULARITIES, all_target_names
+from tenderlens.functions.expr import all_target_names
 from tenderlens.operators import metrics as M
 from tenderlens.operators import model as MD
 from tenderlens.plans import tender as TP

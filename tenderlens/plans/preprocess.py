@@ -14,7 +14,6 @@ import fnmatch
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tenderlens.functions.expr import date_parts, safe_ratio
 from tenderlens.operators import clean as CL

@@ -1,14 +1,16 @@
 """The tender plan (P1): notices + bids -> per-notice features and 180 targets.
 
-One lazy plan instead of the reference's three eager passes:
+One lazy plan instead of the reference's eager passes over three datasets:
 
-    notices --clean/dedupe(key)--+                          +-- features (per dataset stats, broadcast)
-                                 +-- bid counts (inner) ----+
-    bids ---parse rate-----------+-- salted join on key --> bins --> shares (agg by key)
+    notices --clean, keep-first dedupe(key)--> nt --(key, level, bounds)--+
+    bids ----parse rate (drop unparsable)-------------- salted join on key --> bins
+    bins --> long counts (notice, n, bin), partial agg --> per-notice map --> 180 shares + n_rates
+    nt  join  shares  --> base (one row per notice with bids; materialised)
+    base --> per-dataset statistics (3 rows, broadcast), categories, features --> result
 
-Shuffles: notices dedupe by key, bids aggregated by key (partial), the join of
-bids with the notices' (level, bounds), and the final join of features with
-targets on the key. Statistics are one row per dataset (3 rows), broadcast.
+Shuffles: the notices' dedupe by key, the bid join (AQE may broadcast a small
+notice side), the two count aggregations, the base join. The per-dataset
+statistics are one row per dataset (range3 / range2 / others).
 """
 
 from __future__ import annotations
