@@ -184,11 +184,21 @@ def add_bin_columns(df: DataFrame, rate: str, level: str, lower: str, upper: str
     return d.selectExpr("*", *exprs).drop(*tmp)
 
 
+def cell_offsets(granularities=GRANULARITIES) -> dict[int, int]:
+    """Integer cell id of (n, bin) = offset(n) + bin - 1, cells of all granularities in a row."""
+    out, acc = {}, 0
+    for n in granularities:
+        out[n] = acc
+        acc += n
+    return out
+
+
 def long_bin_counts(binned: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
-    """(keys, n, bin, c): one row per non-empty bin; 4 hash updates per input row."""
-    pairs = ", ".join(f"named_struct('n', {n}, 'bin', __b{n})" for n in granularities)
-    return (binned.selectExpr(*[_q(k) for k in keys], f"inline(array({pairs}))")
-            .groupBy(*keys, "n", "bin").agg(F.count(F.lit(1)).alias("c")))
+    """(keys, cell, c): one row per non-empty (granularity, bin) cell; 4 hash updates per input row."""
+    off = cell_offsets(granularities)
+    cells = F.array(*[F.col(f"__b{n}") - 1 + off[n] for n in granularities])
+    return (binned.select(*keys, F.explode(cells).alias("cell"))
+            .groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("c")))
 
 
 def bin_count_aggs(granularities=GRANULARITIES) -> list[Column]:
@@ -209,15 +219,17 @@ def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARIT
     """H5: one row per key with one share column per (granularity, bin).
 
     Long counts first (partial aggregation: a key with very many rows sends
-    one row per non-empty bin and task), then per key a map of at most
-    sum(granularities) entries -- a fixed bound -- read out into columns.
+    one row per non-empty cell and task), then per key an integer-keyed map of
+    at most sum(granularities) entries -- a fixed bound -- read out into
+    columns (integer keys: the lookups compare ints, not label strings).
     """
     counts = long_bin_counts(binned, keys, granularities)
+    off = cell_offsets(granularities)
     first = granularities[0]
     per_key = counts.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.format_string("%03d_%03d", "n", "bin"), "c"))).alias("__m"),
-        F.sum(F.when(F.col("n") == first, F.col("c"))).alias("__total"))
-    shares = [f"coalesce(__m['{target_name(n, i)}'], 0) / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
+        F.map_from_entries(F.collect_list(F.struct("cell", "c"))).alias("__m"),
+        F.sum(F.when(F.col("cell") < first, F.col("c"))).alias("__total"))
+    shares = [f"coalesce(__m[{off[n] + i - 1}], 0) / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
               for n in granularities for i in range(1, n + 1)]
     extra = [f"__total AS {_q(total_col)}"] if total_col else []
     return per_key.selectExpr(*[_q(k) for k in keys], *shares, *extra)
