@@ -143,7 +143,7 @@ cnt AS (SELECT {KEY}, count(*) AS n_rates FROM pb GROUP BY {KEY}),
 m AS (SELECT CASE WHEN {q(C.range_text)} = '+3%~-3%' THEN 'range3' WHEN {q(C.range_text)} = '+2%~-2%' THEN 'range2'
              ELSE 'others' END AS dataset, n_rates
       FROM nt JOIN cnt ON nt.{KEY} = cnt.{KEY})
-SELECT dataset, count(*) AS n_notices, sum(n_rates) AS n_rates FROM m GROUP BY dataset""")
+SELECT dataset, count(*) AS n_notices, CAST(sum(n_rates) AS BIGINT) AS n_rates FROM m GROUP BY dataset""")
 def split_by_range_q(spark, sf):
     n, b = _ctx(spark, sf)
     m = TP.separate(TP.restructure(n, b))
