@@ -77,22 +77,35 @@ def explained_variance(df: DataFrame, c: str, k: int) -> list[float]:
     return pca_fit(df, c, k)[2]
 
 
+def gramian(df: DataFrame, c: str) -> "np.ndarray":
+    """X^T X of a vector column from JVM-side statistics (no Python rows).
+
+    X^T X = (n - 1) * cov + n * mean mean^T, with cov from the correlation
+    matrix and the sample variances (constant columns: correlation NaN -> 0).
+    """
+    from pyspark import StorageLevel
+    from pyspark.ml.stat import Correlation
+    v = _as_vector(df.select(c).na.drop(), c).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        st = v.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(c)).alias("s")).first()["s"]
+        mean, var, n = np.array(st["mean"].toArray()), np.array(st["variance"].toArray()), float(st["count"])
+        corr = np.nan_to_num(np.array(Correlation.corr(v, c).first()[0].toArray()), nan=0.0)
+    finally:
+        v.unpersist()
+    sd = np.sqrt(np.maximum(var, 0.0))
+    return (n - 1) * corr * np.outer(sd, sd) + n * np.outer(mean, mean)
+
+
 def svd_reduce(df: DataFrame, key: str, c: str, k: int = 20, prefix: str = "SVD") -> DataFrame:
     """Truncated SVD without centring; scores = rows x V (k columns).
 
-    V comes from the eigenvectors of the Gramian X^T X, computed as one
-    distributed aggregation of outer products (d x d, bounded by the width).
+    V holds the top eigenvectors of the Gramian X^T X (d x d, bounded by the
+    vector width), computed from distributed statistics.
     """
-    import numpy as np
-
-    v = _as_vector(df.select(c).na.drop(), c)
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.linalg import Vectors as MV
-    rm = RowMatrix(v.rdd.map(lambda r: MV.dense(r[0].toArray())))
-    g = rm.computeGramianMatrix().toArray()
+    g = gramian(df, c)
     vals, vecs = np.linalg.eigh(g)
     order = np.argsort(vals)[::-1][:min(k, g.shape[0])]
-    V = vecs[:, order]
+    V = np.array(vecs[:, order], copy=True)
     for j in range(V.shape[1]):
         if V[abs(V[:, j]).argmax(), j] < 0:
             V[:, j] = -V[:, j]

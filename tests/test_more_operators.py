@@ -72,3 +72,21 @@ def test_tfidf_matches_hand_computation(spark):
     for t in terms:
         assert abs(out[(0, t)] - w[t] / norm) < 1e-12
     assert out[(2, "apple")] == 0.0
+
+
+def test_gramian_and_svd_scores(spark):
+    import numpy as np
+    from tenderlens.operators.reduce import gramian, svd_reduce
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(200, 5))
+    X[:, 4] = 1.0  # a constant column
+    d = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(X)], "id int, v array<double>")
+    assert np.allclose(gramian(d, "v"), X.T @ X, atol=1e-8)
+    s = {r["id"]: [r[f"SVD_{j}"] for j in (1, 2)] for r in svd_reduce(d, "id", "v", k=2).collect()}
+    _, _, vt = np.linalg.svd(X, full_matrices=False)
+    for j in range(2):
+        ref = X @ vt[j]
+        if vt[j][abs(vt[j]).argmax()] < 0:  # same sign rule as the operator
+            ref = -ref
+        got = np.array([s[i][j] for i in range(200)])
+        assert np.allclose(got, ref, atol=1e-6)
