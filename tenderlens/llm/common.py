@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +19,18 @@ NOT_SPACES = r"[^ \t-\r]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _workers_find_package(spark: SparkSession) -> None:
+    """Local Python workers look where this package was imported from; a cluster has it installed (or --py-files)."""
+    sc, home = spark.sparkContext, str(Path(__file__).resolve().parents[2])
+    have = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if sc.master.startswith("local") and home not in have:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, have)])
+
+
 def parts(spark: SparkSession) -> int:
     """Shuffle width the cluster has chosen."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -131,3 +131,24 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, seed: int = 42, id
     return (ranked.alias("r").join(plan.alias("p"), on)
             .select(F.col("r.id").alias(id_col), F.col("r.source").alias("source"), F.col("r.size").alias("size"),
                     "p.source_size", "p.target", copies.alias("copies"), (copies * F.col("r.size")).alias("taken")))
+
+
+def draw_mix(docs: DataFrame, weights: dict | None = None, seed: int = 42, id_col: str = "doc_id",
+             source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The mix itself: each row of ``docs``, with all its columns, as often as the mix takes it.
+
+    Documents of size 0 hold no words and are left out.
+    """
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), whole.alias("whole")).alias("key"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    thin = keyed.select("key", F.col("row").getField(source_col).alias("source"),
+                        F.col("row").getField(text_col).alias("text"))
+    copies = mix_sources(thin, weights, seed, "key", "source", "text").groupBy("key").agg(F.sum("copies").alias("n"))
+    # rows repeated in every column share a key: one of them carries the copies of all
+    taken = (keyed.select("key.id", "key.whole", "row").alias("d")
+             .join(copies.where("n > 0").select("key.id", "key.whole", "n").alias("c"),
+                   F.col("d.id").eqNullSafe(F.col("c.id")) & (F.col("d.whole") == F.col("c.whole")))
+             .select("d.id", "d.whole", "d.row", "c.n"))
+    once = taken.groupBy("id", "whole").agg(F.first("row").alias("row"), F.first("n").alias("n"))
+    return once.select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")

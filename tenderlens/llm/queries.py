@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, token_frames, url_rules, winnowing
+from . import exact_dedup, mixing, packing, quality, simhash, token_frames, url_rules, viterbi, winnowing
 from .common import table
 from .encode import tokenizer_path
 
@@ -27,6 +27,18 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -36,12 +48,20 @@ def op9_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.read_token_files(manifest)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op2_mixing": op2_mixing,
     "op4_url_rules": op4_url_rules,
+    "op5_simhash": op5_simhash,
+    "op6_token_counts": op6_token_counts,
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_frames": op9_token_frames,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from .common import bucket_of, parts, range_bounds, text_or_empty
 
@@ -108,7 +109,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           k: int = GRAM, w: int = WINDOW) -> DataFrame:
     """One row per document: id, hashes array<long> (two's complement), positions array<long>."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    schema = rows.select("id").schema.add("hashes", "array<bigint>").add("positions", "array<bigint>")
+    schema = rows.select("id").schema.add("hashes", ArrayType(LongType())).add("positions", ArrayType(LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
