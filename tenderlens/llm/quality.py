@@ -96,7 +96,7 @@ def votes(m: dict[str, float]) -> tuple[int, ...]:
     def below(name: str, good: float, low: float, when: bool = True) -> int:
         return 0 if not when else -1 if m[name] < low else 1 if m[name] > good else 0
 
-    return (above("symbols", 0.06, 0.14), above("capitals", 0.10, 0.45, long), below("distinct_words", 0.45, 0.35, long),
+    return (above("symbols", 0.06, 0.14, m["n"] >= 10), above("capitals", 0.10, 0.45, long), below("distinct_words", 0.45, 0.35, long),
             above("repeats", 0.03, 0.20, long), above("bars", 0.02, 0.15), below("sentences", 0.05, 0.015, m["n"] >= 50),
             above("lines", 0.0, 0.5, long), above("top_word", 0.13, 0.22, long),
             above("mark_runs", 0.05, 0.2), above("lone_marks", 0.03, 0.15))
