@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -41,21 +42,31 @@ class WordEncoder:
         self.model = self.whole.model
         self.lower = self.whole.normalizer is not None  # the lower-casing tokenizer drops white space
         self.letters = _byte_letters()
+        self.lead = "" if self.lower else self.letters[0x20]
         self.memo: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _model(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join([self.letters[b] for b in piece.encode()]))]
+    def _model(self, piece: str, lead: str = "") -> bytes:
+        if not piece.isascii():  # printable ASCII stands for itself
+            piece = "".join([self.letters[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(lead + piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str, lead: str) -> bytes:
         m = _WORD.fullmatch(word)
         if not m:
             return self._library(lead + word)
         letters, marks = m.groups()
-        ids = self._model(letters.lower() if self.lower else lead + letters)
-        return np.array(ids + (self._model(marks) if marks else []), dtype="<u4").tobytes()
+        if marks and lead and (known := self.memo.get(letters)):
+            return known + self._model(marks)
+        return (self._model(letters.lower() if self.lower else letters, self.lead if lead else "")
+                + (self._model(marks) if marks else b""))
+
+    def word(self, word: str) -> bytes:
+        """Ids of one word after a space, not remembered."""
+        return self._word(word, " ")
 
     def encode(self, text: str) -> bytes:
         if not self.lower and _PAIR_OF_SPACES.search(text):

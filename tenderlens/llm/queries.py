@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, simhash, token_frames, url_rules, viterbi, winnowing
+from . import attention_lm, exact_dedup, mixing, packing, quality, simhash, token_frames, url_rules, viterbi, winnowing
 from .common import table
 from .encode import tokenizer_path
 
@@ -23,6 +23,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "source", "size", "source_size", "target", "taken"))
 
 
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
 
@@ -55,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op2_mixing": op2_mixing,
+    "op3_attention_lm": op3_attention_lm,
     "op4_url_rules": op4_url_rules,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
