@@ -75,8 +75,13 @@ def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
-def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW) -> np.ndarray:
-    """How many documents of each length to take once, adding up to about ``budget`` words."""
+def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, most: int = 1, window: int = WINDOW
+                ) -> np.ndarray:
+    """How many documents of each length to take, adding up to about ``budget`` words.
+
+    Each document is taken once at most, unless that leaves words of the budget
+    over: then up to ``most`` times.
+    """
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
@@ -89,10 +94,17 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, window: in
         if take[i] < counts[i] and lengths[i] <= left:
             take[i] += 1
             left -= int(lengths[i])
-    fit = np.flatnonzero((take < counts) & (lengths <= left))
-    more = knapsack(lengths[fit].tolist(), (counts - take)[fit].tolist(), left) if left > 0 else [0] * len(fit)
-    take[fit] += np.array(more, dtype=np.int64)
-    return take
+    best, add = -1, np.zeros_like(take)
+    for times in sorted({1, most}):
+        room = np.where(lengths <= left, times * counts - take, 0)
+        fit = np.flatnonzero(room > 0)
+        more = np.zeros_like(take)
+        more[fit] = knapsack(lengths[fit].tolist(), room[fit].tolist(), left)
+        if (found := int((more * lengths).sum())) > best:
+            best, add = found, more
+        if best == left:
+            break
+    return take + add
 
 
 def mix_sources(docs: DataFrame, weights: dict | None = None, seed: int = 42, id_col: str = "doc_id",
@@ -116,18 +128,20 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, seed: int = 42, id
         some = lengths > 0
         extra = np.zeros(len(pdf), dtype=np.int64)
         if total and repeats < MOST:
-            extra[some] = fit_lengths(lengths[some], counts[some], min(total, round(target - repeats * total)))
+            extra[some] = fit_lengths(lengths[some], counts[some], min(total, round(target - repeats * total)),
+                                      MOST - repeats)
         return pd.DataFrame({"source": [source] * len(pdf), "size": lengths, "source_size": total, "target": target,
-                             "repeats": repeats, "extra": extra})
+                             "repeats": repeats, "extra": extra, "n": counts})
 
     plan = by_length.groupBy("source").applyInPandas(
-        fit, "source string, size bigint, source_size bigint, target double, repeats bigint, extra bigint")
+        fit, "source string, size bigint, source_size bigint, target double, repeats bigint, extra bigint, "
+             "n bigint")
     mixed = F.xxhash64(F.col("id"), F.lit(seed))
     ranked = group_ranks(sized.withColumn("_mixed", mixed), ["source", "size"], [F.col("_mixed"), F.col("id")],
                          F.shiftrightunsigned("_mixed", 52), SLOTS)
     on = F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.size") == F.col("p.size"))
     copies = F.when(F.col("r.size") == 0, F.lit(0)).otherwise(
-        F.col("p.repeats") + (F.col("r.rank") < F.col("p.extra")).cast("bigint"))
+        F.col("p.repeats") + F.expr("p.extra div p.n") + (F.col("r.rank") < F.expr("p.extra % p.n")).cast("bigint"))
     return (ranked.alias("r").join(plan.alias("p"), on)
             .select(F.col("r.id").alias(id_col), F.col("r.source").alias("source"), F.col("r.size").alias("size"),
                     "p.source_size", "p.target", copies.alias("copies"), (copies * F.col("r.size")).alias("taken")))
