@@ -1,15 +1,9 @@
 """Cleaning operators.
 
-Statistics (median, mean, mode, quartiles) are computed in ONE aggregation
-for all columns of a stage and returned as a one-row DataFrame; applying
-them is a broadcast cross join of that single row (a proven size bound), so
-the whole plan stays lazy and nothing but the row itself is shipped.
-
-Exact percentiles use Spark's ``percentile`` (linear interpolation, like
-pandas); its final merge holds one value->count map per column, bounded by
-the column's distinct values. For columns with very many distinct values
-pass ``accuracy`` to use ``percentile_approx`` instead, or use
-``ecdf.exact_quantile`` which is fully distributed.
+Means and modes of all columns of a stage are one aggregation, applied as a
+broadcast of its single row. Medians and quartiles are exact and distributed
+(``ecdf.column_quantiles``); they come to the driver as numbers, one per column
+and probability, and go into the plan as literals.
 """
 
 from __future__ import annotations
@@ -32,13 +26,6 @@ def string_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
-def _pct(c: str, p, accuracy: int | None) -> Column:
-    x = F.col(c).cast("double")
-    if accuracy:
-        return F.percentile_approx(x, p, accuracy)
-    return F.percentile(x, p)
-
-
 def _stat_col(c: str, tag: str) -> str:
     return f"__{tag}__{c}"
 
@@ -50,39 +37,32 @@ def _apply_stats(df: DataFrame, stats: DataFrame, exprs: dict[str, Column]) -> D
     return joined.select(*out)
 
 
-def _distributed_quantile_row(df: DataFrame, cols: list[str], probs: dict[str, float]) -> DataFrame:
-    """One-row table of exact quantiles computed on the distributed ECDF per column."""
-    from tenderlens.operators.ecdf import exact_quantiles
-    out = None
-    for c in cols:
-        q = exact_quantiles(df, c, list(probs.values()))
-        row = q.agg(*[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(_stat_col(c, tag))
-                      for tag, p in probs.items()])
-        out = row if out is None else out.crossJoin(row)
-    return out
+def medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    from tenderlens.operators.ecdf import column_quantiles
+    return {c: q[0.5] for c, q in column_quantiles(df, cols, [0.5]).items()} if cols else {}
 
 
-def median_stats(df: DataFrame, cols: list[str], accuracy: int | None = None, method: str = "exact") -> DataFrame:
-    if method == "distributed":
-        return _distributed_quantile_row(df, cols, {"med": 0.5})
-    return df.agg(*[_pct(c, 0.5, accuracy).alias(_stat_col(c, "med")) for c in cols])
+def columns_with_nulls(df: DataFrame, cols: list[str]) -> list[str]:
+    """Columns with a NULL (or NaN), from one aggregation."""
+    if not cols:
+        return []
+    row = nan_to_null(df, cols).agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    return [c for c, n in zip(cols, row) if n]
 
 
-def fill_median(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None,
-                method: str = "exact") -> DataFrame:
-    """Numeric NULLs to the column median (NaN treated as NULL).
+def fill_median(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Numeric NULLs to the column's exact median (NaN treated as NULL).
 
-    ``method="distributed"`` computes the exact median on the distributed
-    ECDF (no value->count map merged in one task); ``accuracy`` switches to
-    ``percentile_approx``.
+    A column with nothing to fill stays as it is, integers included; a filled
+    column becomes a double; a column of NULLs only stays NULL.
     """
     cols = numeric_columns(df) if cols is None else cols
-    if not cols:
+    holes = columns_with_nulls(df, cols)
+    if not holes:
         return df
-    df = nan_to_null(df, cols)
-    stats = median_stats(df, cols, accuracy, method)
-    return _apply_stats(df, stats, {c: F.coalesce(F.col(c).cast("double"), F.col(_stat_col(c, "med")))
-                                    for c in cols})
+    df = nan_to_null(df, holes)
+    found = medians(df, holes)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(found[c]).cast("double")) for c in holes})
 
 
 def fill_mean(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -136,8 +116,11 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataF
     """One row per key, the first by ``order`` (never ``dropDuplicates``).
 
     ``min_by`` aggregates partially on the map side, so a hot key costs one
-    row per map task in the shuffle; no sort and no window.
+    row per map task in the shuffle; no sort and no window. The order must say
+    more than the keys, or any row could win and another after a retry.
     """
+    if not set(order) - set(keys):
+        raise ValueError("keep-first needs an order beside the keys")
     others = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in others])
     ordering = F.struct(*[F.col(c) for c in order])
@@ -157,36 +140,27 @@ def duplicate_count(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], accuracy: int | None = None, k: float = 1.5,
-               method: str = "exact") -> DataFrame:
-    if method == "distributed":
-        s = _distributed_quantile_row(df, cols, {"q1": 0.25, "q3": 0.75})
-    else:
-        aggs = []
-        for c in cols:
-            aggs += [_pct(c, 0.25, accuracy).alias(_stat_col(c, "q1")),
-                     _pct(c, 0.75, accuracy).alias(_stat_col(c, "q3"))]
-        s = df.agg(*aggs)
-    out = []
-    for c in cols:
-        q1, q3 = F.col(_stat_col(c, "q1")), F.col(_stat_col(c, "q3"))
-        out += [(q1 - F.lit(k) * (q3 - q1)).alias(_stat_col(c, "lo")), (q3 + F.lit(k) * (q3 - q1)).alias(_stat_col(c, "hi"))]
-    return s.select(*out)
+def iqr_bounds(df: DataFrame, cols: list[str], k: float = 1.5) -> dict[str, tuple[float, float]]:
+    """[Q1 - k*IQR, Q3 + k*IQR] of each column that has values."""
+    from tenderlens.operators.ecdf import column_quantiles
+    out = {}
+    for c, q in column_quantiles(df, cols, [0.25, 0.75]).items():
+        if q[0.25] is not None:
+            iqr = q[0.75] - q[0.25]
+            out[c] = (q[0.25] - k * iqr, q[0.75] + k * iqr)
+    return out
 
 
-def cap_outliers_iqr(df: DataFrame, cols: list[str], accuracy: int | None = None, k: float = 1.5,
-                     method: str = "exact") -> DataFrame:
+def cap_outliers_iqr(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     """C11: values capped to [Q1 - k*IQR, Q3 + k*IQR]; NULL stays NULL."""
     if not cols:
         return df
     df = nan_to_null(df, cols)
-    b = iqr_bounds(df, cols, accuracy, k, method)
     exprs = {}
-    for c in cols:
+    for c, (lo, hi) in iqr_bounds(df, cols, k).items():
         x = F.col(c).cast("double")
-        exprs[c] = F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-            F.least(F.greatest(x, F.col(_stat_col(c, "lo"))), F.col(_stat_col(c, "hi"))))
-    return _apply_stats(df, b, exprs)
+        exprs[c] = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(lo)), F.lit(hi)))
+    return df.withColumns(exprs)
 
 
 def coerce_dates(df: DataFrame, cols: list[str], fmt: str | None = None) -> DataFrame:

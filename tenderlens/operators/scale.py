@@ -29,7 +29,7 @@ def apply_standard(df: DataFrame, stats: DataFrame, cols: list[str], group: str
                    out: dict[str, str] | None = None) -> DataFrame:
     """G1/G2 apply: (x - mean) / std with zero variance -> 0; NULL stays NULL."""
     out = out or {c: c for c in cols}
-    j = df.join(F.broadcast(stats), group, "left") if group else df.crossJoin(F.broadcast(stats))
+    j = df.join(stats, group, "left") if group else df.crossJoin(F.broadcast(stats))  # groups may be many
     exprs = {}
     for c in cols:
         s = F.col(f"__s_{c}")
@@ -58,7 +58,7 @@ def minmax_stats(df: DataFrame, cols: list[str], group: str | None = None) -> Da
 
 def apply_minmax(df: DataFrame, stats: DataFrame, cols: list[str], group: str | None = None) -> DataFrame:
     """(x - min) / (max - min); a constant column gives 0 (not Spark ML's 0.5)."""
-    j = df.join(F.broadcast(stats), group, "left") if group else df.crossJoin(F.broadcast(stats))
+    j = df.join(stats, group, "left") if group else df.crossJoin(F.broadcast(stats))
     exprs = {}
     for c in cols:
         lo, hi = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
@@ -73,8 +73,8 @@ def minmax_scale(df: DataFrame, cols: list[str] | None = None, group: str | None
     cols = scalable_columns(df, exclude_keywords) if cols is None else cols
     if not cols:
         return df
-    d = fill_median(df, cols)
-    return apply_minmax(d, minmax_stats(d, cols, group), cols, group)
+    d = fill_median(df, cols)  # filling with a median moves no minimum or maximum
+    return apply_minmax(d, minmax_stats(nan_to_null(df, cols), cols, group), cols, group)
 
 
 def log1p_shifted(df: DataFrame, cols: list[str], prefix: str = "norm_log_") -> DataFrame:

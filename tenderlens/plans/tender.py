@@ -34,14 +34,19 @@ STRIPPED = ("range_text", "agency", "region", "mark")
 
 def clean_notices(notices: DataFrame, cols: TenderColumns = TenderColumns(),
                   order: list[str] | None = None) -> DataFrame:
-    """Projection, NULL drops, mean fill, '' fill, keep-first dedupe, whitespace strip."""
+    """Projection, NULL drops, mean fill, '' fill, keep-first dedupe, whitespace strip.
+
+    ``order`` names the columns that say which row of a repeated notice comes
+    first (a load time, say); without it the row of smallest values stays, so a
+    recomputed task picks the same one.
+    """
     require_columns(notices, cols.notice_required, "notices")
     extra = [c for c in (order or []) if c not in cols.notice_required]
     nt = notices.select(*cols.notice_required, *extra)
     nt = drop_null_keys(nt, [cols.key, cols.range_text])
     nt = fill_mean(nt, [cols.bid_rate])
     nt = nt.fillna("", subset=[cols.mark])
-    nt = dedupe_keep_first(nt, [cols.key], order or [cols.key])
+    nt = dedupe_keep_first(nt, [cols.key], order or [c for c in cols.notice_required if c != cols.key])
     nt = nt.withColumns({getattr(cols, a): strip_whitespace(getattr(cols, a)) for a in STRIPPED})
     return nt.select(*cols.notice_required)
 

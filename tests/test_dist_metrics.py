@@ -26,7 +26,7 @@ def test_histogram_fixture(spark):
 def test_ecdf_matches_brute_force(spark):
     rnd = random.Random(5)
     vals = [rnd.choice([0.5, 1.0, 1.5]) if rnd.random() < 0.3 else round(rnd.gauss(0, 1), 3) for _ in range(3000)]
-    t = E.ecdf_table(nums(spark, vals), "x", buckets=16).collect()
+    t = E.ecdf_table(nums(spark, vals), "x", bucket_rows=16).collect()
     for r in t:
         assert r["cum_le"] == sum(1 for v in vals if v <= r["value"])
         assert r["cum_lt"] == sum(1 for v in vals if v < r["value"])
@@ -66,10 +66,10 @@ def test_exact_quantiles_distributed_match_numpy(spark):
     rnd = random.Random(11)
     vals = [rnd.choice([2.0, 3.0]) if rnd.random() < 0.4 else round(rnd.gauss(0, 5), 2) for _ in range(2001)]
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
-    got = {r["p"]: r["value"] for r in E.exact_quantiles(nums(spark, vals), "x", probs, buckets=8).collect()}
+    got = {r["p"]: r["value"] for r in E.exact_quantiles(nums(spark, vals), "x", probs).collect()}
     for p in probs:
         assert abs(got[p] - float(np.quantile(vals, p))) < 1e-9, p
     grouped = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, x double")
-    out = {r["g"]: r["value"] for r in E.value_at_percentile(grouped, "x", 50, ["g"], method="distributed").collect()}
+    out = {r["g"]: r["value"] for r in E.value_at_percentile(grouped, "x", 50, ["g"]).collect()}
     for g in range(3):
         assert abs(out[g] - float(np.quantile([v for i, v in enumerate(vals) if i % 3 == g], 0.5))) < 1e-9
