@@ -1,9 +1,10 @@
 """Encoders (G4-G6).
 
-Category lists are found with a distinct job and read on the driver only up
-to ``max_categories`` values (a checked bound); above it the dense column
-form is refused and the sparse forms (``multi_hot_vector`` / long output)
-should be used.
+Dense columns are made for up to ``MAX_DENSE_CATEGORIES`` categories, read on
+the driver behind that check. Above it the multi-hot form is one sparse column,
+the sorted array of a row's categories (``<col>_parts``); ``multi_hot_long`` is
+the long form at any size. Label codes are ranks of the sorted classes, numbered
+in range partitions, so any number of classes gets a code.
 """
 
 from __future__ import annotations
@@ -22,39 +23,45 @@ def parts(c: str, sep: str = "/") -> F.Column:
     return F.split(F.col(c), _quote_regex(sep))
 
 
-def categories_of(df: DataFrame, c: str, sep: str | None = "/", max_categories: int = MAX_DENSE_CATEGORIES) -> list[str]:
-    """Sorted distinct non-empty parts of a (multi-valued) string column."""
+def categories_of(df: DataFrame, c: str, sep: str | None = "/", max_categories: int = MAX_DENSE_CATEGORIES) -> list[str] | None:
+    """None for more than ``max_categories``. Sorted distinct parts of a (multi-valued) string column; an empty part is no category."""
     vals = F.explode(parts(c, sep)) if sep else F.col(c)
     d = df.select(vals.alias("v")).filter(F.col("v").isNotNull())
-    if sep or df.schema[c].dataType.typeName() == "string":
+    if sep:
         d = d.filter(F.col("v") != "")
-    d = d.distinct()
-    rows = d.orderBy("v").limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise ValueError(f"{c}: more than {max_categories} categories; use multi_hot_long or a sparse vector")
-    return [r[0] for r in rows]
+    rows = d.distinct().limit(max_categories + 1).collect()
+    return None if len(rows) > max_categories else sorted(r[0] for r in rows)
 
 
 def categories_of_many(df: DataFrame, cols: list[str], sep: str = "/",
-                       max_categories: int = MAX_DENSE_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct parts of several multi-valued columns in ONE job (bounded per column)."""
+                       max_categories: int = MAX_DENSE_CATEGORIES) -> dict[str, list[str] | None]:
+    """Sorted distinct parts of several multi-valued columns in one pass; None for a column with too many.
+
+    Numbers of parts come first, parts only of the columns within the bound.
+    """
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])
     d = (df.select(F.explode(pairs).alias("p"))
          .select(F.col("p.c").alias("c"), F.explode(F.split(F.col("p.v"), _quote_regex(sep))).alias("v"))
          .filter(F.col("v").isNotNull() & (F.col("v") != "")).distinct())
-    rows = d.limit(max_categories * len(cols) + 1).collect()
-    out = {c: sorted(r["v"] for r in rows if r["c"] == c) for c in cols}
-    too_many = [c for c, v in out.items() if len(v) > max_categories]
-    if too_many or len(rows) > max_categories * len(cols):
-        raise ValueError(f"{too_many}: more than {max_categories} categories; use multi_hot_long")
-    return out
+    sizes = {r["c"]: r["n"] for r in d.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    dense = [c for c in cols if sizes.get(c, 0) <= max_categories]
+    rows = d.filter(F.col("c").isin(dense)).collect() if dense else []
+    return {c: sorted(r["v"] for r in rows if r["c"] == c) if c in dense else None for c in cols}
 
 
 def multi_hot(df: DataFrame, c: str, sep: str = "/", categories: list[str] | None = None,
-              prefix: str | None = None) -> DataFrame:
-    """One 0/1 column ``<col>_<part>`` per distinct part; '' is not a category."""
-    cats = categories_of(df, c, sep) if categories is None else sorted(set(categories) - {""})
+              prefix: str | None = None, fitted: bool = False) -> DataFrame:
+    """One 0/1 column ``<col>_<part>`` per distinct part; '' is not a category.
+
+    With too many parts the result is the sparse column ``<col>_parts`` instead;
+    ``fitted`` says that ``categories`` comes from such a count, None for too many.
+    """
+    cats = categories_of(df, c, sep) if categories is None and not fitted else categories
+    cats = cats if cats is None else sorted(set(cats) - {""})
     arr = parts(c, sep)
+    if cats is None:
+        held = F.array_sort(F.array_distinct(F.filter(arr, lambda v: v.isNotNull() & (v != ""))))
+        return df.withColumn(f"{c}_parts", F.coalesce(held, F.array().cast("array<string>")))
     p = prefix if prefix is not None else f"{c}_"
     return df.withColumns({f"{p}{v}": F.coalesce(F.array_contains(arr, F.lit(v)).cast("int"), F.lit(0))
                            for v in cats})
@@ -99,15 +106,24 @@ def one_hot_low_card(df: DataFrame, cols: list[str] | None = None, min_card: int
     return df.withColumns(new)
 
 
-def label_index(df: DataFrame, c: str, max_classes: int = 100_000) -> DataFrame:
-    """G6 fit: sorted classes -> code 0..k-1.
+def label_index(df: DataFrame, c: str) -> DataFrame:
+    """G6 fit: (value, code) with the sorted classes numbered from 0; '' is a class, NULL is none.
 
-    The class list is read with a checked bound (``max_classes``) and turned
-    back into a small table that is broadcast when applied.
+    Classes are sorted in range partitions and written once; a class's code is its
+    place in its partition after the sizes of the partitions before.
     """
-    classes = categories_of(df, c, sep=None, max_categories=max_classes)
-    return df.sparkSession.createDataFrame(list(zip(classes, range(len(classes)))),
-                                           f"value {df.schema[c].dataType.simpleString()}, code int")
+    from pyspark.sql import Window
+
+    from tenderlens.session import cut_lineage
+    d = df.select(F.col(c).alias("value")).where(F.col("value").isNotNull()).distinct()
+    d = d.repartitionByRange("value").sortWithinPartitions("value")
+    d = cut_lineage(d.withColumn("at", F.monotonically_increasing_id()), "classes")
+    d = d.select("value", F.shiftright("at", 33).alias("part"),
+                 F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = d.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return d.join(starts, "part").select("value", (F.col("start") + F.col("place")).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, c: str, index: DataFrame | None = None, out: str | None = None,
@@ -115,6 +131,6 @@ def label_encode(df: DataFrame, c: str, index: DataFrame | None = None, out: str
     """G6 apply: one fitted index for train and test (Q12); unseen / NULL -> ``unseen``."""
     index = label_index(df, c) if index is None else index
     out = out or f"{c}_code"
-    j = df.join(F.broadcast(index.withColumnRenamed("value", "__v").withColumnRenamed("code", "__code")),
+    j = df.join(index.withColumnRenamed("value", "__v").withColumnRenamed("code", "__code"),
                 F.col(c) == F.col("__v"), "left")
     return j.withColumn(out, F.coalesce(F.col("__code"), F.lit(unseen))).drop("__v", "__code")

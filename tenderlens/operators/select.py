@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Fewer candidate features or rows are not worth a selection.
+MIN_FEATURES, MIN_ROWS = 5, 30
+
+
 def f_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """(feature, n, r, f_score) for every candidate; constant columns score lowest."""
     d = df.fillna(0, subset=features)

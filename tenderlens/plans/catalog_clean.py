@@ -177,7 +177,10 @@ def distinct_notices_q(spark, sf):
     return V.bids(spark, sf).select("공고번호").distinct()
 
 
-@query("collection_profile", """SELECT 'bids' AS collection, count(*) AS n_documents, 6 AS n_fields,
+FIRST_FIELDS = "공고번호,l_linenumber,l_partkey,l_suppkey,l_extendedprice"
+
+
+@query("collection_profile", f"""SELECT 'bids' AS collection, count(*) AS n_documents, 6 AS n_fields, '{FIRST_FIELDS}' AS first_fields,
        count(DISTINCT l_orderkey) AS n_notices, count(*) = 0 AS is_empty FROM lineitem""")
 def collection_profile_q(spark, sf):
     from tenderlens.sources.store import collection_profile

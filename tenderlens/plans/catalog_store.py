@@ -11,8 +11,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tenderlens.plans import catalog_tender as CT
 from tenderlens.plans import tender as TP
-from tenderlens.plans.catalog import query, r, round_doubles
+from tenderlens.plans.catalog import q, query, r, round_doubles
 from tenderlens.roles import TenderColumns
 from tenderlens.session import checkpoint_dir
 from tenderlens.sources import files as FI
@@ -20,6 +21,7 @@ from tenderlens.sources import store as ST
 from tenderlens.sources import views as V
 
 C = TenderColumns()
+NT_SQL, TRANSFORM_SQL = CT.NT_SQL, CT.TRANSFORM_SQL
 LAST_FIRST = "l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC"
 
 
@@ -74,7 +76,7 @@ def scan_collection_q(spark, sf):
     return ST.scan_collection(spark, f"{path}/preprocessed_3/v=000001")
 
 
-@query("lookup_notice", f"""WITH {__import__('tenderlens.plans.catalog_tender', fromlist=['NT_SQL']).NT_SQL.strip()},
+@query("lookup_notice", f"""WITH {NT_SQL.strip()},
 ids AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R')
 SELECT nt."공고번호", CASE WHEN nt."예가범위" = '+2%~-2%' THEN 'range2' WHEN nt."예가범위" = '+3%~-3%' THEN 'range3'
        ELSE 'others' END AS collection, {r('nt."기초금액"')} AS "기초금액"
@@ -89,54 +91,65 @@ def lookup_notice_q(spark, sf):
         C.key, "collection", C.base))
 
 
-@query("scan_csv_glob", None)
+CSV_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"]
+
+
+@query("scan_csv_glob", "SELECT " + ", ".join(
+    r(c) + f" AS {c}" if c == "l_quantity" else c for c in CSV_COLS) + ", 'DataSet_part' AS dataset FROM lineitem")
 def scan_csv_glob_q(spark, sf):
-    """A1: bid CSV files written per return flag, read back by one glob with their dataset names."""
+    """A1: bid CSV files written per return flag, read back by one glob with their dataset names
+    (the writer's file names go on with a random part, cut off here)."""
     path = _scratch(spark, "csv")
-    b = V.bids(spark, sf).join(V.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias(C.key), *V.BID_ORDER, "l_returnflag"), [C.key, *V.BID_ORDER])
-    FI.write_datasets(b, path, "l_returnflag", fmt="csv")
-    df = FI.scan_csv_glob(spark, f"{path}/*/*.csv")
-    return df.groupBy(F.col("dataset").startswith("DataSet_part-").alias("named")).count()
+    li = V.table(spark, sf, "lineitem").select(*CSV_COLS)
+    li.withColumn("folder", F.col("l_returnflag")).write.partitionBy("folder").option("header", True).csv(path)
+    df = FI.scan_csv_glob(spark, f"{path}/*/*.csv", li.schema)
+    return round_doubles(df.withColumn("dataset", F.split("dataset", "-")[0]))
 
 
-@query("scan_json", None)
+@query("scan_json", "SELECT doc_id, lang, source, n_chars, text FROM documents")
 def scan_json_q(spark, sf):
-    """A2: documents written as JSON lines and read back."""
+    """A2: documents written as JSON lines and read back, every row."""
     path = _scratch(spark, "json")
-    V.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars").write.json(path)
-    return FI.scan_json(spark, path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    docs = V.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    docs.write.json(path)
+    return FI.scan_json(spark, path, docs.schema)
 
 
-@query("scan_csv_fallback", None)
+@query("scan_csv_fallback", f"SELECT o_orderkey, {r('o_totalprice')} AS o_totalprice FROM orders")
 def scan_csv_fallback_q(spark, sf):
     """A3: the default path is missing, the fallback path is read."""
     path = _scratch(spark, "fallback")
-    V.table(spark, sf, "orders").select("o_orderkey", "o_totalprice").write.option("header", True).csv(path)
-    return FI.scan_csv_fallback(spark, [f"{path}-missing", path]).agg(F.count(F.lit(1)).alias("n"))
+    o = V.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    o.write.option("header", True).csv(path)
+    return round_doubles(FI.scan_csv_fallback(spark, [f"{path}-missing", path], o.schema))
 
 
-@query("write_datasets", None)
+@query("write_datasets", TRANSFORM_SQL)
 def write_datasets_q(spark, sf):
-    """A8 + A13: the tender datasets written one folder per dataset (dynamic overwrite), read back."""
+    """The tender datasets with all targets written one folder per dataset, read back."""
     path = _scratch(spark, "datasets")
-    n, b = V.notices(spark, sf), V.bids(spark, sf)
-    t = TP.transform(n, b).select(C.key, "dataset", "010_001", "010_010")
+    t = TP.transform(V.notices(spark, sf), V.bids(spark, sf))
     FI.write_datasets(t, path)
-    FI.write_datasets(t.filter(F.col("dataset") == "range3"), path)  # replaces only that dataset's folder
-    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
+    return round_doubles(spark.read.parquet(path).select(*t.columns))
 
 
-@query("write_split", None)
-def write_split_q(spark, sf):
-    """A9 + A7: train/test written side by side and loaded back (missing split -> error)."""
+_ORDER_SPLIT = "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 100 < 20"
+_SPLIT_ROWS = f"""SELECT o_orderkey, {r('o_totalprice')} AS o_totalprice,
+       CASE WHEN {_ORDER_SPLIT} THEN 'test' ELSE 'train' END AS split FROM orders"""
+
+
+def _written_splits(spark, sf):
     from tenderlens.operators.model import hash_split
     path = _scratch(spark, "split")
     o = hash_split(V.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
-    o = o.withColumn("split", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test")
-    FI.write_split(o, path)
-    parts = FI.load_split_tables(spark, path)
-    return parts["train"].groupBy("split").count().unionByName(parts["test"].groupBy("split").count())
+    FI.write_split(o.withColumn("split", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test"), path)
+    return path
+
+
+@query("write_split", _SPLIT_ROWS)
+def write_split_q(spark, sf):
+    """Train and test rows written side by side, read back."""
+    return round_doubles(spark.read.parquet(_written_splits(spark, sf)).select("o_orderkey", "o_totalprice", "split"))
 
 
 @query("stage_metrics", None)
@@ -182,36 +195,78 @@ def run_summary_q(spark, sf):
 
 
 def _bid_table(spark, sf):
-    """lineitem with names that carry the role keywords (amounts, dates)."""
+    """lineitem with the amount, date and price names of the roles."""
     li = V.table(spark, sf, "lineitem")
+    net = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
     return li.select(F.col("l_orderkey").alias("notice_no"), *V.BID_ORDER[:3],
-                     F.col("l_extendedprice").alias("bid_amount"), F.col("l_quantity").alias("qty"),
-                     (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("net_price"),
+                     F.col("l_extendedprice").alias("기초금액"), net.alias("예정금액"),
+                     (net * (F.lit(1.0) + F.col("l_tax"))).alias("투찰가"), F.col("l_quantity").alias("qty"),
                      F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
                      F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"))
 
 
-def _bid_roles():
+def _bid_roles(**more):
     from tenderlens.roles import ColumnRoles
-    return ColumnRoles(key="notice_no", dedupe_key=None, essential=("notice_no",), target=("net_price",),
-                       required=("notice_no", "bid_amount"), exclude_keywords=("id", "ID", "번호", "index", "_no"))
+    return ColumnRoles(key="notice_no", dedupe_key=None, essential=("notice_no",),
+                       required=("notice_no", "기초금액"), **more)
+
+
+_SCALED = [*V.BID_ORDER[:3], "기초금액", "예정금액", "투찰가", "qty", "norm_log_기초금액", "norm_log_예정금액"]
+_PREPROCESS_CTE = """WITH b AS (SELECT l_orderkey AS notice_no, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS b0,
+    l_extendedprice * (1.0::DOUBLE - l_discount) AS e0, l_quantity AS qty, l_returnflag AS flag, l_linestatus AS status,
+    l_extendedprice * (1.0::DOUBLE - l_discount) * (1.0::DOUBLE + l_tax) AS p, l_shipdate AS d
+  FROM lineitem WHERE l_orderkey IS NOT NULL),
+k AS (SELECT quantile_cont(b0, 0.25) AS b1, quantile_cont(b0, 0.75) AS b3, quantile_cont(e0, 0.25) AS e1,
+             quantile_cont(e0, 0.75) AS e3 FROM b),
+c AS (SELECT b.*, least(greatest(b0, b1 - 1.5 * (b3 - b1)), b3 + 1.5 * (b3 - b1)) AS "기초금액",
+             least(greatest(e0, e1 - 1.5 * (e3 - e1)), e3 + 1.5 * (e3 - e1)) AS "예정금액", p AS "투찰가" FROM b, k),
+u AS (SELECT *, ln(1 + "기초금액") AS "norm_log_기초금액", ln(1 + "예정금액") AS "norm_log_예정금액" FROM c),
+m AS (SELECT """ + ", ".join(f'min({q(x)}) AS "lo_{x}", max({q(x)}) AS "hi_{x}"' for x in _SCALED) + """ FROM u),
+z AS (SELECT notice_no, flag, status, date_trunc('day', d) AS ship_date, """ + ", ".join(
+    f'({q(x)} - "lo_{x}") / ("hi_{x}" - "lo_{x}")::DOUBLE AS {q(x)}' for x in _SCALED) + """,
+    u."기초금액" AS ub, u."예정금액" AS ue, u."투찰가" AS up, u."norm_log_기초금액" AS lb, u."norm_log_예정금액" AS le
+  FROM u, m)
+"""
+
 
+def _guarded(a: str, b: str) -> str:
+    return f"CASE WHEN {b} = 0 THEN 0 ELSE {a} / {b} END"
 
-@query("preprocess", None)
+
+@query("preprocess", _PREPROCESS_CTE + "SELECT notice_no, flag, status, ship_date, " + ", ".join(
+    f"{r(q(x))} AS {q(x)}" for x in _SCALED) + ", " + ", ".join(
+    f"CAST({c} = '{v}' AS INTEGER) AS {c}_{v}" for c, v in
+    (("flag", "A"), ("flag", "N"), ("flag", "R"), ("status", "F"), ("status", "O"))) + f""",
+    year(ship_date) AS ship_date_year, month(ship_date) AS ship_date_month, day(ship_date) AS ship_date_day,
+    isodow(ship_date) - 1 AS ship_date_weekday, quarter(ship_date) AS ship_date_quarter,
+    {r(_guarded('"norm_log_기초금액"', '"norm_log_예정금액"'))} AS "ratio_기초금액_예정금액",
+    {r('"norm_log_기초금액" - "norm_log_예정금액"')} AS "diff_기초금액_예정금액",
+    {r('up / nullif(ue, 0)')} AS "낙찰가격비율", {r(_guarded('ue', 'ub'))} AS "예정가비율",
+    {r(_guarded('le', 'lb'))} AS "log_예정가비율", {r(_guarded('up', 'ub'))} AS "투찰가_기초금액비율",
+    {r(_guarded('up', 'ue'))} AS "투찰가_예정금액비율" FROM z""")
 def preprocess_q(spark, sf):
     """P2 on the bid-like lineitem table (no dedupe key: bids keep every row, Q21)."""
     from tenderlens.plans import preprocess as PP
     return round_doubles(PP.run(_bid_table(spark, sf), "bid_data_lineitem", _bid_roles()))
 
 
-@query("custom_hook", None)
+@query("preprocess_advanced", None)
+def preprocess_advanced_q(spark, sf):
+    """P2 with its optional blocks: k-best selection for a target and the numeric PCA, one row per input row."""
+    from tenderlens.plans import preprocess as PP
+    return round_doubles(PP.run(_bid_table(spark, sf), "bid_data_lineitem", _bid_roles(target=("투찰가",)),
+                                advanced=True))
+
+
+@query("custom_hook", _PREPROCESS_CTE + f"""SELECT notice_no, {r('l_linenumber')} AS l_linenumber,
+    'bid_data_lineitem' AS hook_dataset, {r('"기초금액" / nullif(qty, 0)')} AS amount_per_qty FROM z""")
 def custom_hook_q(spark, sf):
     """A user hook ``(df, name, roles) -> df`` runs after the feature stage."""
     from tenderlens.plans import preprocess as PP
 
     def hook(df, name, roles):
         return df.withColumn("hook_dataset", F.lit(name)).withColumn(
-            "amount_per_qty", F.try_divide(F.col("bid_amount"), F.col("qty")))
+            "amount_per_qty", F.try_divide(F.col("기초금액"), F.col("qty")))
 
     out = PP.run(_bid_table(spark, sf), "bid_data_lineitem", _bid_roles(), hook=hook)
     return round_doubles(out.select("notice_no", "l_linenumber", "hook_dataset", "amount_per_qty"))
@@ -261,27 +316,34 @@ def common_schema_q(spark, sf):
     return spark.createDataFrame([(c,) for c in common_schema(n, b)], "column_name string")
 
 
-@query("load_split_tables", None)
+@query("load_split_tables", _SPLIT_ROWS)
 def load_split_tables_q(spark, sf):
     """Both saved splits loaded (a missing one raises)."""
-    from tenderlens.operators.model import hash_split
-    path = _scratch(spark, "splits")
-    o = hash_split(V.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
-    FI.write_split(o.withColumn("split", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test"), path)
-    parts = FI.load_split_tables(spark, path)
-    return parts["train"].unionByName(parts["test"]).groupBy("split").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    parts = FI.load_split_tables(spark, _written_splits(spark, sf))
+    return round_doubles(parts["train"].unionByName(parts["test"]).select("o_orderkey", "o_totalprice", "split"))
 
 
-@query("overwrite_collections", None)
+@query("overwrite_collections", f"""WITH {NT_SQL.strip()}
+SELECT "공고번호", CASE WHEN "예가범위" = '+2%~-2%' THEN 'range2' WHEN "예가범위" = '+3%~-3%' THEN 'range3'
+       ELSE 'others' END AS dataset, CASE WHEN "예가범위" = '+3%~-3%' THEN 0.0 ELSE {r('"기초금액"')} END AS "기초금액"
+FROM nt""")
 def overwrite_collections_q(spark, sf):
-    """A collection replaced in place per dataset (dynamic partition overwrite)."""
+    """One dataset of a collection replaced in place (dynamic partition overwrite), all rows read back."""
     path = _scratch(spark, "collections")
     nt = TP.separate(TP.clean_notices(V.notices(spark, sf))).select(C.key, "dataset", C.base)
     FI.write_datasets(nt, path)
     FI.write_datasets(nt.filter(F.col("dataset") == "range3").withColumn(C.base, F.lit(0.0)), path)
-    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"),
-                                                            F.count_if(F.col(C.base) == 0).alias("n_replaced"))
+    return round_doubles(spark.read.parquet(path).select(C.key, "dataset", C.base))
+
+
+@query("first_collection", f"SELECT o_orderkey, {r('o_totalprice')} AS o_totalprice FROM orders WHERE NOT ({_ORDER_SPLIT})")
+def first_collection_q(spark, sf):
+    """A5 + A16: the first name and the test split do not exist, so the train split of the second is read."""
+    from tenderlens.operators.model import hash_split
+    root = _scratch(spark, "collections")
+    o = hash_split(V.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    o.where(~F.col("is_test")).drop("is_test").write.parquet(f"{root}/{ST.collection_alias('DataSet_3')}_train")
+    return round_doubles(ST.first_collection(spark, root, ["DataSet_2", "dataset3"], ("test", "train")))
 
 
 @query("prediction_docs", None)

@@ -108,12 +108,11 @@ def range_bounds_q(spark, sf):
                                    b["valid"].alias("valid")))
 
 
-@query("drop_null_keys", f"""SELECT count(*) AS n_rows, count(DISTINCT {KEY}) AS n_keys
+@query("drop_null_keys", f"""SELECT {KEY}, {q(C.range_text)}, {q(C.n_bidders)}
 FROM ({V.NOTICES_SQL}) WHERE {KEY} IS NOT NULL AND {q(C.range_text)} IS NOT NULL""")
 def drop_null_keys_q(spark, sf):
     from tenderlens.operators.clean import drop_null_keys
-    d = drop_null_keys(V.notices(spark, sf), [C.key, C.range_text])
-    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(C.key).alias("n_keys"))
+    return drop_null_keys(V.notices(spark, sf), [C.key, C.range_text]).select(C.key, C.range_text, C.n_bidders)
 
 
 NOTICE_OUT = [C.key, C.agency, C.region, C.base, C.estimate, C.range_text, C.a_value, C.bid_rate,
@@ -267,13 +266,23 @@ SELECT lg.{KEY}, lg.{q(C.range_text)}, lg.dataset, {norm}, {hots}, targets.* EXC
 FROM lg JOIN st ON lg.dataset = st.dataset JOIN targets ON targets.{KEY} = lg.{KEY}"""
 
 
-@query("transform", _transform_sql())
+TRANSFORM_SQL = _transform_sql()
+
+
+@query("transform", TRANSFORM_SQL)
 def transform_q(spark, sf):
     """H8 flagship: cleaned notices x parsed bids -> features + 180 targets per notice."""
     n, b = _ctx(spark, sf)
     return round_doubles(TP.transform(n, b))
 
 
+@query("range_rejects", f"""WITH {NT_SQL.strip()}, {NB_SQL.strip()}
+SELECT {KEY} FROM nb WHERE lvl = 0 AND NOT coalesce(lo < hi, false)""")
+def range_rejects_q(spark, sf):
+    """the notices that ``transform`` gives no targets, their range text having no pair of bounds."""
+    return TP.range_rejects(TP.clean_notices(V.notices(spark, sf)))
+
+
 @query("process_notices", None)
 def process_notices_q(spark, sf):
     """H7 with the title text features (hashed embedding -> PCA, 20 columns)."""

@@ -178,7 +178,7 @@ def process_notices(df: DataFrame, targets: DataFrame | None, cols: TenderColumn
     d = d.withColumn(cols.a_value, a_value_ratio(cols.a_value, cols.base))
     d = standardize_by(d, DATASET, {**{c: f"norm_log_{c}" for c in amounts}, cols.a_value: "norm_A값/기초금액"})
     for c in hot_cols:
-        d = multi_hot(d, c, categories=categories[c])
+        d = multi_hot(d, c, categories=categories[c], fitted=True)
     if text_features:
         from tenderlens.operators.text import reduced_text_features
         red = reduced_text_features(d.select(cols.key, cols.title), cols.key, cols.title, k=text_features)

@@ -49,13 +49,13 @@ class ColumnRoles:
     date: tuple[str, ...] = ()
     target: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
-    exclude_keywords: tuple[str, ...] = ("id",)
+    exclude_keywords: tuple[str, ...] = ("id", "ID", "번호", "index")
     order_cols: tuple[str, ...] = field(default_factory=tuple)
 
 
 # Name keywords used to pick amount, text and date columns.
 AMOUNT_KEYWORDS = ("금액", "price", "amount", "비용")
-TEXT_KEYWORDS = ("제목", "title", "내용", "content", "description", "설명")
+TEXT_KEYWORDS = ("제목", "내용", "설명", "title", "content", "항목", "공고")
 DATE_KEYWORDS = ("date", "날짜", "일자", "시작일", "종료일")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def scan_csv_glob(spark: SparkSession, pattern: str, schema=None, dataset_col: str = "dataset") -> DataFrame:
     """A1: all CSV files of a glob as one DataFrame; ``dataset`` = 'DataSet_' + name up to the first dot.
 
-    Unreadable files are skipped (``ignoreCorruptFiles``) instead of failing the job.
+    Unreadable files do not fail the job; :func:`rejected_files` names them.
     """
     r = spark.read.option("header", True).option("ignoreCorruptFiles", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
@@ -18,9 +18,19 @@ def scan_csv_glob(spark: SparkSession, pattern: str, schema=None, dataset_col: s
                                                F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1)))
 
 
-def scan_json(spark: SparkSession, pattern: str, schema=None) -> DataFrame:
-    """A2: JSON documents (one per line or multi-line arrays)."""
-    r = spark.read.option("multiLine", True)
+def rejected_files(spark: SparkSession, pattern: str, scanned: DataFrame) -> DataFrame:
+    """A1: (path, length) of the glob's files that gave no row to the scan: unreadable or empty.
+
+    The listing reads no contents.
+    """
+    listed = spark.read.format("binaryFile").load(pattern).select("path", "length")
+    seen = scanned.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(seen, "path", "left_anti")
+
+
+def scan_json(spark: SparkSession, pattern: str, schema=None, multi_line: bool = False) -> DataFrame:
+    """A2: JSON documents, one per line; ``multi_line`` for files that hold one document or an array."""
+    r = spark.read.option("multiLine", multi_line)
     return (r.schema(schema) if schema is not None else r).json(pattern)
 
 

@@ -1,52 +1,77 @@
 """Keyed upsert as a Structured Streaming sink (``foreachBatch``).
 
-Each micro-batch is merged into the latest snapshot of the collection and
-written as the next snapshot folder ``v=<epoch>``. A retried epoch rewrites
-only its own folder, so the sink is idempotent per epoch; readers take the
-newest complete snapshot.
+A collection is spread over a fixed number of key buckets. Each micro-batch
+merges only the buckets its keys fall into and writes them as the folder
+``v=<epoch>/bucket=<n>``; the other buckets stay where an earlier epoch wrote
+them. A retried epoch rewrites only its own folder, so the sink is idempotent
+per epoch; readers take each bucket's newest complete version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenderlens.sources.store import upsert_by_key
 
+BUCKETS = 256
+_BUCKET = "bucket"
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+
+def _folders(spark: SparkSession, path: str, prefix: str, complete: bool) -> dict[int, str]:
+    """Number -> path of the folders ``<prefix>=<number>`` (with ``complete``: written to the end)."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for st in fs.listStatus(p) if fs.exists(p) else []:
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+        if name.startswith(f"{prefix}=") and (not complete or fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
+            out[int(name.partition("=")[2])] = st.getPath().toString()
+    return out
+
+
+def bucket_paths(spark: SparkSession, path: str, before: int | None = None) -> dict[int, str]:
+    """Bucket -> folder of its newest complete version (of an epoch under ``before``)."""
+    out: dict[int, str] = {}
+    for version, folder in sorted(_folders(spark, path, "v", True).items()):
+        if before is None or version < before:
+            out.update(_folders(spark, folder, _BUCKET, False))
+    return out
+
+
+def _read(spark: SparkSession, folders: list[str]) -> DataFrame | None:
+    return spark.read.option("mergeSchema", True).parquet(*folders) if folders else None
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    v = _versions(spark, path)
-    return spark.read.parquet(f"{path}/v={v[-1]:09d}") if v else None
+    return _read(spark, sorted(bucket_paths(spark, path).values()))
+
+
+def key_bucket(keys: list[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
 
+def upsert_batch_writer(path: str, keys: list[str], order: str, buckets: int = BUCKETS):
+    """A ``foreachBatch`` function merging each batch into ``path``; ``order`` says which row of a key is last."""
+    if not order:
+        raise ValueError("an upsert needs an order column: the last row of a key wins")
 
-def upsert_batch_writer(path: str, keys: list[str], order: str | None = None):
-    """A ``foreachBatch`` function merging each batch into ``path``."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        prior = [v for v in _versions(spark, path) if v < epoch_id + 1]
-        current = spark.read.parquet(f"{path}/v={prior[-1]:09d}") if prior else None
+        spark, version = batch.sparkSession, epoch_id + 1
+        touched = [r[0] for r in batch.select(key_bucket(keys, buckets).alias("b")).distinct().collect()]
+        have = bucket_paths(spark, path, version)
+        current = _read(spark, [have[b] for b in sorted(touched) if b in have])
         merged = upsert_by_key(current, batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/v={epoch_id + 1:09d}")
+        (merged.withColumn(_BUCKET, key_bucket(keys, buckets)).write.mode("overwrite")
+         .partitionBy(_BUCKET).parquet(f"{path}/v={version:09d}"))
     return write
 
 
-def start_upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str,
-                        order: str | None = None, available_now: bool = True):
-    w = stream.writeStream.foreachBatch(upsert_batch_writer(path, keys, order)).option(
+def start_upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str, order: str,
+                        available_now: bool = True, buckets: int = BUCKETS):
+    w = stream.writeStream.foreachBatch(upsert_batch_writer(path, keys, order, buckets)).option(
         "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
