@@ -60,6 +60,17 @@ def bucket_of(key: Column, bounds: list) -> Column:
     return F.when(key.isNull(), F.lit(0)).otherwise(tree(0, len(bounds)))
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """What a Python worker keeps between tasks: one operator's caches, so that stages do not add up in memory."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def group_ranks(rows: DataFrame, group: list[str], order: list[Column], slot: Column, slots: int) -> DataFrame:
     """Adds ``rank`` (0, 1, ...) within each group without gathering a group in one task.
 

@@ -16,11 +16,12 @@ import zlib
 
 import numpy as np
 
-MEMO = 400_000
+from .common import held
+
+MEMO = 300_000
 # ASCII punctuation without the apostrophe, which the pre-tokenizers treat apart
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PAIR_OF_SPACES = re.compile(r"\s\s")
-_made: dict[tuple[str, bool], WordEncoder] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -85,11 +86,8 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder per worker and file."""
-    key = (path, True)
-    if key not in _made:
-        _made[key] = WordEncoder(path)
-    return _made[key]
+    """The worker's encoder for a tokenizer file."""
+    return held(("encoder", path), lambda: WordEncoder(path))
 
 
 def crc32(ids: bytes) -> int:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import held, text_or_empty
 
 HEURISTICS = ("symbols", "capitals", "distinct_words", "repeats", "bars", "sentences", "lines", "top_word", "mark_runs",
               "lone_marks")
@@ -39,7 +39,7 @@ _SHAPES, _RATIOS = 1 << 12, 256  # slots for shapes, then for ratios, the rest f
 _RUNS = re.compile(r"(.)\1+")
 _MARK_RUNS = re.compile(r"[!-/:-@\[-`{-~]{2,}")
 _LONE_MARKS = re.compile(r"(?<!\S)[!-/:-@\[-`{-~]+(?!\S)")
-_MEMO = 300_000
+_MEMO = 200_000
 
 
 class _Words(dict):
@@ -56,9 +56,6 @@ class _Words(dict):
         return slots
 
 
-_words = _Words()
-
-
 def measures(text: str) -> tuple[list[str], dict[str, float]]:
     """The words and the ratios that the heuristics and the scorer look at."""
     words = text.split()
@@ -148,7 +145,7 @@ def estimate(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float
 
 def features(words: list[str], m: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features (slots, values): shares of shapes and words, ratios in steps."""
-    packed = np.fromiter(map(_words.__getitem__, words), np.int64, len(words))
+    packed = np.fromiter(map(held("word slots", _Words).__getitem__, words), np.int64, len(words))
     shape = np.bincount(packed >> BITS, minlength=_SHAPES)
     word = np.bincount(packed & ((1 << BITS) - 1), minlength=1 << BITS)
     word[:_SHAPES] = shape

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, parts, text_or_empty
+from .common import cut_lineage, held, parts, text_or_empty
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit, bits
@@ -225,6 +225,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = ["id", *extra, "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("simhash", dict)  # lets other operators' caches go
         for batch in batches:
             fps = pa.array([_signed(simhash(t, size)) for t in batch.column(batch.num_columns - 1).to_pylist()],
                            pa.int64())

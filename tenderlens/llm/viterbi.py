@@ -19,16 +19,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import held, text_or_empty
 
-MEMO = 500_000
+MEMO = 400_000
 PENALTY = 10.0  # fixed value of the library's unigram model
 SPACE = "\u2581"
 
@@ -92,10 +91,9 @@ class Counter(dict):
         return sum([f[0] for f in found]), math.fsum([f[1] for f in found])
 
 
-@cache
 def counter(model_file: str) -> Counter:
-    """One automaton per worker."""
-    return Counter(unigram_vocabulary(model_file))
+    """The worker's automaton for a vocabulary file."""
+    return held(("unigrams", model_file), lambda: Counter(unigram_vocabulary(model_file)))
 
 
 def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
