@@ -5,14 +5,14 @@ A bid's assessment rate falls into bin ``i`` of granularity ``n`` when
 outside the range land in bin 1 or bin n and shares always sum to 1.
 
 Scale notes:
-* Bin indices are column expressions (codegen): fixed edges become a
-  balanced comparison tree (depth log2 n), equal-width edges a floor that is
-  corrected against the two neighbouring edges, so no per-row edge arrays.
+* Bin indices are column expressions: fixed edges go through ML
+  ``Bucketizer`` (binary search), equal-width edges are a floor that is corrected
+  against the two neighbouring edges, so no per-row edge arrays.
 * The edge table is tiny and bounded (levels x 4 granularities x <100 edges);
-  it is read once on the driver to build those expressions.
-* Shares are one aggregation by notice with 180 conditional counts; Spark
-  aggregates partially on the map side, so a notice with very many bids
-  sends only one partial row per task through the shuffle.
+  it is read once on the driver behind a check of its size.
+* Shares are counted long, per (notice, cell), with weights: rows that are equal
+  were counted before, so a notice with very many bids sends one row per
+  different rate, and are read into columns from a map of at most 180 cells.
 """
 
 from __future__ import annotations
@@ -87,29 +87,10 @@ def collect_edges(edges_long: DataFrame) -> dict:
     return out
 
 
-def _fmt(v: float) -> str:
-    # exact round-trip literal for a double in Spark SQL
-    return f"CAST('{float(v)!r}' AS DOUBLE)"
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def bin_index_fixed_sql(x: str, edges: list[float]) -> str:
-    """H3 for fixed edges as SQL: 1 + #(edges <= x) by a balanced comparison tree."""
-    edges = sorted(edges)
-
-    def tree(lo: int, hi: int) -> str:
-        # number of edges <= x lies in [lo, hi]
-        if lo == hi:
-            return str(lo + 1)
-        mid = (lo + hi + 1) // 2
-        return f"CASE WHEN {x} >= {_fmt(edges[mid - 1])} THEN {tree(mid, hi)} ELSE {tree(lo, mid - 1)} END"
-
-    return f"CAST(CASE WHEN {x} IS NULL THEN NULL ELSE {tree(0, len(edges))} END AS INT)"
-
-
 def bin_index_equal_width_sql(x: str, lower: str, upper: str, n: int) -> str:
     """H3 for equal-width edges: floor guess corrected on the neighbouring edges."""
     lo = f"CAST({lower} AS DOUBLE)"
@@ -193,29 +174,18 @@ def cell_offsets(granularities=GRANULARITIES) -> dict[int, int]:
     return out
 
 
-def long_bin_counts(binned: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
-    """(keys, cell, c): one row per non-empty (granularity, bin) cell; 4 hash updates per input row."""
+def long_bin_counts(binned: DataFrame, keys: list[str], granularities=GRANULARITIES, weight: str | None = None
+                    ) -> DataFrame:
+    """(keys, cell, c): one row per non-empty (granularity, bin) cell; ``weight``: rows that a row stands for."""
     off = cell_offsets(granularities)
     cells = F.array(*[F.col(f"__b{n}") - 1 + off[n] for n in granularities])
-    return (binned.select(*keys, F.explode(cells).alias("cell"))
-            .groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("c")))
-
-
-def bin_count_aggs(granularities=GRANULARITIES) -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    for n in granularities:
-        aggs += [F.expr(f"count_if(__b{n} = {i}) AS __c{target_name(n, i)}") for i in range(1, n + 1)]
-    return aggs
-
-
-def shares_from_counts(counts: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:
-    shares = [f"__c{target_name(n, i)} / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
-              for n in granularities for i in range(1, n + 1)]
-    return counts.selectExpr(*[_q(k) for k in keys], *shares)
+    w = F.col(weight) if weight else F.lit(1)
+    return (binned.select(*keys, w.cast("long").alias("__w"), F.explode(cells).alias("cell"))
+            .groupBy(*keys, "cell").agg(F.sum("__w").alias("c")))
 
 
 def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARITIES,
-                    total_col: str | None = None) -> DataFrame:
+                    total_col: str | None = None, weight: str | None = None) -> DataFrame:
     """H5: one row per key with one share column per (granularity, bin).
 
     Long counts first (partial aggregation: a key with very many rows sends
@@ -223,7 +193,7 @@ def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARIT
     at most sum(granularities) entries -- a fixed bound -- read out into
     columns (integer keys: the lookups compare ints, not label strings).
     """
-    counts = long_bin_counts(binned, keys, granularities)
+    counts = long_bin_counts(binned, keys, granularities, weight)
     off = cell_offsets(granularities)
     first = granularities[0]
     per_key = counts.groupBy(*keys).agg(

@@ -11,10 +11,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def hash_bucket(key, seed: int = 42, buckets: int = 100) -> F.Column:
@@ -64,22 +66,35 @@ def fit_linear_multi(df: DataFrame, features: list[str], targets: list[str], rid
     return {"features": features, "targets": targets, "coef": coef, "intercept": intercept}
 
 
-def predict_linear_long(df: DataFrame, key: str, model: dict, model_name: str = "LR") -> DataFrame:
-    """J11 for the linear model: (model, target, key, p) for all rows and targets.
+def predict_linear(df: DataFrame, key: str, model: dict, keep: list[str] = ()) -> DataFrame:
+    """J11 for the linear model: key, ``keep`` and one prediction column per target.
 
-    Coefficients (p x t, bounded by the widths) travel as a literal array of
-    structs; each row expands to t predictions via ``inline``.
+    The coefficients travel once per task with the function; every Arrow batch is one
+    matrix product. Missing features count as 0.
     """
-    feats = model["features"]
-    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in feats])
-    entries = []
-    for j, t in enumerate(model["targets"]):
-        entries.append(F.struct(F.lit(t).alias("target"), F.lit(float(model["intercept"][j])).alias("b0"),
-                                F.array(*[F.lit(float(v)) for v in model["coef"][:, j]]).alias("w")))
-    d = df.select(key, x.alias("__x"), F.array(*entries).alias("__m"))
-    d = d.select(key, "__x", F.inline("__m"))
-    dot = F.aggregate(F.zip_with("__x", "w", lambda a, b: a * b), F.col("b0"), lambda acc, v: acc + v)
-    return d.select(F.lit(model_name).alias("model"), "target", key, dot.alias("p"))
+    feats, targets = model["features"], model["targets"]
+    coef, intercept = np.asarray(model["coef"]), np.asarray(model["intercept"])
+    carried = [key, *keep]
+    rows = df.select(*carried, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"__x{i}")
+                                 for i, c in enumerate(feats)])
+    schema = T.StructType([*rows.select(*carried).schema.fields, *[T.StructField(t, T.DoubleType()) for t in targets]])
+    n = len(carried)
+
+    def run(batches):
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[n:]])
+            p = x @ coef + intercept
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *[pa.array(p[:, j]) for j in range(p.shape[1])]],
+                                             names=[*carried, *targets])
+
+    return rows.mapInArrow(run, schema)
+
+
+def predict_linear_long(df: DataFrame, key: str, model: dict, model_name: str = "LR") -> DataFrame:
+    """J11 for the linear model: (model, target, key, p) for all rows and targets."""
+    wide = predict_linear(df, key, model)
+    return wide.unpivot([key], model["targets"], "target", "p").select(
+        F.lit(model_name).alias("model"), "target", key, "p")
 
 
 def targets_long(df: DataFrame, key: str, targets: list[str]) -> DataFrame:
@@ -90,14 +105,16 @@ def targets_long(df: DataFrame, key: str, targets: list[str]) -> DataFrame:
 def fit_tree(df: DataFrame, features: list[str], target: str, kind: str = "gbt", seed: int = 42, **params):
     """Spark ML gradient-boosted trees or random forest for one target.
 
-    The assembled rows are persisted for the iterations and released after.
+    The assembled rows are persisted for the iterations and released after. Boosting
+    stops early on a validation share of rows chosen by their hash.
     """
     from pyspark import StorageLevel
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
     d = assemble(df.dropna(subset=[target]).select(*features, target), features).select(
-        "features", target).persist(StorageLevel.MEMORY_AND_DISK)
+        "features", target, (F.pmod(F.xxhash64(*features), F.lit(100)) < params.get("validation_pct", 10)).alias("__held"))
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     if kind == "gbt":
-        est = GBTRegressor(featuresCol="features", labelCol=target, seed=seed,
+        est = GBTRegressor(featuresCol="features", labelCol=target, seed=seed, validationIndicatorCol="__held",
                            maxIter=params.get("maxIter", 20), maxDepth=params.get("maxDepth", 4))
     else:
         est = RandomForestRegressor(featuresCol="features", labelCol=target, seed=seed,
@@ -136,7 +153,8 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, features: list[str]
     lm = fit_linear_multi(train, features, targets)
     preds = [predict_linear_long(test, key, lm, "LR"), mean_baseline_long(train, test, key, targets)]
     for t in (tree_targets or []):
-        preds.append(predict_tree_long(test, key, features, fit_tree(train, features, t, "gbt"), t, "GBT"))
+        for kind in ("gbt", "rf"):
+            preds.append(predict_tree_long(test, key, features, fit_tree(train, features, t, kind), t, kind.upper()))
     p = preds[0]
     for x in preds[1:]:
         p = p.unionByName(x)
@@ -146,7 +164,7 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, features: list[str]
 
 
 def cv_scores(df: DataFrame, key: str, features: list[str], target: str, k: int = 5) -> DataFrame:
-    """K-fold RMSE of the linear candidate; per fold, mean and population std."""
+    """K-fold RMSE of the linear candidate, one row per fold."""
     from tenderlens.operators.metrics import regression_metrics
     d = kfold_assign(df, key, k)
     parts = []
@@ -167,6 +185,12 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def load_tree(path: str, kind: str):
+    """A saved tree model."""
+    from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
+    return (GBTRegressionModel if kind == "gbt" else RandomForestRegressionModel).load(path)
+
+
 def save_linear(spark, model: dict, path: str, dataset: str, prefix: str) -> None:
     """J16 for the linear model: a coefficient table (target, intercept, coef array, features)."""
     rows = [(dataset, prefix, t, float(model["intercept"][j]), [float(v) for v in model["coef"][:, j]],

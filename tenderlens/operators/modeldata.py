@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +45,3 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.count_if(F.col("success")).alias("n_success"), F.count_if(~F.col("success")).alias("n_failed"),
         F.sum("models_trained").alias("models_trained"))
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)

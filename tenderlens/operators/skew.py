@@ -1,53 +1,54 @@
 """Skew handling for key joins whose large side may have hot keys.
 
-A single notice (or user, or source) may hold a large share of all rows.
-``salted_join`` finds such keys from a sample (bounded: at most
-``max_hot_keys`` keys reach the driver), spreads the rows of those keys over
-``salt_buckets`` salt values on the large side and replicates only the hot
-keys' rows of the small side. Cold keys join as usual (salt 0), so the join
-stays exact and nothing is dropped. Aggregations after the join should be
-partial (map-side) first, which Spark does for built-in aggregates.
+A key is hot when it holds at least 1 / ``SHARES`` of all rows; there are at
+most ``SHARES`` such keys whatever the table's size, so their list is bounded
+without a cut. ``salted_join`` spreads a hot key's rows over as many salts as it
+holds shares (a third of all rows: ``SHARES`` / 3 salts) and repeats only the hot
+keys' rows of the small side. Cold keys join as usual (salt 0); the join stays
+exact. Aggregations after the join should be partial (map-side) first, which
+Spark does for built-in aggregates.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
 
 
-def hot_keys(df: DataFrame, key: str, sample_fraction: float = 0.02, hot_rows: int = 2_000_000,
-             max_hot_keys: int = 1000, seed: int = 17) -> list:
-    """Keys whose estimated row count reaches ``hot_rows``.
+SHARES = 1024
 
-    Reads only the key column (pruned scan) of a Bernoulli sample; the
-    result is capped at ``max_hot_keys`` keys by count, which bounds what is
-    collected. Keys past the cap are less hot and still join correctly.
-    """
-    threshold = max(1, int(hot_rows * sample_fraction))
-    rows = (df.select(key).sample(fraction=sample_fraction, seed=seed)
-            .groupBy(key).count().filter(F.col("count") >= threshold)
-            .orderBy(F.col("count").desc()).limit(max_hot_keys).collect())
-    return [r[0] for r in rows]
+
+def hot_keys(df: DataFrame, key: str, sample_fraction: float = 0.02, shares: int = SHARES, seed: int = 17) -> dict:
+    """Hot key -> number of salts, from the key column of a Bernoulli sample (a pruned scan)."""
+    counts = df.select(key).sample(fraction=sample_fraction, seed=seed).groupBy(key).count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    least = max(2, math.ceil(total / shares))  # one sampled row says nothing
+    rows = counts.filter(F.col("count") >= least).filter(F.col(key).isNotNull()).collect()
+    return {r[0]: max(1, math.ceil(r[1] * shares / total)) for r in rows}
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                salt_buckets: int = 16, hot: list | None = None, **hot_kw) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", salt_buckets: int = 16,
+                hot: dict | list | None = None, **hot_kw) -> DataFrame:
     """Join ``big`` and ``small`` on ``key``, splitting hot keys over salts.
 
-    ``hot`` may be given (e.g. known from an earlier pass); otherwise it is
-    estimated with :func:`hot_keys`. With no hot key this is a plain join.
+    ``hot`` may be given (key -> salts, or keys that get ``salt_buckets`` each);
+    otherwise it is estimated with :func:`hot_keys`. With no hot key this is a
+    plain join. Rows are dealt to salts by their place in their partition, so
+    equal rows of a hot key part too.
     """
     if hot is None:
         hot = hot_keys(big, key, **hot_kw)
+    if not isinstance(hot, dict):
+        hot = dict.fromkeys(hot, salt_buckets)
+    hot = {k: n for k, n in hot.items() if n > 1}
     if not hot:
         return big.join(small, key, how)
-    is_hot = F.col(key).isin(hot)
-    # deterministic salt (row content hash) so a recomputed task yields the
-    # same partitioning after an executor loss
-    salt_big = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salt_buckets))).otherwise(F.lit(0))
-    salts_small = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-    b = big.withColumn(SALT, salt_big.cast("int"))
-    s = small.withColumn(SALT, F.explode(salts_small.cast("array<int>")))
+    salts = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    n = F.coalesce(salts[F.col(key)], F.lit(1))
+    b = big.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), n).cast("int"))
+    s = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), n - 1)))
     return b.join(s, [key, SALT], how).drop(SALT)

@@ -126,11 +126,11 @@ def a_value_ratio_q(spark, sf):
 FROM (SELECT printf('%03d_%03d', n, i) AS label
       FROM (SELECT unnest([10, 20, 50, 100]) AS n), LATERAL (SELECT unnest(range(1, n + 1)) AS i))""")
 def parse_target_name_q(spark, sf):
-    """F15 on the target columns of the tender plan (180 labels)."""
+    """F15 on the rows of the long target table (180 different labels)."""
     from tenderlens.plans.catalog_tender import _ctx
     n, b = _ctx(spark, sf)
-    t = TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b), hot_source=b)
-    labels = spark.createDataFrame([(c,) for c in t.columns if c != C.key], "label string")
+    t = TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b))
+    labels = t.unpivot([C.key], [c for c in t.columns if c != C.key], "label", "share")
     return labels.select("label", *X.parse_target_name("label")).distinct()
 
 

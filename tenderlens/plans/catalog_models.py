@@ -8,6 +8,8 @@ uniform prior 1/n) feed the oracle-checked metric queries; Spark ML fits
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tenderlens.functions.expr import all_target_names
@@ -43,7 +45,7 @@ MET_COLS = ["rmse", "mse", "mae", "r2", "explained_variance", "median_ae"]
 
 def _targets(spark, sf):
     n, b = _ctx(spark, sf)
-    return TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b), hot_source=b)
+    return TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b))
 
 
 def _preds(spark, sf):
@@ -166,35 +168,35 @@ def residuals_q(spark, sf):
 
 @query("target_feature_split", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
 {targets_sql(True).strip()}
-SELECT {KEY}, {", ".join(q(f"010_{i:03d}") for i in range(1, 11))} FROM targets""")
+SELECT {KEY}, {", ".join(q(t) for t in TARGETS)} FROM targets""")
 def target_feature_split_q(spark, sf):
+    """B5 for every prefix: the target columns found, side by side."""
     from tenderlens.operators.modeldata import target_feature_split
     t = round_doubles(_targets(spark, sf))
-    targets, features = target_feature_split(t, "010", C.key)
-    return t.select(C.key, *targets)
+    return t.select(C.key, *[c for p in ("010", "020", "050", "100") for c in target_feature_split(t, p, C.key)[0]])
 
 
 @query("join_features_targets", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
 {targets_sql(True).strip()}
-SELECT nt.{KEY}, {r('nt."기초금액"')} AS "기초금액", nt."예가범위", targets."010_001", targets."100_100"
+SELECT nt."기초금액" IS NOT NULL AS has_base, nt."예가범위", targets.*
 FROM nt JOIN targets ON nt.{KEY} = targets.{KEY}""")
 def join_features_targets_q(spark, sf):
     from tenderlens.operators.modeldata import join_features_targets
     n, _ = _ctx(spark, sf)
-    feats = TP.clean_notices(n).select(C.key, C.base, C.range_text)
-    j = join_features_targets(feats, _targets(spark, sf), C.key)
-    return round_doubles(j.select(C.key, C.base, C.range_text, "010_001", "100_100"))
+    feats = TP.clean_notices(n).select(C.key, F.col(C.base).isNotNull().alias("has_base"), C.range_text)
+    return round_doubles(join_features_targets(feats, _targets(spark, sf), C.key))
 
 
 @query("drop_null_targets", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
 {targets_sql(True).strip()}
-SELECT count(*) AS n_rows FROM nt JOIN targets ON nt.{KEY} = targets.{KEY}
-WHERE {" AND ".join(f"{q(t)} IS NOT NULL" for t in TARGETS)}""")
+SELECT nt.{KEY}, targets."010_001", targets."100_100" FROM nt LEFT JOIN targets ON nt.{KEY} = targets.{KEY}
+WHERE {" AND ".join(f"targets.{q(t)} IS NOT NULL" for t in TARGETS)}""")
 def drop_null_targets_q(spark, sf):
+    """B6 on notices with and without bids: those without have NULL targets."""
     from tenderlens.operators.modeldata import drop_null_targets
     n, _ = _ctx(spark, sf)
-    j = TP.clean_notices(n).join(_targets(spark, sf), C.key)
-    return drop_null_targets(j, TARGETS).agg(F.count(F.lit(1)).alias("n_rows"))
+    j = TP.clean_notices(n).select(C.key).join(_targets(spark, sf), C.key, "left")
+    return round_doubles(drop_null_targets(j, TARGETS).select(C.key, "010_001", "100_100"))
 
 
 # ------------------------------------------------------------ Spark ML fits (rows-only checks)
@@ -233,7 +235,7 @@ def fit_gbt_q(spark, sf):
 def fit_random_forest_q(spark, sf):
     d, feats = _model_data(spark, sf)
     tr, te = d.filter(~F.col("is_test")), d.filter(F.col("is_test"))
-    model = MD.fit_tree(tr, feats, "010_005", "rf", numTrees=50)
+    model = MD.fit_tree(tr, feats, "010_005", "rf")
     p = MD.predict_tree_long(te, C.key, feats, model, "010_005", "RF").join(
         MD.targets_long(te, C.key, ["010_005"]), ["target", C.key])
     return round_doubles(M.metrics_by_model_target(p))
@@ -257,37 +259,65 @@ def leaderboard_q(spark, sf):
 
 @query("cv_scores", None)
 def cv_scores_q(spark, sf):
+    """RMSE per fold beside its mean and population standard deviation."""
     d, feats = _model_data(spark, sf)
     per = MD.cv_scores(d.filter(~F.col("is_test")), C.key, feats, "010_005", k=5)
-    return round_doubles(per.agg(F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse"),
-                                 F.count(F.lit(1)).alias("n_folds")))
+    every = per.agg(F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse"))
+    return round_doubles(per.crossJoin(F.broadcast(every)))
+
+
+DATASETS = ["range3", "range2", "others"]
 
 
 @query("predict_bins", None)
 def predict_bins_q(spark, sf):
-    """All bins of prefix 010 for the test notices, one column per bin."""
+    """All bins of all granularities for the test notices, one column per bin."""
     d, feats = _model_data(spark, sf)
-    t10 = [t for t in TARGETS if t.startswith("010_")]
-    m = MD.fit_linear_multi(d.filter(~F.col("is_test")), feats, t10)
-    long = MD.predict_linear_long(d.filter(F.col("is_test")), C.key, m)
-    return round_doubles(long.groupBy(C.key).pivot("target", t10).agg(F.first("p")))
+    m = MD.fit_linear_multi(d.filter(~F.col("is_test")), feats, TARGETS)
+    return round_doubles(MD.predict_linear(d.filter(F.col("is_test")), C.key, m))
 
 
 @query("batch_predict", None)
 def batch_predict_q(spark, sf):
-    """J12 + A14: predictions for every notice id found in the bids, one JSON document per notice."""
+    """J12 + J13 + A14: one JSON document per notice of the bids and granularity; ``others`` has no models
+    of its own here and is served by the first dataset of the priority list."""
+    from tenderlens.plans import model as PM
     from tenderlens.sources.store import prediction_docs
     d, feats = _model_data(spark, sf)
-    t10 = [t for t in TARGETS if t.startswith("010_")]
-    m = MD.fit_linear_multi(d.filter(~F.col("is_test")), feats, t10)
+    models = PM.train(d.filter(~F.col("is_test")), ["range3", "range2"], feats, TARGETS)
     ids = V.bids(spark, sf).select(C.key).distinct()
-    rows = d.join(ids, C.key, "left_semi")
-    long = MD.predict_linear_long(rows, C.key, m).withColumn("prefix", F.split("target", "_").getItem(0))
-    return prediction_docs(long.withColumnRenamed("p", "prediction"), C.key, "DataSet_3")
+    long, _ = PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3", "range2"])
+    names = F.create_map(*[F.lit(x) for pair in TP.DATASET_NAMES.items() for x in pair])
+    long = long.withColumn("prefix", F.split("target", "_").getItem(0)).withColumnRenamed("p", "prediction")
+    return prediction_docs(long, C.key, names[F.col("dataset")])
+
+
+@query("batch_predict_failures", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}
+SELECT DISTINCT b.{KEY}, 'no such notice' AS reason FROM ({V.BIDS_SQL}) b
+WHERE b.{KEY} IS NOT NULL AND b.{KEY} NOT IN (SELECT nt.{KEY} FROM nt JOIN pb ON nt.{KEY} = pb.{KEY})""")
+def batch_predict_failures_q(spark, sf):
+    """The notices of the bids that get no prediction, with the reason."""
+    from tenderlens.plans import model as PM
+    d, feats = _model_data(spark, sf)
+    models = PM.train(d.filter(~F.col("is_test")), ["range3"], feats, ["010_001"])
+    ids = V.bids(spark, sf).select(C.key).dropna().distinct()
+    return PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3"])[1]
+
+
+@query("train_evaluate", None)
+def train_evaluate_q(spark, sf):
+    """P3 + A15: fits per dataset (linear for all 180 targets, trees for the stated one), metrics written
+    as CSV and read back."""
+    from tenderlens.plans import model as PM
+    from tenderlens.session import checkpoint_dir
+    d, feats = _model_data(spark, sf)
+    _, _, metrics = PM.run(d.drop("is_test"), C.key, feats, ["010", "020", "050", "100"], DATASETS, ["010_005"])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/evaluation-{uuid.uuid4().hex[:12]}"
+    PM.write_evaluation(metrics, path)
+    return round_doubles(spark.read.option("header", True).schema(metrics.schema).csv(f"{path}/metrics"))
 
 
 def _save_models(spark, sf):
-    import uuid
     from tenderlens.session import checkpoint_dir
     d, feats = _model_data(spark, sf)
     root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex[:12]}"

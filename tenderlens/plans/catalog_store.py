@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tenderlens.plans import catalog_tender as CT
@@ -187,7 +188,7 @@ def run_summary_q(spark, sf):
             try:
                 fit_linear_multi(t.filter(F.col("dataset") == ds), feats, tg)
                 runs.append(("LR", ds, f"{g:03d}", True, len(tg)))
-            except Exception:  # noqa: BLE001 - a failed fit is a counted outcome
+            except np.linalg.LinAlgError:  # a singular system is a failed fit, counted as such
                 runs.append(("LR", ds, f"{g:03d}", False, 0))
     rt = spark.createDataFrame(runs, "model_type string, dataset string, prefix string, success boolean, "
                                      "models_trained long")
@@ -307,13 +308,15 @@ def align_types_q(spark, sf):
     return round_doubles(a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test"))))
 
 
-@query("common_schema", None)
+@query("common_schema", f"""SELECT 'notices' AS origin, "공고번호" FROM ({V.NOTICES_SQL})
+UNION ALL SELECT 'bids', "공고번호" FROM ({V.BIDS_SQL})""")
 def common_schema_q(spark, sf):
-    """Common columns of the two datasets' tables (names only; rows list them)."""
+    """Notices and bids projected to their common columns."""
     from tenderlens.operators.modeldata import common_schema
-    n = V.notices(spark, sf)
-    b = V.bids(spark, sf)
-    return spark.createDataFrame([(c,) for c in common_schema(n, b)], "column_name string")
+    n, b = V.notices(spark, sf), V.bids(spark, sf)
+    cols = common_schema(n, b)
+    return (n.select(F.lit("notices").alias("origin"), *cols)
+            .unionByName(b.select(F.lit("bids").alias("origin"), *cols)))
 
 
 @query("load_split_tables", _SPLIT_ROWS)
@@ -350,5 +353,7 @@ def first_collection_q(spark, sf):
 def prediction_docs_q(spark, sf):
     """One JSON document per (notice, prefix) from the training-mean candidate."""
     from tenderlens.plans.catalog_models import _preds
-    p = _preds(spark, sf).filter(F.col("model") == "MEAN").withColumn("prefix", F.split("target", "_").getItem(0))
-    return ST.prediction_docs(p.withColumnRenamed("p", "prediction"), C.key, "DataSet_3")
+    names = F.create_map(*[F.lit(x) for pair in TP.DATASET_NAMES.items() for x in pair])
+    ds = TP.separate(TP.clean_notices(V.notices(spark, sf))).select(C.key, "dataset")
+    p = _preds(spark, sf).join(ds, C.key).filter(F.col("model") == "MEAN").withColumn("prefix", F.split("target", "_").getItem(0))
+    return ST.prediction_docs(p.withColumnRenamed("p", "prediction"), C.key, names[F.col("dataset")])

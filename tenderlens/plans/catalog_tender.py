@@ -200,7 +200,7 @@ SELECT * FROM targets""")
 def calculate_target_q(spark, sf):
     n, b = _ctx(spark, sf)
     nt = TP.clean_notices(n)
-    return round_doubles(TP.calculate_target(nt, TP.parsed_bids(b), hot_source=b))
+    return round_doubles(TP.calculate_target(nt, TP.parsed_bids(b)))
 
 
 @query("bin_shares_long", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
@@ -227,7 +227,7 @@ SELECT total_share, count(*) AS n_notices FROM s GROUP BY total_share""")
 def target_mass_check_q(spark, sf):
     """Row sum of the 180 shares (expected 4.0), then value counts."""
     n, b = _ctx(spark, sf)
-    t = round_doubles(TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b), hot_source=b))
+    t = round_doubles(TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b)))
     from functools import reduce
     s = reduce(lambda a, c: a + c, [F.col(target_name(g, i)) for g in GRANULARITIES for i in range(1, g + 1)])
     return t.select(F.round(s, 6).alias("total_share")).groupBy("total_share").agg(
@@ -283,6 +283,26 @@ def range_rejects_q(spark, sf):
     return TP.range_rejects(TP.clean_notices(V.notices(spark, sf)))
 
 
+@query("load_bin_edges", """WITH e AS (
+  SELECT l_linenumber AS level, 11 AS n, l_discount AS upper,
+         row_number() OVER (PARTITION BY l_linenumber ORDER BY l_discount DESC) AS seq
+  FROM (SELECT DISTINCT l_linenumber, l_discount FROM lineitem)),
+k AS (SELECT e.* FROM e JOIN (SELECT level, max(seq) AS last_seq FROM e GROUP BY level) m
+      ON e.level = m.level AND e.seq < m.last_seq)
+SELECT level, n, CAST(row_number() OVER (PARTITION BY level ORDER BY upper) AS INTEGER) AS idx, """ + r("upper * 100") + """ AS edge
+FROM k""")
+def load_bin_edges_q(spark, sf):
+    """Edge rows as a file would hold them (here the discounts per line number, not sorted), last row dropped."""
+    from pyspark.sql import Window
+
+    from tenderlens.operators.bins import load_bin_edges
+    d = V.table(spark, sf, "lineitem").select("l_linenumber", "l_discount").distinct()
+    w = Window.partitionBy("l_linenumber").orderBy(F.col("l_discount").desc())
+    table = d.select(F.col("l_linenumber").alias("level"), F.lit(11).alias("n"), F.col("l_discount").alias("upper"),
+                     F.row_number().over(w).alias("seq"))
+    return round_doubles(load_bin_edges(table))
+
+
 @query("process_notices", None)
 def process_notices_q(spark, sf):
     """H7 with the title text features (hashed embedding -> PCA, 20 columns)."""

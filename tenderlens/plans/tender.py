@@ -1,10 +1,11 @@
 """The tender plan (P1): notices + bids -> per-notice features and 180 targets.
 
-One lazy plan instead of the reference's eager passes over three datasets:
+One plan for the three range datasets; the per-notice base table is written once
+when the plan is built, everything else is lazy:
 
     notices --clean, keep-first dedupe(key)--> nt --(key, level, bounds)--+
-    bids ----parse rate (drop unparsable)-------------- salted join on key --> bins
-    bins --> long counts (notice, n, bin), partial agg --> per-notice map --> 180 shares + n_rates
+    bids ----parse rate, count per (key, rate)------------------- join on key --> bins
+    bins --> weighted counts (notice, n, bin), partial agg --> per-notice map --> 180 shares + n_rates
     nt  join  shares  --> base (one row per notice with bids; materialised)
     base --> per-dataset statistics (3 rows, broadcast), categories, features --> result
 
@@ -22,7 +23,7 @@ from tenderlens.functions.expr import (GRANULARITIES, log1p_strict, parse_rate,
                                        strip_whitespace, a_value_ratio)
 from tenderlens.operators import bins as B
 from tenderlens.operators.clean import dedupe_keep_first, drop_null_keys, fill_mean
-from tenderlens.operators.skew import hot_keys, salted_join
+from tenderlens.operators.skew import salted_join
 from tenderlens.roles import TenderColumns, require_columns
 
 DATASET = "dataset"
@@ -111,25 +112,25 @@ def default_edges(spark=None) -> dict:
 
 
 def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns = TenderColumns(),
-                     edges: dict | None = None, granularities=GRANULARITIES,
-                     salt_buckets: int = 16, hot: list | None = None, hot_source: DataFrame | None = None,
-                     total_col: str | None = None, **hot_kw) -> DataFrame:
+                     edges: dict | DataFrame | None = None, granularities=GRANULARITIES,
+                     hot: dict | list | None = None, total_col: str | None = None, salt_buckets: int = 16) -> DataFrame:
     """H6: per-notice shares for all granularities, one column per ``NNN_iii``.
 
-    Levels 2/3 use the fixed edge sets, level 0 equal-width edges between the
-    notice's own bounds. Level-0 notices whose range text has no valid pair of
-    bounds give no targets (see :func:`range_rejects`).
+    Equal rates of a notice are counted first (with map-side aggregation), so what
+    is joined, binned and exploded is one weighted row per different rate: a
+    notice with a third of all bids brings no more rows than it has rates.
+    Levels 2/3 use the fixed edge sets (a dict, or the edge table itself), level 0
+    equal-width edges between the notice's own bounds. Level-0 notices whose range
+    text has no valid pair of bounds give no targets: :func:`range_rejects` names them.
     """
     edges = default_edges(nt.sparkSession) if edges is None else edges
-    if hot is None:
-        # hot keys from the key column alone (no parsing needed for a sample)
-        src = bids_long if hot_source is None else hot_source
-        hot = hot_keys(src.select(cols.key).dropna(), cols.key, **hot_kw)
+    if isinstance(edges, DataFrame):
+        edges = B.collect_edges(B.load_bin_edges(edges))
     nb = notice_bounds(nt, cols).filter((F.col("__level") > 0) | F.col("__valid"))
-    joined = salted_join(bids_long.select(cols.key, cols.rate), nb, cols.key, "inner",
-                         salt_buckets=salt_buckets, hot=hot)
+    rates = bids_long.groupBy(cols.key, cols.rate).agg(F.count(F.lit(1)).alias("__w"))
+    joined = salted_join(rates, nb, cols.key, "inner", salt_buckets=salt_buckets, hot=hot or {})
     binned = B.add_bin_columns(joined, cols.rate, "__level", "__lower", "__upper", edges, granularities)
-    return B.bin_shares_wide(binned, [cols.key], granularities, total_col=total_col)
+    return B.bin_shares_wide(binned, [cols.key], granularities, total_col=total_col, weight="__w")
 
 
 def range_rejects(nt: DataFrame, cols: TenderColumns = TenderColumns()) -> DataFrame:
@@ -193,7 +194,7 @@ def process_notices(df: DataFrame, targets: DataFrame | None, cols: TenderColumn
 
 def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderColumns(),
               edges: dict | None = None, categories: dict[str, list[str]] | None = None,
-              text_features: int = 0, hot: list | None = None, materialize: bool = True, **hot_kw) -> DataFrame:
+              text_features: int = 0, hot: dict | list | None = None, materialize: bool = True) -> DataFrame:
     """H8: the whole tender plan; one DataFrame with a ``dataset`` column.
 
     Bids are parsed once: the per-notice bid count comes with the target
@@ -209,7 +210,7 @@ def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderC
     keep = cut_lineage if materialize else (lambda d: d)
     nt = clean_notices(notices, cols)
     pb = parsed_bids(bids, cols)
-    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, hot_source=bids, total_col="n_rates", **hot_kw)
+    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, total_col="n_rates")
     base = keep(separate(nt.join(targets, cols.key, "inner"), cols))
     if categories is None:
         from tenderlens.operators.encode import categories_of_many

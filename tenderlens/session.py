@@ -8,7 +8,9 @@ shuffle partitions) always win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,19 +48,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (local tests) a fresh
-    folder is made under the system temp dir and registered.
+    Reads ``spark.checkpoint.dir``. Only a local session (one machine, as in
+    tests) may leave it unset and gets a fresh folder of its own; elsewhere a
+    machine's own folder would be lost on the others, so that raises.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        # only reached when the cluster names no folder, as in local tests
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tenderlens-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes the tables that :func:`cut_lineage` has written for this application.
+
+    For the end of a run: DataFrames that read them fail afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df, name: str = "stage"):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -66,7 +79,6 @@ def cut_lineage(df, name: str = "stage"):
     pushdown, and a lost executor only re-reads files instead of recomputing
     the lineage. Never ``localCheckpoint`` (executor-local storage).
     """
-    import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
