@@ -367,8 +367,8 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
 def density_grid(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, steps: int = 32) -> DataFrame:
     """Gaussian KDE on a grid (Scott bandwidth): (point, x, density).
 
-    Values are first counted in cells of ``1 / steps`` of the bandwidth, so the
-    rounding never shows against the kernel. A cell adds to the grid points within
+    Values are first counted in cells of ``1 / steps`` of the bandwidth, each
+    standing at its mean, so the rounding does not show against the kernel. A cell adds to the grid points within
     8 bandwidths of it only. A column without spread, or with one value, has no
     density: its points have a null density.
     """
@@ -380,8 +380,9 @@ def density_grid(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, s
     st = st.withColumn("first", F.col("lo") - F.lit(cut) * F.col("bw")).withColumn("width", width)
     cell = F.col("bw") / F.lit(float(steps))
     cells = (df.select(x.alias("x")).where(F.col("x").isNotNull()).crossJoin(F.broadcast(st)).where("bw IS NOT NULL")
-             .groupBy(F.floor((F.col("x") - F.col("lo")) / cell).alias("k")).agg(F.count(F.lit(1)).alias("wk")))
-    near = cells.crossJoin(F.broadcast(st)).withColumn("cx", F.col("lo") + (F.col("k") + 0.5) * cell)
+             .groupBy(F.floor((F.col("x") - F.col("lo")) / cell).alias("k"))
+             .agg(F.count(F.lit(1)).alias("wk"), F.avg("x").alias("cx")))
+    near = cells.crossJoin(F.broadcast(st))
     reach = F.lit(8.0) * F.col("bw")
     from_ = F.greatest(F.lit(0), F.ceil((F.col("cx") - reach - F.col("first")) / F.col("width")).cast("int"))
     to = F.least(F.lit(grid - 1), F.floor((F.col("cx") + reach - F.col("first")) / F.col("width")).cast("int"))

@@ -20,7 +20,10 @@ def f_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
     d = df.fillna(0, subset=features)
     y = F.col(target).cast("double")
     aggs = [F.count(y).alias("__n")]
-    aggs += [F.corr(F.col(c).cast("double"), y).alias(f"c{i}") for i, c in enumerate(features)]
+    # correlation by its definition: a constant column has none, and no division by zero
+    spread = F.stddev_pop(y)
+    aggs += [F.try_divide(F.covar_pop(F.col(c).cast("double"), y), F.stddev_pop(F.col(c).cast("double")) * spread)
+             .alias(f"c{i}") for i, c in enumerate(features)]
     wide = d.filter(y.isNotNull()).agg(*aggs)
     pairs = ", ".join(f"'{c}', c{i}" for i, c in enumerate(features))
     long = wide.selectExpr("__n AS n", f"stack({len(features)}, {pairs}) AS (feature, r)")

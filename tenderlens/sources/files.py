@@ -19,9 +19,9 @@ def scan_csv_glob(spark: SparkSession, pattern: str, schema=None, dataset_col: s
 
 
 def rejected_files(spark: SparkSession, pattern: str, scanned: DataFrame) -> DataFrame:
-    """A1: (path, length) of the glob's files that gave no row to the scan: unreadable or empty.
+    """A1: (path, length) of the glob's files that gave no row to the scan: unreadable or without rows.
 
-    The listing reads no contents.
+    The listing reads no contents; files of no bytes are not listed.
     """
     listed = spark.read.format("binaryFile").load(pattern).select("path", "length")
     seen = scanned.select(F.col("_metadata.file_path").alias("path")).distinct()
