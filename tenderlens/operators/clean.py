@@ -191,15 +191,18 @@ def rows_with_nulls(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.filter(any_null(df.columns if cols is None else cols))
 
 
-def cleaning_stats(before: DataFrame, after: DataFrame, dataset_col: str | None = None,
-                   key: str | None = None) -> DataFrame:
-    """C14: rows and columns before/after per dataset (one aggregation per side)."""
-    def counts(d, tag):
-        g = d.groupBy(dataset_col) if dataset_col else d.groupBy()
-        return g.agg(F.count(F.lit(1)).alias(f"rows_{tag}"))
-    b, a = counts(before, "before"), counts(after, "after")
-    j = b.join(a, dataset_col, "left") if dataset_col else b.crossJoin(a)
-    return j.select(*([dataset_col] if dataset_col else []), "rows_before",
-                    F.coalesce("rows_after", F.lit(0)).alias("rows_after"),
+def cleaning_stats(before: DataFrame, without_nulls: DataFrame, after: DataFrame, dataset_col: str | None = None
+                   ) -> DataFrame:
+    """C14: rows and columns before and after per dataset, rows removed for NULLs and as duplicates.
+
+    One aggregation per state; a dataset that a step removes whole counts 0 after it.
+    """
+    group = [dataset_col] if dataset_col else []
+    states = [d.groupBy(*group).agg(F.count(F.lit(1)).alias(f"n{i}")) for i, d in enumerate((before, without_nulls, after))]
+    j = states[0]
+    for state in states[1:]:
+        j = j.join(state, dataset_col, "left") if group else j.crossJoin(F.broadcast(state))
+    n = [F.coalesce(f"n{i}", F.lit(0)) for i in range(3)]
+    return j.select(*group, n[0].alias("rows_before"), n[2].alias("rows_after"),
                     F.lit(len(before.columns)).alias("cols_before"), F.lit(len(after.columns)).alias("cols_after"),
-                    (F.col("rows_before") - F.coalesce("rows_after", F.lit(0))).alias("rows_removed"))
+                    (n[0] - n[1]).alias("nulls_removed"), (n[1] - n[2]).alias("duplicates_removed"))

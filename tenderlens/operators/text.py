@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlens.functions.expr import normalize_text
-from tenderlens.sources.views import spread
+from tenderlens.session import cut_lineage
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -46,18 +46,20 @@ def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_d
     vocabulary. Every document gets a row per vocabulary term (zeros kept).
     The gate (>= 30 rows, > 100 characters in total) returns no rows when not met.
 
-    Two passes over the texts: the first finds the vocabulary with its
-    document frequencies (at most ``max_features`` rows reach the driver),
-    the second counts only those terms per document.
+    Texts are tokenised once: the counted terms are written as a table, which
+    gives the vocabulary with its document frequencies (at most
+    ``max_features`` rows reach the driver) and then its terms per document.
+    ``min_rows``, ``min_chars`` and the number of terms are the operator's own
+    rule for which columns are worth the features.
     """
-    d = spread(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")))
+    d = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t"))
     spark = df.sparkSession
     gate = d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("__t")).alias("chars")).first()
     n, chars = int(gate["n"]), int(gate["chars"] or 0)
     schema = f"{key} {df.schema[key].dataType.simpleString()}, term string, tfidf double"
     if n < min_rows or chars <= min_chars:
         return spark.createDataFrame([], schema)
-    tc = term_counts(d, key, "__t")
+    tc = cut_lineage(term_counts(d, key, "__t"), "terms")
     dfc = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
     vocab = [(r["term"], int(r["df"])) for r in
              dfc.filter(F.col("df") >= min_df).orderBy(F.col("tot").desc(), "term").limit(max_features).collect()]
@@ -67,11 +69,7 @@ def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_d
     idf = {t: math.log((1.0 + n) / (1.0 + dfv)) + 1.0 for t, dfv in vocab}
     terms = [t for t, _ in vocab]
     idf_map = F.create_map(*[x for t in terms for x in (F.lit(t), F.lit(idf[t]))])
-    # pass 2: only vocabulary terms survive the explode
-    hits = (d.select(key, tokens("__t").alias("__tok"))
-            .select(key, F.explode(unigrams_bigrams(F.col("__tok"))).alias("term"))
-            .filter(F.col("term").isin(terms))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    hits = tc.filter(F.col("term").isin(terms))
     w = hits.select(key, "term", (F.col("tf") * idf_map[F.col("term")]).alias("w"))
     per_doc = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("__m"))
     per_doc = per_doc.select(key, "__m", F.sqrt(F.aggregate(F.map_values("__m"), F.lit(0.0),
@@ -103,7 +101,7 @@ def embed_text_long(df: DataFrame, key: str, text: str, dim: int = 64) -> DataFr
     A model-based encoder can replace it (see :func:`embed_with`); this one
     needs no model files and runs fully in the JVM.
     """
-    d = spread(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")))
+    d = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t"))
     tok = d.select(key, F.explode(tokens("__t")).alias("tok"))
     cnt = tok.groupBy(key, hash_bucket(F.col("tok"), dim).alias("dim")).agg(F.count(F.lit(1)).alias("c"))
     norm = cnt.groupBy(key).agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("__n"))

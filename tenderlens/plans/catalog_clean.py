@@ -147,19 +147,20 @@ def rows_with_nulls_q(spark, sf):
     return CL.rows_with_nulls(V.notices(spark, sf)).select("공고번호", "예가범위", "투찰률(%)", "공고구분표시")
 
 
-@query("cleaning_stats", f"""WITH a AS (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag),
-d AS (SELECT l_returnflag, count(*) AS n FROM (SELECT * FROM lineitem
-      QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-      l_extendedprice) = 1) GROUP BY l_returnflag)
-SELECT a.l_returnflag, a.n AS rows_before, coalesce(d.n, 0) AS rows_after, 11 AS cols_before, 11 AS cols_after,
-       a.n - coalesce(d.n, 0) AS rows_removed
-FROM a LEFT JOIN d ON a.l_returnflag = d.l_returnflag""")
+@query("cleaning_stats", """WITH l AS (SELECT *, CASE WHEN l_linenumber % 7 = 0 THEN NULL ELSE l_quantity END AS q FROM lineitem),
+f AS (SELECT * FROM l WHERE q IS NOT NULL),
+d AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+      l_extendedprice) = 1),
+a AS (SELECT l_returnflag, count(*) AS n FROM l GROUP BY 1), b AS (SELECT l_returnflag, count(*) AS n FROM f GROUP BY 1),
+c AS (SELECT l_returnflag, count(*) AS n FROM d GROUP BY 1)
+SELECT a.l_returnflag, a.n AS rows_before, coalesce(c.n, 0) AS rows_after, 12 AS cols_before, 12 AS cols_after,
+       a.n - coalesce(b.n, 0) AS nulls_removed, coalesce(b.n, 0) - coalesce(c.n, 0) AS duplicates_removed
+FROM a LEFT JOIN b USING (l_returnflag) LEFT JOIN c USING (l_returnflag)""")
 def cleaning_stats_q(spark, sf):
-    li = _li(spark, sf)
-    after = CL.dedupe_keep_first(li, ["l_orderkey"], list(V.BID_ORDER))
-    return CL.cleaning_stats(li, after, "l_returnflag").select(
-        "l_returnflag", "rows_before", "rows_after", F.col("cols_before").cast("int"),
-        F.col("cols_after").cast("int"), "rows_removed")
+    """C14 on lines whose quantity is missing in every seventh line number, then one line per order."""
+    li = _li(spark, sf).withColumn("q", F.when(F.col("l_linenumber") % 7 != 0, F.col("l_quantity")))
+    full = CL.drop_null_keys(li, ["q"])
+    return CL.cleaning_stats(li, full, CL.dedupe_keep_first(full, ["l_orderkey"], list(V.BID_ORDER)), "l_returnflag")
 
 
 STRING_NOTICE_COLS = ["공고제목", "발주처(수요기관)", "지역제한", "예가범위", "공고구분표시"]
@@ -177,7 +178,7 @@ def distinct_notices_q(spark, sf):
     return V.bids(spark, sf).select("공고번호").distinct()
 
 
-FIRST_FIELDS = "공고번호,l_linenumber,l_partkey,l_suppkey,l_extendedprice"
+FIRST_FIELDS = "공고번호,기초대비 사정률(%),l_linenumber,l_partkey,l_suppkey"
 
 
 @query("collection_profile", f"""SELECT 'bids' AS collection, count(*) AS n_documents, 6 AS n_fields, '{FIRST_FIELDS}' AS first_fields,

@@ -152,6 +152,16 @@ def histogram_q(spark, sf):
     return round_doubles(E.histogram(_ev(spark, sf), "value", 100))
 
 
+@query("compare_pvalues", None)
+def compare_pvalues_q(spark, sf):
+    """I8: the p-values of the three tests on the full samples, one row per test."""
+    ev = _ev(spark, sf)
+    r_ = E.compare_samples(ev.filter(F.col("event_type") == "click"), ev.filter(F.col("event_type") == "view"), "value")
+    rows = [("kolmogorov_smirnov", r_["ks_d"], r_["ks_p"]), ("mann_whitney", r_["mw_u"], r_["mw_p"]),
+            ("welch", r_["welch_t"], r_["welch_p"])]
+    return round_doubles(spark.createDataFrame(rows, "test string, statistic double, p_value double"))
+
+
 @query("density_grid", None)
 def density_grid_q(spark, sf):
     return round_doubles(E.density_grid(_ev(spark, sf), "value"))

@@ -22,21 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-split input over the cluster's task slots.
-
-    A small input stored as one row group scans in a single task; CPU-heavy
-    row work after it (regex parsing, binning) would then run on one core.
-    When the scan already has at least ``defaultParallelism`` splits (any
-    large input) this is a no-op, so no shuffle is added at scale. Call it
-    after column pruning so only the needed columns move.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def notices(spark: SparkSession, sf_dir: str, cols: TenderColumns = TenderColumns()) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
