@@ -318,40 +318,50 @@ def train_evaluate_q(spark, sf):
 
 
 def _save_models(spark, sf):
+    """One fit per dataset for all targets, saved per (dataset, prefix)."""
     from tenderlens.session import checkpoint_dir
     d, feats = _model_data(spark, sf)
     root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex[:12]}"
-    t10 = [t for t in TARGETS if t.startswith("010_")]
-    paths = []
-    for ds in ("range3", "range2", "others"):
+    paths = {}
+    for ds in DATASETS:
         part = d.filter((F.col("dataset") == ds) & ~F.col("is_test"))
-        m = MD.fit_linear_multi(part, feats, t10)
-        path = f"{root}/{ds}"
-        MD.save_linear(spark, m, path, ds, "010")
-        paths.append(path)
+        if part.isEmpty():
+            continue
+        m = MD.fit_linear_multi(part, feats, TARGETS)
+        for prefix in ("010", "020", "050", "100"):
+            at = [i for i, t in enumerate(TARGETS) if t.startswith(f"{prefix}_")]
+            paths[ds, prefix] = f"{root}/{ds}/{prefix}"
+            MD.save_linear(spark, {"features": feats, "targets": [TARGETS[i] for i in at], "coef": m["coef"][:, at],
+                                   "intercept": m["intercept"][at]}, paths[ds, prefix], ds, prefix)
     return d, feats, paths
 
 
 @query("model_store", None)
 def model_store_q(spark, sf):
-    """Linear models saved per dataset, loaded back and applied to the test rows."""
+    """Linear models saved per dataset and prefix, loaded back and applied to the test rows."""
     d, feats, paths = _save_models(spark, sf)
     out = []
-    for path in paths:
-        m = MD.load_linear(spark, path, "010")
-        ds = path.rsplit("/", 1)[-1]
+    for (ds, prefix), path in paths.items():
+        m = MD.load_linear(spark, path, prefix)
         test = d.filter((F.col("dataset") == ds) & F.col("is_test"))
         out.append(MD.predict_linear_long(test, C.key, m).withColumn("dataset", F.lit(ds)))
-    p = out[0].unionByName(out[1]).unionByName(out[2])
-    return round_doubles(p.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_predictions"),
-                                                  F.avg("p").alias("mean_prediction")))
-
-
-@query("model_registry", None)
+    p = out[0]
+    for x in out[1:]:
+        p = p.unionByName(x)
+    return round_doubles(p.groupBy("dataset", "target").agg(F.count(F.lit(1)).alias("n_predictions"),
+                                                            F.avg("p").alias("mean_prediction")))
+
+
+@query("model_registry", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()},
+d AS (SELECT DISTINCT CASE WHEN nt."예가범위" = '+2%~-2%' THEN 'range2' WHEN nt."예가범위" = '+3%~-3%' THEN 'range3'
+             ELSE 'others' END AS dataset FROM nt JOIN pb ON nt.{KEY} = pb.{KEY}
+      WHERE NOT ({SPLIT.format(k='nt.' + KEY)}))
+SELECT dataset, printf('%03d', n) AS prefix, range(1, n + 1) AS bins, n AS n_models
+FROM d, (SELECT unnest([10, 20, 50, 100]) AS n)""")
 def model_registry_q(spark, sf):
     """Bins with a saved model per dataset and prefix."""
     _, _, paths = _save_models(spark, sf)
-    reg = spark.read.parquet(*paths)
+    reg = spark.read.parquet(*paths.values())
     return reg.groupBy("dataset", "prefix").agg(
         F.array_sort(F.collect_set(F.split("target", "_").getItem(1).cast("int"))).alias("bins"),
         F.count(F.lit(1)).alias("n_models"))

@@ -303,8 +303,18 @@ def load_bin_edges_q(spark, sf):
     return round_doubles(load_bin_edges(table))
 
 
-@query("process_notices", None)
+@query("process_notices", TRANSFORM_SQL)
 def process_notices_q(spark, sf):
-    """H7 with the title text features (hashed embedding -> PCA, 20 columns)."""
+    """H7 on the cleaned notices that have targets, the targets joined by key."""
+    n, b = _ctx(spark, sf)
+    nt = TP.clean_notices(n)
+    targets = TP.calculate_target(nt, TP.parsed_bids(b))
+    base = TP.separate(nt.join(targets.select(C.key), C.key, "left_semi"))
+    return round_doubles(TP.process_notices(base, targets))
+
+
+@query("transform_with_text", None)
+def transform_with_text_q(spark, sf):
+    """H8 with the title text features (hashed embedding -> PCA, 20 columns)."""
     n, b = _ctx(spark, sf)
     return round_doubles(TP.transform(n, b, text_features=20))
