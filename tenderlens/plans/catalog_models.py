@@ -142,15 +142,17 @@ def first_n_targets_q(spark, sf):
 
 
 @query("predicted_vs_actual", BASE_SQL + f"""
-SELECT {KEY}, split_part(target, '_', 1) AS prefix, CAST(split_part(target, '_', 2) AS INTEGER) AS bin,
-       {r("-3.0 + CAST(CAST(split_part(target, '_', 2) AS INTEGER) - 1 AS DOUBLE) * (6.0 / CAST(CAST(split_part(target, '_', 1) AS INTEGER) - 1 AS DOUBLE))")} AS x,
-       {r('y')} AS y, {r('p')} AS p FROM preds WHERE model = 'MEAN'""")
+SELECT preds.{KEY}, split_part(target, '_', 1) AS prefix, CAST(split_part(target, '_', 2) AS INTEGER) AS bin,
+       {r("nb.lo + CAST(CAST(split_part(target, '_', 2) AS INTEGER) - 1 AS DOUBLE) * ((nb.hi - nb.lo) / CAST(CAST(split_part(target, '_', 1) AS INTEGER) - 1 AS DOUBLE))")} AS x,
+       {r('y')} AS y, {r('p')} AS p FROM preds JOIN nb ON preds.{KEY} = nb.{KEY} WHERE model = 'MEAN'""")
 def predicted_vs_actual_q(spark, sf):
-    p = _preds(spark, sf).filter(F.col("model") == "MEAN")
+    """Shares by rate, on the axis of each notice's own price range."""
+    nb = TP.notice_bounds(TP.clean_notices(V.notices(spark, sf)))
+    p = _preds(spark, sf).filter(F.col("model") == "MEAN").join(nb, C.key)
     parts = F.split("target", "_")
     n, i = parts.getItem(0).cast("int"), parts.getItem(1).cast("int")
     return round_doubles(p.select(C.key, parts.getItem(0).alias("prefix"), i.alias("bin"),
-                                  M.bin_position(n, i, -3.0, 3.0).alias("x"), "y", "p"))
+                                  M.bin_position(n, i, F.col("__lower"), F.col("__upper")).alias("x"), "y", "p"))
 
 
 def _residuals_sql() -> str:
