@@ -199,6 +199,19 @@ def test_rare_words_by_join(spark, monkeypatch):
     assert all(whole[k][0] == some[k][0] and math.isclose(whole[k][1], some[k][1]) for k in whole)
 
 
+def test_training_windows_cover_whole_texts(spark):
+    texts = ["", "one", "x" * 3_000, " ".join(f"word{i}" for i in range(2_000)), "语" * 700 + " end"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "mixed bigint, text string")
+    shape, size = attention.Shape(context=16, overlap=4), library(BYTE).get_vocab_size()
+    windows = [np.frombuffer(r["ids"], "<u4").tolist() for r in attention_lm.training_windows(df, BYTE, shape).collect()]
+    wanted = Counter()
+    for t in texts * 2:
+        ids = [size + 1, *library(BYTE).encode(" " + t if t else "").ids, size]
+        wanted.update(zip(ids, ids[1:]))
+    assert max(map(len, windows)) <= shape.context + 1
+    assert Counter(p for w in windows for p in zip(w, w[1:])) == wanted  # every id is predicted once, after the one before it
+
+
 # URL rules
 
 def test_rules_against_brute_force(spark):
