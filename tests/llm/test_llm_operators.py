@@ -212,6 +212,27 @@ def test_training_windows_cover_whole_texts(spark):
     assert Counter(p for w in windows for p in zip(w, w[1:])) == wanted  # every id is predicted once, after the one before it
 
 
+def test_pairs_are_counted_across_words(spark):
+    texts = ["red fox", "blue whale", "red fox blue whale", "", "redfox " * 40] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    shape = attention.Shape(width=8, hidden=8, context=16, overlap=4)
+    windows = attention_lm.training_windows(df.withColumnRenamed("doc_id", "mixed"), BYTE, shape)
+    counts = attention_lm.word_counts(df)
+    size = library(BYTE).get_vocab_size()
+    units = attention_lm.Units(attention_lm.id_counts(counts, BYTE), shape, [])
+    wanted = np.zeros((shape.units + 1, shape.units))
+    for t in texts:
+        words = " ".join(t.split())
+        x = units.of[[size + 1, *library(BYTE).encode(" " + words if words else "").ids, size]]
+        np.add.at(wanted, (x[:-1], x[1:]), 1)
+    found = attention_lm.follow_counts(windows, units, shape)
+    assert np.abs(found - wanted).max() <= 20
+    red, fox, whale = (units.of[library(BYTE).encode(f" {w}").ids[0]] for w in ("red", "fox", "whale"))
+    assert found[red, fox] > 5 and (found - wanted)[red, whale] < 2  # the fox follows red, a whale never does
+    rest = found - wanted
+    assert np.allclose(rest / rest.sum(axis=1, keepdims=True), rest[0] / rest[0].sum())  # smoothing alike in every row
+
+
 # URL rules
 
 def test_rules_against_brute_force(spark):
