@@ -25,10 +25,11 @@ from pyspark.sql.types import ArrayType, LongType
 
 from .common import bucket_of, parts, range_bounds, text_or_empty
 
-GRAM, WINDOW = 24, 100
+GRAM, WINDOW = 8, 16               # short, so that short texts keep several grams
 BASE = 0x9E3779B97F4A7C15          # odd, so it has an inverse modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
 _SEGMENT = 1 << 23                 # windows handled at once; positions must fit the 24 tie bits
+_FLUSH = 2_000_000                 # characters of texts whose results a task holds; entries take several times as much
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -159,11 +160,15 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     schema = (f"`id` {rows.schema['id'].dataType.simpleString()}, n_chars bigint, edited_sha256 string, "
               "fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
+    names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # (bucket, id, text, hashes, positions) whose successor is still to come
         closed = None  # bucket whose guest has been seen
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
+            kinds = (batch.column(2).type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2)
+            size = 0
             for bucket, guest, key, text in zip(*[c.to_pylist() for c in batch.columns]):
                 if guest and closed == bucket:
                     continue  # a second guest: the first in order is the successor
@@ -177,11 +182,12 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                             as_string(*before[3]), as_string(*edited_mark),
                             likeness(before[3][0], edited_mark[0]), likeness(before[3][0], mark[0]))):
                         column.append(value)
+                    size += len(before[2])
+                    if size > _FLUSH:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
+                        out, size = [[] for _ in range(7)], 0
                 closed = bucket if guest else closed
                 before = None if guest else (bucket, key, text, mark)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], batch.column(2).type), pa.array(out[1], pa.int64()),
-                 *[pa.array(c, pa.string()) for c in out[2:5]], *[pa.array(c, pa.float64()) for c in out[5:]]],
-                names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -68,6 +68,18 @@ def test_winnow_guarantee_and_segments(monkeypatch):
     assert (winnowing.winnow(a * 5, 8, 20)[1] == whole).all()
 
 
+def test_likeness_of_short_edited_texts(texts):
+    assert winnowing.GRAM + winnowing.WINDOW - 1 <= 23  # shared passages of this length are always found
+    long = max(texts.values(), key=len)
+    for n in (60, 90, 120, 200):
+        near = []
+        for at in range(0, 4_000, 400):
+            text, other = long[at: at + n], long[8_000 + at: 8_000 + at + n // 3]
+            edited = text[: n - len(other)] + other
+            near.append(winnowing.likeness(winnowing.winnow(text)[0], winnowing.winnow(edited)[0]))
+        assert 0 < min(near) and max(near) < 1 and 0.3 < np.mean(near) < 0.7, (n, near)
+
+
 def test_op1(spark, texts):
     rows = {r["doc_id"]: r for r in E.queries()["op1_winnowing"](spark, SF).collect()}
     order = sorted(texts, reverse=True)
