@@ -163,21 +163,22 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, features: list[str]
     return long, metrics_by_model_target(long)
 
 
-def cv_scores(df: DataFrame, key: str, features: list[str], target: str, k: int = 5) -> DataFrame:
-    """K-fold RMSE of the linear candidate, one row per fold."""
-    from tenderlens.operators.metrics import regression_metrics
+def cv_scores(df: DataFrame, key: str, features: list[str], targets: list[str], k: int = 5) -> DataFrame:
+    """K-fold RMSE of the linear candidate, one row per fold and target."""
     d = kfold_assign(df, key, k)
+    actual = [F.col(f"`{t}`").cast("double").alias(f"y_{t}") for t in targets]
     parts = []
     for f in range(k):
         tr, te = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
-        m = fit_linear_multi(tr, features, [target])
-        parts.append(predict_linear_long(te, key, m).withColumn("fold", F.lit(f)))
-    p = parts[0]
+        m = fit_linear_multi(tr, features, targets)
+        p = predict_linear(te.select(key, "fold", *features, *actual), key, m, ["fold", *[f"y_{t}" for t in targets]])
+        parts.append(p.groupBy("fold").agg(*[
+            F.sqrt(F.avg((F.col(f"`y_{t}`") - F.col(f"`{t}`")) * (F.col(f"`y_{t}`") - F.col(f"`{t}`")))).alias(t)
+            for t in targets]))
+    per = parts[0]
     for x in parts[1:]:
-        p = p.unionByName(x)
-    y = d.select(key, F.col(target).alias("y"))
-    per = regression_metrics(p.join(y, key), group=["fold"]).select("fold", "rmse")
-    return per
+        per = per.unionByName(x)
+    return per.unpivot(["fold"], targets, "target", "rmse")
 
 
 def save_model(model, path: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tenderlens.operators import clean as CL
 from tenderlens.operators import ecdf as E
 from tenderlens.operators import encode as EN
+from tenderlens.operators import model as MD
 from tenderlens.operators.skew import hot_keys, salted_join
 from tenderlens.plans import model as PM
 from tenderlens.plans import preprocess as PP
@@ -200,3 +201,26 @@ def test_shared_folder_is_required_off_one_machine(spark):
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_cross_validation_scores_every_target(spark):
+    draw = np.random.default_rng(5)
+    x = draw.normal(0, 1, 200)
+    rows = [(i, float(v), float(2 * v + 1), float(-v), float(draw.normal())) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "k long, x double, `010_001` double, `010_002` double, `100_001` double")
+    targets = ["010_001", "010_002", "100_001"]
+    got = {(r["fold"], r["target"]): r["rmse"] for r in MD.cv_scores(df, "k", ["x"], targets).collect()}
+    folds = MD.kfold_assign(df, "k").toPandas()
+    assert set(got) == {(f, t) for f in range(5) for t in targets}
+    for (f, t), rmse in got.items():
+        train, test = folds[folds.fold != f], folds[folds.fold == f]
+        slope, base = np.polyfit(train.x, train[t], 1)
+        assert math.isclose(rmse, np.sqrt(((test[t] - slope * test.x - base) ** 2).mean()), abs_tol=1e-4)
+
+
+def test_cross_validation_query_has_every_target(spark):
+    from tenderlens.plans.catalog_models import TARGETS
+    import __spark_entry__ as entry
+    rows = entry.queries()["cv_scores"](spark, "/root/testdata/sf0.001").toPandas()
+    assert len(TARGETS) == 180 and set(rows.target) == set(TARGETS)
+    assert (rows.groupby("target").fold.nunique() == rows.fold.nunique()).all() and len(rows) == 180 * rows.fold.nunique()
