@@ -163,22 +163,41 @@ def leaderboard(train: DataFrame, test: DataFrame, key: str, features: list[str]
     return long, metrics_by_model_target(long)
 
 
+def squared_errors(df: DataFrame, model: dict) -> DataFrame:
+    """(target, n, sse) of the linear model on rows with the targets, a row per target; NULL targets do not count."""
+    feats, targets = model["features"], model["targets"]
+    coef, intercept = np.asarray(model["coef"]), np.asarray(model["intercept"])
+    rows = df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"__x{i}") for i, c in enumerate(feats)],
+                     *[F.col(f"`{t}`").cast("double").alias(f"__y{j}") for j, t in enumerate(targets)])
+    p = len(feats)
+
+    def run(batches):
+        n, sse = np.zeros(len(targets), dtype=np.int64), np.zeros(len(targets))
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.column_stack([c.to_numpy(zero_copy_only=False) for c in part])
+                        for part in (batch.columns[:p], batch.columns[p:]))
+                there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns[p:]])
+                n += there.sum(axis=0)
+                sse += np.where(there, (y - (x @ coef + intercept)) ** 2, 0.0).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(targets), pa.array(n), pa.array(sse)], names=["target", "n", "sse"])
+
+    return (rows.mapInArrow(run, "target string, n bigint, sse double").groupBy("target")
+            .agg(F.sum("n").alias("n"), F.sum("sse").alias("sse")))
+
+
 def cv_scores(df: DataFrame, key: str, features: list[str], targets: list[str], k: int = 5) -> DataFrame:
     """K-fold RMSE of the linear candidate, one row per fold and target."""
     d = kfold_assign(df, key, k)
-    actual = [F.col(f"`{t}`").cast("double").alias(f"y_{t}") for t in targets]
     parts = []
     for f in range(k):
-        tr, te = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
-        m = fit_linear_multi(tr, features, targets)
-        p = predict_linear(te.select(key, "fold", *features, *actual), key, m, ["fold", *[f"y_{t}" for t in targets]])
-        parts.append(p.groupBy("fold").agg(*[
-            F.sqrt(F.avg((F.col(f"`y_{t}`") - F.col(f"`{t}`")) * (F.col(f"`y_{t}`") - F.col(f"`{t}`")))).alias(t)
-            for t in targets]))
+        m = fit_linear_multi(d.filter(F.col("fold") != f), features, targets)
+        found = squared_errors(d.filter(F.col("fold") == f), m)
+        parts.append(found.filter("n > 0").select(F.lit(f).alias("fold"), "target", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
     per = parts[0]
     for x in parts[1:]:
         per = per.unionByName(x)
-    return per.unpivot(["fold"], targets, "target", "rmse")
+    return per
 
 
 def save_model(model, path: str) -> None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tenderlens.functions.expr import all_target_names
@@ -264,8 +265,9 @@ def cv_scores_q(spark, sf):
     """RMSE per fold and target beside the target's mean and population standard deviation over the folds."""
     d, feats = _model_data(spark, sf)
     per = MD.cv_scores(d.filter(~F.col("is_test")), C.key, feats, TARGETS, k=5)
-    every = per.groupBy("target").agg(F.avg("rmse").alias("mean_rmse"), F.stddev_pop("rmse").alias("std_rmse"))
-    return round_doubles(per.join(every, "target"))
+    folds = Window.partitionBy("target")
+    return round_doubles(per.select("fold", "target", "rmse", F.avg("rmse").over(folds).alias("mean_rmse"),
+                                    F.stddev_pop("rmse").over(folds).alias("std_rmse")))
 
 
 DATASETS = ["range3", "range2", "others"]
