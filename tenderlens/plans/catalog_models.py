@@ -283,12 +283,12 @@ def predict_bins_q(spark, sf):
 
 @query("batch_predict", None)
 def batch_predict_q(spark, sf):
-    """J12 + J13 + A14: one JSON document per notice of the bids and granularity; ``others`` has no models
-    of its own here and is served by the first dataset of the priority list."""
+    """J12 + J13 + A14: one JSON document per notice of the bids and granularity, by the models of the notice's own
+    dataset; one without training rows is served by the first dataset of the priority list."""
     from tenderlens.plans import model as PM
     from tenderlens.sources.store import prediction_docs
     d, feats = _model_data(spark, sf)
-    models = PM.train(d.filter(~F.col("is_test")), ["range3", "range2"], feats, TARGETS)
+    models = PM.train(d.filter(~F.col("is_test")), DATASETS, feats, TARGETS)
     ids = V.bids(spark, sf).select(C.key).distinct()
     long, _ = PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3", "range2"])
     names = F.create_map(*[F.lit(x) for pair in TP.DATASET_NAMES.items() for x in pair])

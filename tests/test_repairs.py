@@ -224,3 +224,29 @@ def test_cross_validation_query_has_every_target(spark):
     rows = entry.queries()["cv_scores"](spark, "/root/testdata/sf0.001").toPandas()
     assert len(TARGETS) == 180 and set(rows.target) == set(TARGETS)
     assert (rows.groupby("target").fold.nunique() == rows.fold.nunique()).all() and len(rows) == 180 * rows.fold.nunique()
+
+
+def test_batch_predict_trains_every_dataset(spark, monkeypatch):
+    from tenderlens.plans import catalog_models as CM
+    import __spark_entry__ as entry
+    seen = {}
+
+    def train(df, datasets, *more, kept=PM.train):
+        seen["there"] = {r["dataset"] for r in df.select("dataset").distinct().collect()}
+        seen["models"] = kept(df, datasets, *more)
+        return seen["models"]
+
+    monkeypatch.setattr(PM, "train", train)
+    assert entry.queries()["batch_predict"](spark, "/root/testdata/sf0.001").limit(1).collect()
+    assert "others" in seen["there"] and set(seen["models"]) == seen["there"] <= set(CM.DATASETS)
+
+
+def test_dataset_without_training_rows_is_served_by_the_first_of_the_list(spark):
+    rows = [(i, "a" if i % 2 else "b", float(i), float(i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows + [(99, "c", 7.0, 0.0)], "k long, dataset string, x double, `010_001` double")
+    models = PM.train(df.filter("dataset <> 'c'"), ["a", "b", "c"], ["x"], ["010_001"])
+    found, failed = PM.predict_ids(models, df, df.select("k"), "k", ["a", "b", "c"], ["b", "a"])
+    assert set(models) == {"a", "b"} and failed.count() == 0
+    by_key = {r["k"]: r for r in found.collect()}
+    assert by_key[99]["dataset"] == "c" and math.isclose(by_key[99]["p"], 0.0, abs_tol=1e-4)  # by b's model
+    assert math.isclose(by_key[7]["p"], 1.0, abs_tol=1e-4)
