@@ -46,7 +46,7 @@ class _Words(dict):
     """word -> slot of its shape * 2^16 + slot of the word itself."""
 
     def __missing__(self, word: str) -> int:
-        shape = "".join(["X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64]])
+        shape = "".join(["X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word])
         shape = _RUNS.sub(r"\1", shape)
         first = _SHAPES + _RATIOS
         slots = (zlib.crc32(shape.encode("utf-8", "surrogatepass")) % _SHAPES) << BITS | (

@@ -487,6 +487,13 @@ def test_op9_files(spark, texts, tmp_path):
 
 # quality
 
+def test_shape_of_a_whole_word():
+    words = quality._Words()
+    shape = lambda w: words[w] >> quality.BITS
+    assert shape("a" * 64 + "b") == shape("a" * 90)  # runs are collapsed
+    assert len({shape("a" * 64 + end) for end in ("b", "9", "B9", "--7x")}) == 4  # what follows the 64th character counts
+
+
 def test_em_finds_the_accuracies():
     draw = np.random.default_rng(9)
     truth, counts = [], Counter()
