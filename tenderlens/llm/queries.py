@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, exact_dedup, mixing, packing, quality, simhash, token_frames, url_rules, viterbi, winnowing
+from . import (attention_lm, exact_dedup, mixing, packing, quality, simhash, substring_dedup, token_frames, url_rules,
+               viterbi, winnowing)
 from .common import table
 from .encode import tokenizer_path
 
@@ -56,6 +57,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op2_mixing": op2_mixing,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_frames": op9_token_frames,
     "op10_quality": op10_quality,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
