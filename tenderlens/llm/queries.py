@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (attention_lm, exact_dedup, mixing, packing, quality, simhash, substring_dedup, token_frames, url_rules,
-               viterbi, winnowing)
+from . import (attention_lm, exact_dedup, hard_negatives, mixing, packing, quality, simhash, substring_dedup, token_frames,
+               url_rules, viterbi, whitening, winnowing)
 from .common import table
 from .encode import tokenizer_path
 
@@ -57,6 +57,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_report(table(spark, sf_dir, "documents"))
 
@@ -72,10 +80,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_frames": op9_token_frames,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
     "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_url_rules": url_rules.URL_SQL,
     "op8_exact_dedup": exact_dedup.EXACT_SQL,
+    "op11_hard_negatives": hard_negatives.NEGATIVE_SQL,
 }
