@@ -252,10 +252,10 @@ def hard_negatives(table: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 NEGATIVE_SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 s AS (
   SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
          CAST(list_dot_product(CAST(a.x AS DOUBLE[]), CAST(v.x AS DOUBLE[])) AS BIGINT) AS score
