@@ -276,3 +276,16 @@ def svd_reduce_q(spark, sf):
 def reduced_text_features_q(spark, sf):
     d = V.table(spark, sf, "documents")
     return round_doubles(TX.reduced_text_features(d, "doc_id", "text", k=20, dim=64))
+
+
+@query("knn_graph", f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_distance(a.v, b.v) * 1e9) / 1e9 AS distance
+      FROM e AS a JOIN e AS b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank,
+       neighbor_id, {r('distance')} AS distance FROM d
+QUALIFY rank <= 15""")
+def knn_graph_q(spark, sf):
+    """The 15 nearest other vectors of every vector whose id is divisible by 20, against all vectors."""
+    from tenderlens.operators.neighbors import knn_join
+    e = V.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return round_doubles(knn_join(e.where("vec_id % 20 = 0"), e, 15, "vec_id", "vec_id", "embedding", other=True))

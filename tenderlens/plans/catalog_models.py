@@ -18,7 +18,8 @@ from tenderlens.operators import metrics as M
 from tenderlens.operators import model as MD
 from tenderlens.plans import tender as TP
 from tenderlens.plans.catalog import q, query, r, round_doubles
-from tenderlens.plans.catalog_tender import (BINNED_SQL, KEY, NB_SQL, NT_SQL, PB_SQL, _ctx, targets_sql)
+from tenderlens.plans.catalog_tender import (BINNED_SQL, KEY, NB_SQL, NORMS, NT_SQL, ORACLE_CATEGORIES, PB_SQL,
+                                             TRANSFORM_SQL, _ctx, targets_sql)
 from tenderlens.roles import TenderColumns
 from tenderlens.sources import views as V
 
@@ -251,6 +252,31 @@ def feature_importance_q(spark, sf):
     return round_doubles(MD.feature_importance(model, feats, spark))
 
 
+FEATURES = [*NORMS.values(), *[f"{c}_{v}" for c, vals in ORACLE_CATEGORIES.items() for v in vals]]  # of the driver tables
+KNN_SQL = f"""WITH t AS ({TRANSFORM_SQL}),
+s AS (SELECT *, {SPLIT.format(k=KEY)} AS is_test FROM t),
+st AS (SELECT {", ".join(f"avg({q(f)}) AS m{i}, stddev_pop({q(f)}) AS s{i}" for i, f in enumerate(FEATURES))} FROM s WHERE NOT is_test),
+v AS (SELECT {KEY}, is_test, [{", ".join(f"CASE WHEN s{i} > 0 THEN ({q(f)} - m{i}) / s{i} ELSE 0 END" for i, f in enumerate(FEATURES))}] AS x FROM s, st),
+near AS (SELECT {KEY}, unnest(b) AS nb FROM (
+         SELECT a.{KEY}, min({{'d': round(list_distance(a.x, b.x) * 1e9) / 1e9, 'k': b.{KEY}}}, 5) AS b
+         FROM v AS a JOIN v AS b ON a.is_test AND NOT b.is_test GROUP BY a.{KEY})),
+w AS (SELECT {KEY}, nb.k AS n, CASE WHEN min(nb.d) OVER (PARTITION BY {KEY}) = 0 THEN CAST(nb.d = 0 AS DOUBLE) ELSE 1 / nb.d END AS w
+      FROM near),
+knn AS (SELECT w.{KEY}, {", ".join(f"sum(w * t.{q(x)}) / sum(w) AS {q(x)}" for x in TARGETS)}
+        FROM w JOIN t ON t.{KEY} = w.n GROUP BY w.{KEY})"""
+
+
+@query("knn_regressor", KNN_SQL + f"\nSELECT {KEY}, {', '.join(f'{r(q(x))} AS {q(x)}' for x in TARGETS)} FROM knn")
+def knn_regressor_q(spark, sf):
+    """All 180 targets of the test notices from their 5 nearest training notices on standardised features."""
+    from tenderlens.operators.neighbors import knn_predict
+    from tenderlens.session import cut_lineage
+    n, b = _ctx(spark, sf)
+    d = cut_lineage(MD.hash_split(round_doubles(TP.transform(n, b)), C.key), "knn_model_data")
+    feats = [c for c in d.columns if c not in TARGETS and c not in (C.key, C.range_text, "dataset", "is_test")]
+    return round_doubles(knn_predict(d.filter(~F.col("is_test")), d.filter(F.col("is_test")), C.key, feats, TARGETS))
+
+
 @query("leaderboard", None)
 def leaderboard_q(spark, sf):
     d, feats = _model_data(spark, sf)
