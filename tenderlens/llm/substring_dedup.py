@@ -20,8 +20,9 @@ prefixes of neighbours.
    segments are repeated in all their strings; their bytes are not needed.
 3. Anchors with different segments send one copy of each. Groups of one anchor are
    sorted together, many small groups at a time.
-4. An anchor with more than ``group_rows`` different segments is too much for a task:
-   128-bit digests of its strings are counted by shuffle instead, which is exact too.
+4. An anchor with more than ``group_rows`` different segments (a passage with as many
+   surroundings) is too much for a task: 128-bit digests of its strings are counted by
+   shuffle instead, which finds the same strings.
 
 Defined results: a null text is empty; texts shorter than ``length`` lose nothing;
 repeated rows count as documents of their own (so equal texts of ``length`` bytes or
@@ -46,7 +47,8 @@ from .suffix_sort import sort_strings
 
 LENGTH = 400
 GRAM = 100
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
+_BATCH = 20_000  # segments sorted at once, of many anchors
 _CHUNK = 1 << 21  # bytes hashed at once; longer texts are cut into chunks that overlap
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(42).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -210,7 +212,7 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return docs.select("uid", "body").join(lists, "uid").select("uid", "body", "w").mapInArrow(run, _BODIES)
 
 
-def _sorted_groups(bodies: DataFrame, length: int, group_rows: int) -> DataFrame:
+def _sorted_groups(bodies: DataFrame, length: int) -> DataFrame:
     """uid, first, last: runs of repeated starts in the segments of anchors that fit a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -226,7 +228,7 @@ def _sorted_groups(bodies: DataFrame, length: int, group_rows: int) -> DataFrame
 
         for batch in batches:
             for r in zip(*[c.to_pylist() for c in batch.columns]):
-                if len(held) >= group_rows and held[-1][0] != r[0]:
+                if len(held) >= _BATCH and held[-1][0] != r[0]:
                     yield close()
                     held = []
                 held.append(r)
@@ -310,7 +312,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     wanted = single.unionByName(one).withColumn("hot", F.col("m") > group_rows)
     bodies = cut_lineage(_bodies(docs, wanted, length), "repeat_bodies")
     spans = (shared.where("c > 1").select("uid", F.col("start").alias("first"), (F.col("start") + F.col("n") - 1).alias("last"))
-             .unionByName(_sorted_groups(bodies.where("not hot"), length, group_rows)))
+             .unionByName(_sorted_groups(bodies.where("not hot"), length)))
     if not bodies.where("hot").isEmpty():
         spans = spans.unionByName(_counted_strings(bodies.where("hot"), length))
     return spans
