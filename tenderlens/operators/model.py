@@ -4,7 +4,8 @@
 * ``fit_linear_multi`` fits one ridge regression for ALL targets from a
   single distributed pass (means, variances and the correlation matrix of
   [X | Y] via Spark ML statistics); only (p+t)^2 numbers reach the driver.
-* Tree models use Spark ML (distributed training) per target.
+* Trees of all targets: ``operators/trees.py``; ``fit_tree`` wraps Spark ML for one target.
+* ``leaderboard`` ranks five candidates for every target.
 * Scoring is one plan for all rows and targets.
 """
 
@@ -146,58 +147,107 @@ def mean_baseline_long(train: DataFrame, test: DataFrame, key: str, targets: lis
     return test.select(key, F.inline(entries)).select(F.lit(name).alias("model"), "target", key, "p")
 
 
+CANDIDATES = ("LR", "KNN", "GBT", "RF", "MEAN")
+
+
+def candidate(name: str, train: DataFrame, test: DataFrame, key: str, features: list[str], targets: list[str], binning=None,
+              seconds: float | None = None) -> tuple[DataFrame, str | None]:
+    """Wide test predictions of one candidate for all targets, and what its time bound cut off, if anything."""
+    from tenderlens.operators import trees as TR
+    from tenderlens.operators.neighbors import knn_predict
+    if name == "LR":
+        return predict_linear(test, key, fit_linear_multi(train, features, targets)), None
+    if name == "KNN":
+        return knn_predict(train, test, key, features, targets), None
+    if name == "MEAN":
+        row = train.agg(*[F.avg(F.col(f"`{t}`")).alias(t) for t in targets]).first()
+        return test.select(key, *[F.lit(row[t]).cast("double").alias(t) for t in targets]), None
+    fit = {"GBT": TR.fit_boosted, "RF": TR.fit_forest}[name]
+    model = fit(train, key, features, targets, seconds=seconds, binning=binning)
+    return TR.predict(test, key, model), model.stopped
+
+
 def leaderboard(train: DataFrame, test: DataFrame, key: str, features: list[str], targets: list[str],
-                tree_targets: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Candidates per target -> long predictions and a ranked metrics table."""
-    from tenderlens.operators.metrics import metrics_by_model_target
-    lm = fit_linear_multi(train, features, targets)
-    preds = [predict_linear_long(test, key, lm, "LR"), mean_baseline_long(train, test, key, targets)]
-    for t in (tree_targets or []):
-        for kind in ("gbt", "rf"):
-            preds.append(predict_tree_long(test, key, features, fit_tree(train, features, t, kind), t, kind.upper()))
-    p = preds[0]
-    for x in preds[1:]:
-        p = p.unionByName(x)
-    y = targets_long(test, key, targets)
-    long = p.join(y, ["target", key])
-    return long, metrics_by_model_target(long)
-
-
-def squared_errors(df: DataFrame, model: dict) -> DataFrame:
-    """(target, n, sse) of the linear model on rows with the targets, a row per target; NULL targets do not count."""
-    feats, targets = model["features"], model["targets"]
-    coef, intercept = np.asarray(model["coef"]), np.asarray(model["intercept"])
-    rows = df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"__x{i}") for i, c in enumerate(feats)],
-                     *[F.col(f"`{t}`").cast("double").alias(f"__y{j}") for j, t in enumerate(targets)])
-    p = len(feats)
+                candidates: tuple[str, ...] = CANDIDATES, seconds_per_target: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(metrics of every candidate for every target, failures as (model, reason)).
+
+    The tree candidates share one binning. ``seconds_per_target`` times the number of
+    targets bounds each tree fit, which covers all targets together; what a fit did not
+    get to is a failure row, as is a candidate that raised.
+    """
+    from tenderlens.operators import trees as TR
+    from tenderlens.operators.metrics import paired, wide_metrics
+    binning = TR.fit_bins(train, features) if {"GBT", "RF"} & set(candidates) else None
+    budget = None if seconds_per_target is None else seconds_per_target * len(targets)
+    predictions, failures = {}, []
+    for name in candidates:
+        try:
+            predictions[name], cut = candidate(name, train, test, key, features, targets, binning, budget)
+        except Exception as e:  # noqa: BLE001  one candidate's failure leaves the others to compete
+            cut = f"{type(e).__name__}: {str(e)[:200]}"
+        if cut:
+            failures.append((name, cut))
+    metrics = wide_metrics(paired(test, predictions, key, targets), targets)
+    return metrics, train.sparkSession.createDataFrame(failures, "model string, reason string")
+
+
+def fold_products(df: DataFrame, fold: str, features: list[str], targets: list[str]) -> tuple[np.ndarray, dict[int, dict]]:
+    """Sums of products of [1, X, Y] per fold, from one scan after the means: (means, {fold: {"zz", "yy"}}).
+
+    ``zz`` is [1, X]' [1, X, Y], ``yy`` the targets' sums of squares, both of values less
+    the means. Rows with a NULL target take no part, missing features count as 0.
+    """
+    p, t = len(features), len(targets)
+    rows = df.dropna(subset=targets).select(
+        F.col(fold).cast("int").alias("__f"), *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"__x{i}") for i, c in enumerate(features)],
+        *[F.col(f"`{c}`").cast("double").alias(f"__y{j}") for j, c in enumerate(targets)])
+    r = rows.agg(*[F.avg(c).alias(c) for c in rows.columns[1:]]).first()
+    means = np.array([r[c] if r[c] is not None else 0.0 for c in rows.columns[1:]])
+    size = (p + 1) * (p + 1 + t) + t
 
     def run(batches):
-        n, sse = np.zeros(len(targets), dtype=np.int64), np.zeros(len(targets))
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.column_stack([c.to_numpy(zero_copy_only=False) for c in part])
-                        for part in (batch.columns[:p], batch.columns[p:]))
-                there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns[p:]])
-                n += there.sum(axis=0)
-                sse += np.where(there, (y - (x @ coef + intercept)) ** 2, 0.0).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(targets), pa.array(n), pa.array(sse)], names=["target", "n", "sse"])
-
-    return (rows.mapInArrow(run, "target string, n bigint, sse double").groupBy("target")
-            .agg(F.sum("n").alias("n"), F.sum("sse").alias("sse")))
-
-
-def cv_scores(df: DataFrame, key: str, features: list[str], targets: list[str], k: int = 5) -> DataFrame:
-    """K-fold RMSE of the linear candidate, one row per fold and target."""
-    d = kfold_assign(df, key, k)
-    parts = []
-    for f in range(k):
-        m = fit_linear_multi(d.filter(F.col("fold") != f), features, targets)
-        found = squared_errors(d.filter(F.col("fold") == f), m)
-        parts.append(found.filter("n > 0").select(F.lit(f).alias("fold"), "target", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
-    per = parts[0]
-    for x in parts[1:]:
-        per = per.unionByName(x)
-    return per
+            folds = batch.column(0).to_numpy(zero_copy_only=False)
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]) - means
+            for f in np.unique(folds).tolist():
+                part = v[folds == f]
+                z = np.column_stack([np.ones(len(part)), part])
+                made = np.concatenate([(z[:, : p + 1].T @ z).ravel(), (part[:, p:] ** 2).sum(axis=0)])
+                sums[f] = sums[f] + made if f in sums else made
+        for f, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(size, f, dtype=np.int32)), pa.array(np.arange(size, dtype=np.int32)),
+                                              pa.array(total)], names=["f", "at", "v"])
+
+    out: dict[int, np.ndarray] = {}
+    for r in rows.mapInArrow(run, "f int, at int, v double").groupBy("f", "at").agg(F.sum("v").alias("v")).collect():
+        out.setdefault(r["f"], np.zeros(size))[r["at"]] = r["v"]  # folds x (features x targets) numbers
+    return means, {f: {"zz": v[: size - t].reshape(p + 1, p + 1 + t), "yy": v[size - t:]} for f, v in out.items()}
+
+
+def cv_scores(df: DataFrame, key: str, features: list[str], targets: list[str], k: int = 5, ridge: float = 1e-6) -> DataFrame:
+    """K-fold RMSE of the linear candidate, one row per fold and target.
+
+    One scan adds up the products per fold; a fold's model comes from the total less the
+    fold's own part, its squared errors from that part.
+    """
+    p = len(features)
+    _, parts = fold_products(kfold_assign(df, key, k), "fold", features, targets)
+    total, out = sum(v["zz"] for v in parts.values()) if parts else None, []
+    for f, own in sorted(parts.items()):
+        rest = total - own["zz"]
+        n = rest[0, 0]
+        if n == 0:
+            continue  # all rows lie in one fold: nothing to fit on
+        mean = rest[0, 1:] / n
+        cov = rest[1:, 1:] / n - np.outer(mean[:p], mean)
+        coef = np.linalg.solve(cov[:, :p] + ridge * np.eye(p), cov[:, p:])
+        b = np.vstack([mean[p:] - mean[:p] @ coef, coef])  # on values less the means, as the products are
+        zz, zy = own["zz"][:, : p + 1], own["zz"][:, p + 1:]
+        sse = own["yy"] - 2 * (b * zy).sum(axis=0) + (b * (zz @ b)).sum(axis=0)
+        rmse = np.sqrt(np.maximum(sse, 0) / zz[0, 0])
+        out += [(f, t, float(rmse[j])) for j, t in enumerate(targets)]
+    return df.sparkSession.createDataFrame(out, "fold int, target string, rmse double")
 
 
 def save_model(model, path: str) -> None:

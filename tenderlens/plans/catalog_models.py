@@ -2,8 +2,8 @@
 
 The model data are the tender plan's per-notice targets (and features), split
 80/20 by key hash. Two SQL-expressible candidates (training mean per target,
-uniform prior 1/n) feed the oracle-checked metric queries; Spark ML fits
-(linear multi-target, GBT, random forest) are checked on rows.
+uniform prior 1/n) and the neighbour regressor feed the oracle-checked metric
+queries; linear and tree fits of all targets are checked on rows and by tests.
 """
 
 from __future__ import annotations
@@ -50,29 +50,36 @@ def _targets(spark, sf):
     return TP.calculate_target(TP.clean_notices(n), TP.parsed_bids(b))
 
 
-def _preds(spark, sf):
-    """Long predictions (model, target, key, y, p) of the MEAN and PRIOR candidates.
-
-    One unpivot of the targets; per-target training means are 180 rows
-    (broadcast); no cross join and no join of two long tables.
-    """
+def _split_targets(spark, sf):
+    """The split target table (written once, several branches read it) and the training means (one row)."""
     from tenderlens.session import cut_lineage
-    # the split target table feeds two branches (training means, test rows): write it once
-    t = cut_lineage(MD.hash_split(_targets(spark, sf), C.key))
-    # training means: one wide aggregation (a single row), unpivoted to 180 rows
-    means = t.filter(~F.col("is_test")).agg(*[F.avg(F.col(f"`{x}`")).alias(x) for x in TARGETS]).unpivot(
-        [], TARGETS, "target", "p_mean")
-    yl = t.filter(F.col("is_test")).select(C.key, *TARGETS).unpivot([C.key], TARGETS, "target", "y")
-    test = yl.join(F.broadcast(means), "target", "left")
-    prior = F.lit(1.0) / F.split("target", "_").getItem(0).cast("int")
-    both = test.select("target", C.key, "y", F.array(
-        F.struct(F.lit("MEAN").alias("model"), F.col("p_mean").alias("p")),
-        F.struct(F.lit("PRIOR").alias("model"), prior.alias("p"))).alias("__m"))
-    return both.select("target", C.key, "y", F.inline("__m")).select("model", "target", C.key, "y", "p")
+    t = cut_lineage(MD.hash_split(_targets(spark, sf), C.key), "split_targets")
+    return t, t.filter(~F.col("is_test")).agg(*[F.avg(F.col(f"`{x}`")).alias(x) for x in TARGETS]).first()
+
+
+def _constant(test, values):
+    """Predictions that are the same for every row."""
+    return test.select(C.key, *[F.lit(values[x]).cast("double").alias(x) for x in TARGETS])
+
+
+def _wide_preds(spark, sf):
+    """Test rows, and wide predictions of the MEAN and PRIOR candidates."""
+    t, means = _split_targets(spark, sf)
+    test = t.filter("is_test")
+    return test, {"MEAN": _constant(test, means), "PRIOR": _constant(test, {x: 1.0 / int(x.split("_")[0]) for x in TARGETS})}
+
+
+def _preds(spark, sf):
+    """Long predictions (model, target, key, y, p) of the MEAN candidate."""
+    t, means = _split_targets(spark, sf)
+    yl = t.filter("is_test").select(C.key, *TARGETS).unpivot([C.key], TARGETS, "target", "y")
+    p = F.create_map(*[v for x in TARGETS for v in (F.lit(x), F.lit(means[x]).cast("double"))])
+    return yl.select(F.lit("MEAN").alias("model"), "target", C.key, "y", F.element_at(p, F.col("target")).alias("p"))
 
 
 def _metrics(spark, sf):
-    return M.metrics_by_model_target(_preds(spark, sf))
+    test, predictions = _wide_preds(spark, sf)
+    return M.wide_metrics(M.paired(test, predictions, C.key, TARGETS), TARGETS)
 
 
 def _met_sql(prefix: str = "") -> str:
@@ -96,8 +103,7 @@ SELECT count(*) AS n, {r('sqrt(avg((y - p) * (y - p)))')} AS rmse, {r('avg((y -
        {r('1 - var_pop(y - p) / var_pop(y)')} AS explained_variance, {r('quantile_cont(abs(y - p), 0.5)')} AS median_ae
 FROM preds WHERE model = 'MEAN'""")
 def regression_metrics_q(spark, sf):
-    p = _preds(spark, sf).filter(F.col("model") == "MEAN")
-    return round_doubles(M.regression_metrics(p))
+    return round_doubles(M.regression_metrics(_preds(spark, sf)))
 
 
 @query("metrics_by_model_target", BASE_SQL + f"\nSELECT model, target, n, {_met_sql()} FROM met")
@@ -150,7 +156,7 @@ SELECT preds.{KEY}, split_part(target, '_', 1) AS prefix, CAST(split_part(target
 def predicted_vs_actual_q(spark, sf):
     """Shares by rate, on the axis of each notice's own price range."""
     nb = TP.notice_bounds(TP.clean_notices(V.notices(spark, sf)))
-    p = _preds(spark, sf).filter(F.col("model") == "MEAN").join(nb, C.key)
+    p = _preds(spark, sf).join(nb, C.key)
     parts = F.split("target", "_")
     n, i = parts.getItem(0).cast("int"), parts.getItem(1).cast("int")
     return round_doubles(p.select(C.key, parts.getItem(0).alias("prefix"), i.alias("bin"),
@@ -166,7 +172,7 @@ def _residuals_sql() -> str:
 @query("residuals", _residuals_sql())
 def residuals_q(spark, sf):
     from tenderlens.operators.ecdf import histogram
-    p = M.residuals(_preds(spark, sf).filter(F.col("model") == "MEAN"))
+    p = M.residuals(_preds(spark, sf))
     return round_doubles(histogram(p, "residual", 100))
 
 
@@ -193,14 +199,16 @@ def join_features_targets_q(spark, sf):
 
 @query("drop_null_targets", f"""WITH {NT_SQL.strip()}, {PB_SQL.strip()}, {NB_SQL.strip()}, {BINNED_SQL.strip()},
 {targets_sql(True).strip()}
-SELECT nt.{KEY}, targets."010_001", targets."100_100" FROM nt LEFT JOIN targets ON nt.{KEY} = targets.{KEY}
+SELECT nt.{KEY}, targets.* EXCLUDE ({KEY}) FROM nt LEFT JOIN targets ON nt.{KEY} = targets.{KEY}
 WHERE {" AND ".join(f"targets.{q(t)} IS NOT NULL" for t in TARGETS)}""")
 def drop_null_targets_q(spark, sf):
     """B6 on notices with and without bids: those without have NULL targets."""
     from tenderlens.operators.modeldata import drop_null_targets
     n, _ = _ctx(spark, sf)
-    j = TP.clean_notices(n).select(C.key).join(_targets(spark, sf), C.key, "left")
-    return round_doubles(drop_null_targets(j, TARGETS).select(C.key, "010_001", "100_100"))
+    from tenderlens.session import cut_lineage
+    # the wide table is written: 180 conditions on columns still to be computed would repeat their expressions
+    j = cut_lineage(TP.clean_notices(n).select(C.key).join(_targets(spark, sf), C.key, "left"), "with_null_targets")
+    return round_doubles(drop_null_targets(j, TARGETS).select(C.key, *TARGETS))
 
 
 # ------------------------------------------------------------ Spark ML fits (rows-only checks)
@@ -225,31 +233,40 @@ def fit_linear_multi_q(spark, sf):
     return round_doubles(spark.createDataFrame(rows, "target string, feature string, coef double"))
 
 
+def _fitted_trees(spark, sf, fit, **params):
+    d, feats = _model_data(spark, sf)
+    return d.filter(F.col("is_test")), fit(d.filter(~F.col("is_test")), C.key, feats, TARGETS, **params)
+
+
+def _tree_metrics(test, model):
+    """Test metrics of every target beside the rounds kept and the validation error."""
+    from tenderlens.operators import trees as TR
+    met = M.wide_metrics(M.paired(test, {model.name: TR.predict(test, C.key, model)}, C.key, TARGETS), TARGETS)
+    kept = test.sparkSession.createDataFrame([(t, n, model.validation.get(t)) for t, n in model.rounds.items()],
+                                             "target string, rounds int, validation_rmse double")
+    return round_doubles(met.join(kept, "target"))
+
+
 @query("fit_gbt", None)
 def fit_gbt_q(spark, sf):
-    d, feats = _model_data(spark, sf)
-    tr, te = d.filter(~F.col("is_test")), d.filter(F.col("is_test"))
-    model = MD.fit_tree(tr, feats, "010_005", "gbt")
-    p = MD.predict_tree_long(te, C.key, feats, model, "010_005", "GBT").join(
-        MD.targets_long(te, C.key, ["010_005"]), ["target", C.key])
-    return round_doubles(M.metrics_by_model_target(p))
+    """Boosted trees of all 180 targets."""
+    from tenderlens.operators.trees import fit_boosted
+    return _tree_metrics(*_fitted_trees(spark, sf, fit_boosted))
 
 
 @query("fit_random_forest", None)
 def fit_random_forest_q(spark, sf):
-    d, feats = _model_data(spark, sf)
-    tr, te = d.filter(~F.col("is_test")), d.filter(F.col("is_test"))
-    model = MD.fit_tree(tr, feats, "010_005", "rf")
-    p = MD.predict_tree_long(te, C.key, feats, model, "010_005", "RF").join(
-        MD.targets_long(te, C.key, ["010_005"]), ["target", C.key])
-    return round_doubles(M.metrics_by_model_target(p))
+    """A forest of 100 trees for each of the 180 targets."""
+    from tenderlens.operators.trees import fit_forest
+    return _tree_metrics(*_fitted_trees(spark, sf, fit_forest))
 
 
 @query("feature_importance", None)
 def feature_importance_q(spark, sf):
-    d, feats = _model_data(spark, sf)
-    model = MD.fit_tree(d.filter(~F.col("is_test")), feats, "010_005", "gbt")
-    return round_doubles(MD.feature_importance(model, feats, spark))
+    """Gain and number of splits per target and feature over the boosted trees of all targets."""
+    from tenderlens.operators.trees import fit_boosted, importance
+    _, model = _fitted_trees(spark, sf, fit_boosted)
+    return round_doubles(spark.createDataFrame(importance(model), "target string, feature string, gain double, splits int"))
 
 
 FEATURES = [*NORMS.values(), *[f"{c}_{v}" for c, vals in ORACLE_CATEGORIES.items() for v in vals]]  # of the driver tables
@@ -266,24 +283,49 @@ knn AS (SELECT w.{KEY}, {", ".join(f"sum(w * t.{q(x)}) / sum(w) AS {q(x)}" for x
         FROM w JOIN t ON t.{KEY} = w.n GROUP BY w.{KEY})"""
 
 
+def _knn_data(spark, sf):
+    """The model table with values of six decimals, so that equal distances are equal in any engine."""
+    from tenderlens.session import cut_lineage
+    n, b = _ctx(spark, sf)
+    d = cut_lineage(MD.hash_split(round_doubles(TP.transform(n, b)), C.key), "knn_model_data")
+    return d, [c for c in d.columns if c not in TARGETS and c not in (C.key, C.range_text, "dataset", "is_test")]
+
+
 @query("knn_regressor", KNN_SQL + f"\nSELECT {KEY}, {', '.join(f'{r(q(x))} AS {q(x)}' for x in TARGETS)} FROM knn")
 def knn_regressor_q(spark, sf):
     """All 180 targets of the test notices from their 5 nearest training notices on standardised features."""
     from tenderlens.operators.neighbors import knn_predict
-    from tenderlens.session import cut_lineage
-    n, b = _ctx(spark, sf)
-    d = cut_lineage(MD.hash_split(round_doubles(TP.transform(n, b)), C.key), "knn_model_data")
-    feats = [c for c in d.columns if c not in TARGETS and c not in (C.key, C.range_text, "dataset", "is_test")]
+    d, feats = _knn_data(spark, sf)
     return round_doubles(knn_predict(d.filter(~F.col("is_test")), d.filter(F.col("is_test")), C.key, feats, TARGETS))
 
 
+@query("metrics_fitted", KNN_SQL + f""",
+yl AS (SELECT {KEY}, target, y, is_test FROM (UNPIVOT (SELECT {KEY}, is_test, {", ".join(q(x) for x in TARGETS)} FROM s)
+       ON COLUMNS(* EXCLUDE ({KEY}, is_test)) INTO NAME target VALUE y)),
+pl AS (SELECT 'KNN' AS model, {KEY}, target, p FROM (UNPIVOT knn ON COLUMNS(* EXCLUDE ({KEY})) INTO NAME target VALUE p)
+       UNION ALL SELECT 'MEAN', {KEY}, target, m FROM yl JOIN (SELECT target, avg(y) AS m FROM yl WHERE NOT is_test GROUP BY target)
+       USING (target) WHERE is_test),
+preds AS (SELECT model, target, y, p FROM pl JOIN yl USING ({KEY}, target)),
+met AS (SELECT model, target, count(*) AS n, sqrt(avg((y - p) * (y - p))) AS rmse, avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae,
+               CASE WHEN var_pop(y) = 0 THEN NULL ELSE 1 - avg((y - p) * (y - p)) / var_pop(y) END AS r2,
+               CASE WHEN var_pop(y) = 0 THEN NULL ELSE 1 - var_pop(y - p) / var_pop(y) END AS explained_variance,
+               quantile_cont(abs(y - p), 0.5) AS median_ae FROM preds GROUP BY model, target)
+SELECT model, target, n, {_met_sql()}, arg_min(model, (rmse, model)) OVER (PARTITION BY target) AS best_model FROM met""")
+def metrics_fitted_q(spark, sf):
+    """J10 + W6 on fitted predictions of all targets (nearest neighbours) beside the training means."""
+    d, feats = _knn_data(spark, sf)
+    met, _ = MD.leaderboard(d.filter(~F.col("is_test")), d.filter(F.col("is_test")), C.key, feats, TARGETS, ("KNN", "MEAN"))
+    best = M.best_model(met).select("target", "best_model")
+    return round_doubles(met.join(best, "target"))
+
+
 @query("leaderboard", None)
 def leaderboard_q(spark, sf):
+    """Linear, neighbours, boosted trees, forest and mean ranked for each of the 180 targets."""
     d, feats = _model_data(spark, sf)
-    _, met = MD.leaderboard(d.filter(~F.col("is_test")), d.filter(F.col("is_test")), C.key, feats, TARGETS,
-                            tree_targets=["010_005"])
-    ranked = met.join(M.best_model(met), "target")
-    return round_doubles(ranked)
+    met, _ = MD.leaderboard(d.filter(~F.col("is_test")), d.filter(F.col("is_test")), C.key, feats, TARGETS)
+    place = F.row_number().over(Window.partitionBy("target").orderBy("rmse", "model"))
+    return round_doubles(met.withColumn("place", place).join(M.best_model(met), "target"))
 
 
 @query("cv_scores", None)
@@ -314,7 +356,7 @@ def batch_predict_q(spark, sf):
     from tenderlens.plans import model as PM
     from tenderlens.sources.store import prediction_docs
     d, feats = _model_data(spark, sf)
-    models = PM.train(d.filter(~F.col("is_test")), DATASETS, feats, TARGETS)
+    models = PM.train(d.filter(~F.col("is_test")), C.key, DATASETS, feats, TARGETS)
     ids = V.bids(spark, sf).select(C.key).distinct()
     long, _ = PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3", "range2"])
     names = F.create_map(*[F.lit(x) for pair in TP.DATASET_NAMES.items() for x in pair])
@@ -326,22 +368,21 @@ def batch_predict_q(spark, sf):
 SELECT DISTINCT b.{KEY}, 'no such notice' AS reason FROM ({V.BIDS_SQL}) b
 WHERE b.{KEY} IS NOT NULL AND b.{KEY} NOT IN (SELECT nt.{KEY} FROM nt JOIN pb ON nt.{KEY} = pb.{KEY})""")
 def batch_predict_failures_q(spark, sf):
-    """The notices of the bids that get no prediction, with the reason."""
+    """The notices of the bids that the batch run of all models gives no prediction, with the reason."""
     from tenderlens.plans import model as PM
     d, feats = _model_data(spark, sf)
-    models = PM.train(d.filter(~F.col("is_test")), ["range3"], feats, ["010_001"])
+    models = PM.train(d.filter(~F.col("is_test")), C.key, DATASETS, feats, TARGETS)
     ids = V.bids(spark, sf).select(C.key).dropna().distinct()
-    return PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3"])[1]
+    return PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3", "range2"])[1]
 
 
 @query("train_evaluate", None)
 def train_evaluate_q(spark, sf):
-    """P3 + A15: fits per dataset (linear for all 180 targets, trees for the stated one), metrics written
-    as CSV and read back."""
+    """P3 + A15: linear model, boosted trees and forest of all 180 targets per dataset, metrics written as CSV and read back."""
     from tenderlens.plans import model as PM
     from tenderlens.session import checkpoint_dir
     d, feats = _model_data(spark, sf)
-    _, _, metrics = PM.run(d.drop("is_test"), C.key, feats, ["010", "020", "050", "100"], DATASETS, ["010_005"])
+    _, _, metrics = PM.run(d.drop("is_test"), C.key, feats, ["010", "020", "050", "100"], DATASETS)
     path = f"{checkpoint_dir(spark).rstrip('/')}/evaluation-{uuid.uuid4().hex[:12]}"
     PM.write_evaluation(metrics, path)
     return round_doubles(spark.read.option("header", True).schema(metrics.schema).csv(f"{path}/metrics"))

@@ -61,6 +61,21 @@ def upsert_single_q(spark, sf):
     return round_doubles(ST.upsert_single(None, parts, "k", order="seq").select("k", "dataset_type", "status", "price"))
 
 
+@query("upsert_stream", f"""SELECT l_orderkey AS k, l_linestatus AS status, l_returnflag AS flag, CAST(l_linenumber AS INTEGER) AS line
+FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber // 2, {LAST_FIRST}) = 1""")
+def upsert_stream_q(spark, sf):
+    """A10 as a stream: the bid lines arrive in four files, each file is an epoch, later epochs win; every second one folds."""
+    from tenderlens.streaming.upsert import latest_snapshot, start_upsert_stream
+    path = _scratch(spark, "stream")
+    li = _upd(spark, sf).withColumn("line", F.col("seq.l_linenumber").cast("int"))
+    part = F.floor(F.col("line") / 2).cast("int")
+    for i in (3, 2, 1, 0):  # line numbers end at seven; lower ones arrive later
+        li.filter(part == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    start_upsert_stream(stream, f"{path}/out", ["k"], f"{path}/checkpoint", "seq", fold_every=2).awaitTermination()
+    return latest_snapshot(spark, f"{path}/out", ["k"])
+
+
 @query("storable_names", """SELECT o_orderkey AS "order_key", o_totalprice AS "order_total_price" FROM orders""")
 def storable_names_q(spark, sf):
     o = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("order.key"),
@@ -68,11 +83,11 @@ def storable_names_q(spark, sf):
     return ST.storable_names(o)
 
 
-@query("scan_collection", f"""SELECT "공고번호", "예가범위", "참여업체수" FROM ({V.NOTICES_SQL})""")
+@query("scan_collection", f"SELECT * FROM ({V.NOTICES_SQL})")
 def scan_collection_q(spark, sf):
     """A4: a collection written with the store's ``_id`` and read back without it."""
     path = _scratch(spark, "collection")
-    n = V.notices(spark, sf).select(F.monotonically_increasing_id().alias("_id"), C.key, C.range_text, C.n_bidders)
+    n = V.notices(spark, sf).select(F.monotonically_increasing_id().alias("_id"), "*")
     ST.save_snapshot(n, path, "preprocessed_3", 1)
     return ST.scan_collection(spark, f"{path}/preprocessed_3/v=000001")
 

@@ -1,77 +1,82 @@
-"""Keyed upsert as a Structured Streaming sink (``foreachBatch``).
-
-A collection is spread over a fixed number of key buckets. Each micro-batch
-merges only the buckets its keys fall into and writes them as the folder
-``v=<epoch>/bucket=<n>``; the other buckets stay where an earlier epoch wrote
-them. A retried epoch rewrites only its own folder, so the sink is idempotent
-per epoch; readers take each bucket's newest complete version.
+"""Keyed upsert as a Structured Streaming sink (``foreachBatch``): appended changes, folded now and then.
+
+Each micro-batch writes only its own keys, the last row of each, as the folder
+``v=<epoch>``: n changed keys cost n rows. The collection is a view: the newest
+``base=<epoch>`` with the later changes merged field by field, so columns that a
+change does not have keep their value. Every ``fold_every`` epochs the view is written
+as the next base; readers list one folder and open a base and at most ``fold_every``
+changes. A retried epoch rewrites only its own folders, and folders without
+``_SUCCESS`` are not read, so the sink is idempotent per epoch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from itertools import groupby
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlens.sources.store import upsert_by_key
 
-BUCKETS = 256
-_BUCKET = "bucket"
+FOLD_EVERY = 32
+_ORDER = "__epoch"
 
 
-def _folders(spark: SparkSession, path: str, prefix: str, complete: bool) -> dict[int, str]:
-    """Number -> path of the folders ``<prefix>=<number>`` (with ``complete``: written to the end)."""
+def _folders(spark: SparkSession, path: str) -> dict[str, dict[int, str]]:
+    """Complete folders by kind (base, v) and epoch."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = {}
+    out: dict[str, dict[int, str]] = {"base": {}, "v": {}}
     for st in fs.listStatus(p) if fs.exists(p) else []:
-        name = st.getPath().getName()
-        if name.startswith(f"{prefix}=") and (not complete or fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
-            out[int(name.partition("=")[2])] = st.getPath().toString()
-    return out
-
-
-def bucket_paths(spark: SparkSession, path: str, before: int | None = None) -> dict[int, str]:
-    """Bucket -> folder of its newest complete version (of an epoch under ``before``)."""
-    out: dict[int, str] = {}
-    for version, folder in sorted(_folders(spark, path, "v", True).items()):
-        if before is None or version < before:
-            out.update(_folders(spark, folder, _BUCKET, False))
+        kind, _, number = st.getPath().getName().partition("=")
+        if kind in out and number.isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out[kind][int(number)] = st.getPath().toString()
     return out
 
 
-def _read(spark: SparkSession, folders: list[str]) -> DataFrame | None:
-    return spark.read.option("mergeSchema", True).parquet(*folders) if folders else None
-
+def latest_snapshot(spark: SparkSession, path: str, keys: list[str], until: int | None = None) -> DataFrame | None:
+    """The collection after all complete epochs (or those up to ``until``); None before the first."""
+    found = _folders(spark, path)
+    base = max((n for n in found["base"] if until is None or n <= until), default=None)
+    current = spark.read.parquet(found["base"][base]) if base is not None else None
+    later = [(n, spark.read.parquet(folder)) for n, folder in sorted(found["v"].items())
+             if n > (base or 0) and (until is None or n <= until)]
+    # epochs with the same columns merge in one aggregation
+    for _, run in groupby(later, key=lambda x: tuple(x[1].columns)):
+        changes = reduce(DataFrame.unionByName, [d.withColumn(_ORDER, F.lit(n)) for n, d in run])
+        current = upsert_by_key(current, changes, keys, _ORDER)
+    return current
 
-def latest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read(spark, sorted(bucket_paths(spark, path).values()))
 
-
-def key_bucket(keys: list[str], buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def upsert_batch_writer(path: str, keys: list[str], order: str, buckets: int = BUCKETS):
-    """A ``foreachBatch`` function merging each batch into ``path``; ``order`` says which row of a key is last."""
+def upsert_batch_writer(path: str, keys: list[str], order: str, fold_every: int = FOLD_EVERY):
+    """A ``foreachBatch`` function appending each batch to ``path``; ``order`` says which row of a key is last."""
     if not order:
         raise ValueError("an upsert needs an order column: the last row of a key wins")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark, version = batch.sparkSession, epoch_id + 1
-        touched = [r[0] for r in batch.select(key_bucket(keys, buckets).alias("b")).distinct().collect()]
-        have = bucket_paths(spark, path, version)
-        current = _read(spark, [have[b] for b in sorted(touched) if b in have])
-        merged = upsert_by_key(current, batch, keys, order)
-        (merged.withColumn(_BUCKET, key_bucket(keys, buckets)).write.mode("overwrite")
-         .partitionBy(_BUCKET).parquet(f"{path}/v={version:09d}"))
+        version = epoch_id + 1
+        upsert_by_key(None, batch, keys, order).write.mode("overwrite").parquet(f"{path}/v={version:09d}")
+        if version % fold_every == 0:
+            latest_snapshot(batch.sparkSession, path, keys, version).write.mode("overwrite").parquet(f"{path}/base={version:09d}")
     return write
 
 
+def drop_folded(spark: SparkSession, path: str) -> None:
+    """Deletes what no reader of the newest two bases needs."""
+    jvm, found = spark.sparkContext._jvm, _folders(spark, path)
+    kept = sorted(found["base"])[-2:]
+    if len(kept) < 2:
+        return
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in [f for n, f in found["base"].items() if n < kept[0]] + [f for n, f in found["v"].items() if n <= kept[0]]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+
+
 def start_upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str, order: str,
-                        available_now: bool = True, buckets: int = BUCKETS):
-    w = stream.writeStream.foreachBatch(upsert_batch_writer(path, keys, order, buckets)).option(
+                        available_now: bool = True, fold_every: int = FOLD_EVERY):
+    w = stream.writeStream.foreachBatch(upsert_batch_writer(path, keys, order, fold_every)).option(
         "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

@@ -18,7 +18,7 @@ from tenderlens.roles import ColumnRoles
 from tenderlens.session import checkpoint_dir
 from tenderlens.sources import files as FI
 from tenderlens.sources import store as ST
-from tenderlens.streaming.upsert import bucket_paths, latest_snapshot, upsert_batch_writer
+from tenderlens.streaming.upsert import drop_folded, latest_snapshot, upsert_batch_writer
 
 
 def grouped(spark):
@@ -84,14 +84,36 @@ def test_keep_first_and_upsert_need_an_order(spark):
         ST.upsert_by_key(df, df, ["k"], None)
 
 
-def test_stream_writes_only_touched_buckets(spark, tmp_path):
-    write = upsert_batch_writer(str(tmp_path), ["k"], "seq", buckets=16)
-    write(spark.createDataFrame([(i, 0, "old") for i in range(40)], "k int, seq int, v string"), 0)
-    write(spark.createDataFrame([(3, 1, "mid"), (3, 2, "new"), (99, 1, "in")], "k int, seq int, v string"), 1)
-    got = {r["k"]: r["v"] for r in latest_snapshot(spark, str(tmp_path)).collect()}
-    assert got == {**dict.fromkeys(range(40), "old"), 3: "new", 99: "in"}
-    newer = [p for p in bucket_paths(spark, str(tmp_path)).values() if "v=000000002" in p]
-    assert 1 <= len(newer) <= 2
+def test_stream_appends_changes_and_folds(spark, tmp_path):
+    write = upsert_batch_writer(str(tmp_path), ["k"], "seq", fold_every=3)
+    write(spark.createDataFrame([(i, 0, i) for i in range(200)], "k int, seq int, v int"), 0)
+    write(spark.createDataFrame([(7, 1, -7), (7, 2, -8), (500, 3, 500)], "k int, seq int, v int"), 1)
+    got = {r["k"]: r["v"] for r in latest_snapshot(spark, str(tmp_path), ["k"]).collect()}
+    assert got == {**{i: i for i in range(200)}, 7: -8, 500: 500}
+    # a batch writes its own keys only; a retried epoch changes nothing
+    assert spark.read.parquet(f"{tmp_path}/v=000000002").count() == 2
+    write(spark.createDataFrame([(7, 1, -7), (7, 2, -8), (500, 3, 500)], "k int, seq int, v int"), 1)
+    # an epoch with another column keeps the others' values, and the third one folds
+    write(spark.createDataFrame([(7, 1, "x"), (None, 2, "y")], "k int, seq int, w string"), 2)
+    write(spark.createDataFrame([(8, 1, None), (None, 1, 5)], "k int, seq int, v int"), 3)
+    assert spark.read.parquet(f"{tmp_path}/base=000000003").count() == 202
+    got = {r["k"]: (r["v"], r["w"]) for r in latest_snapshot(spark, str(tmp_path), ["k"]).collect()}
+    assert got[7] == (-8, "x") and got[8] == (None, None) and got[None] == (5, "y") and got[9] == (9, None) and len(got) == 202
+    assert {r["k"]: r["v"] for r in latest_snapshot(spark, str(tmp_path), ["k"], 1).collect()} == {i: i for i in range(200)}
+    for epoch in range(4, 9):
+        write(spark.createDataFrame([(epoch, 1, -epoch)], "k int, seq int, v int"), epoch)
+    drop_folded(spark, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["base=000000006", "base=000000009", "v=000000007", "v=000000008", "v=000000009"]
+    got = {r["k"]: r["v"] for r in latest_snapshot(spark, str(tmp_path), ["k"]).collect()}
+    assert len(got) == 202 and got[8] == -8 and got[7] == -7 and got[500] == 500
+
+
+def test_upsert_null_orders_and_keys(spark):
+    target = spark.createDataFrame([(1, "old", "t"), (2, "old", "t"), (None, "old", "t")], "k int, a string, only string")
+    source = spark.createDataFrame([(1, "new", None), (2, "none", None), (2, "first", 1), (3, "x", None), (None, "nk", 4), (None, "nk0", 3)],
+                                   "k int, a string, seq int")
+    got = sorted(map(str, (tuple(r) for r in ST.upsert_by_key(target, source, ["k"], "seq").collect())))
+    assert got == sorted(map(str, [(1, "new", "t"), (2, "first", "t"), (3, "x", None), (None, "nk", "t")]))
 
 
 def test_empty_string_is_a_class_and_many_classes_get_codes(spark):
@@ -177,7 +199,7 @@ def test_model_plan_falls_back_and_names_failures(spark):
     draw = np.random.default_rng(2)
     rows = [(i, "a" if i % 3 else "b", *map(float, x), float(2 * x[0] - x[1] + 1)) for i, x in enumerate(draw.normal(size=(90, 2)))]
     df = spark.createDataFrame(rows, "k int, dataset string, x double, z double, `010_001` double")
-    models, predictions, metrics = PM.run(df, "k", ["x", "z"], ["010"], ["a", "b"])
+    models, predictions, metrics = PM.run(df, "k", ["x", "z"], ["010"], ["a", "b"], ())
     assert {(r["dataset"], round(r["rmse"], 4)) for r in metrics.collect()} == {("a", 0.0), ("b", 0.0)}
     assert PM.serving({"a": models["a"]}, ["a", "b"], ["b", "a"]) == {"a": "a", "b": "a"}
     ids = spark.createDataFrame([(0,), (1,), (500,)], "k int")
@@ -231,9 +253,9 @@ def test_batch_predict_trains_every_dataset(spark, monkeypatch):
     import __spark_entry__ as entry
     seen = {}
 
-    def train(df, datasets, *more, kept=PM.train):
+    def train(df, key, datasets, *more, kept=PM.train):
         seen["there"] = {r["dataset"] for r in df.select("dataset").distinct().collect()}
-        seen["models"] = kept(df, datasets, *more)
+        seen["models"] = kept(df, key, datasets, *more)
         return seen["models"]
 
     monkeypatch.setattr(PM, "train", train)
@@ -244,7 +266,7 @@ def test_batch_predict_trains_every_dataset(spark, monkeypatch):
 def test_dataset_without_training_rows_is_served_by_the_first_of_the_list(spark):
     rows = [(i, "a" if i % 2 else "b", float(i), float(i % 2)) for i in range(40)]
     df = spark.createDataFrame(rows + [(99, "c", 7.0, 0.0)], "k long, dataset string, x double, `010_001` double")
-    models = PM.train(df.filter("dataset <> 'c'"), ["a", "b", "c"], ["x"], ["010_001"])
+    models = PM.train(df.filter("dataset <> 'c'"), "k", ["a", "b", "c"], ["x"], ["010_001"])
     found, failed = PM.predict_ids(models, df, df.select("k"), "k", ["a", "b", "c"], ["b", "a"])
     assert set(models) == {"a", "b"} and failed.count() == 0
     by_key = {r["k"]: r for r in found.collect()}

@@ -15,5 +15,5 @@ def test_upsert_stream_available_now(spark):
     spark.createDataFrame([("k1", 3, 11), ("k3", 4, 30)], "k string, seq int, a int").write.mode("append").parquet(src)
     start_upsert_stream(spark.readStream.schema("k string, seq int, a int").parquet(src), out, ["k"], ck,
                         order="seq").awaitTermination()
-    snap = {r["k"]: r["a"] for r in latest_snapshot(spark, out).collect()}
+    snap = {r["k"]: r["a"] for r in latest_snapshot(spark, out, ["k"]).collect()}
     assert snap == {"k1": 11, "k2": 20, "k3": 30}
