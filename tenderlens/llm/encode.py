@@ -2,9 +2,11 @@
 
 A text is cut at its spaces, where none of the two tokenizers' pre-tokens can
 cross. Words of Latin letters with trailing ASCII punctuation go straight to the
-library's BPE model, everything else through the library's whole encoder; the
-ids of words seen before are remembered (up to ``MEMO`` words per worker, which
-bounds memory and changes no result).
+library's BPE model, everything else through the library's whole encoder. The ids
+of letters, of punctuation and of whole words whose letters came before are
+remembered (up to ``MEMO`` letters and ``PAIRS`` words per worker, which bounds memory
+and changes no result). Single line breaks inside a word part it: one tokenizer drops
+white space, the other makes a token of its own of them.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ import numpy as np
 
 from .common import held
 
-MEMO = 300_000
+MEMO = 450_000
+PAIRS = 250_000
 # ASCII punctuation without the apostrophe, which the pre-tokenizers treat apart
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PAIR_OF_SPACES = re.compile(r"\s\s")
@@ -44,7 +47,11 @@ class WordEncoder:
         self.lower = self.whole.normalizer is not None  # the lower-casing tokenizer drops white space
         self.letters = _byte_letters()
         self.lead = "" if self.lower else self.letters[0x20]
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # words after a space
+        self.room, self.pair_room = MEMO, PAIRS
+        self.marks: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  # words after a line break
+        self.line = b"" if self.lower else self._library("\n")
 
     def _library(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -55,33 +62,67 @@ class WordEncoder:
         ids = [t.id for t in self.model.tokenize(lead + piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _marks(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
+        if ids is None:
+            ids = self._model(marks)
+            if len(self.marks) < 10_000 and len(marks) <= 16:
+                self.marks[marks] = ids
+        return ids
+
     def _word(self, word: str, lead: str) -> bytes:
         m = _WORD.fullmatch(word)
         if not m:
+            if lead and "\n" in word[1:]:
+                return self._lines(word, lead)
             return self._library(lead + word)
         letters, marks = m.groups()
-        if marks and lead and (known := self.memo.get(letters)):
-            return known + self._model(marks)
-        return (self._model(letters.lower() if self.lower else letters, self.lead if lead else "")
-                + (self._model(marks) if marks else b""))
+        ids = self.memo.get(letters) if lead and marks else None
+        seen = ids is not None
+        if not seen:
+            ids = self._model(letters.lower() if self.lower else letters, self.lead if lead else "")
+            if lead and self.room > 0 and len(letters) <= 64:
+                self.memo[letters] = ids
+                self.room -= 1
+        if not marks:
+            return ids
+        ids += self._marks(marks)
+        if seen and self.pair_room > 0 and len(word) <= 64:
+            self.memo[word] = ids
+            self.pair_room -= 1
+        return ids
+
+    def _lines(self, word: str, lead: str) -> bytes:
+        """A word with single line breaks inside (texts with runs of white space do not get here)."""
+        first, *rest = word.split("\n")
+        if not first or "" in rest[:-1]:
+            return self._library(lead + word)
+        out = [self.memo.get(first) or self._word(first, lead)]
+        for part in rest:
+            ids = self.bare.get(part)
+            if ids is None:
+                ids = self._word(part, "") if part else b""
+                if len(self.bare) < 50_000 and len(part) <= 64:
+                    self.bare[part] = ids
+            out += [self.line, ids]
+        return b"".join(out)
 
     def word(self, word: str) -> bytes:
-        """Ids of one word after a space, not remembered."""
-        return self._word(word, " ")
+        """Ids of one word after a space."""
+        return self.memo.get(word) or self._word(word, " ")
 
     def encode(self, text: str) -> bytes:
         if not self.lower and _PAIR_OF_SPACES.search(text):
             return self._library(text)  # runs of white space are tokens of their own
-        first, *words = text.split(" ")
+        first, *words = (text.replace("\n", " ") if self.lower else text).split(" ")
         memo = self.memo
         found = list(map(memo.get, words))
         if None in found:
+            word_ids = self._word
             for i, ids in enumerate(found):
                 if ids is None:
                     word = words[i]
-                    ids = found[i] = memo.get(word) or self._word(word, " ")
-                    if len(memo) < MEMO and len(word) <= 64:
-                        memo[word] = ids
+                    found[i] = (memo.get(word) or word_ids(word, " ")) if word or not self.lower else b""
         return self._word(first, "") + b"".join(found) if first else b"".join(found)
 
 

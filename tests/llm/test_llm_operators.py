@@ -538,3 +538,16 @@ def test_pipeline(spark, texts):
         taken[s] += words[k] * int(copies.get(k, 0))
     goal = mixing.targets(dict(sizes), mixing.cycle_weights(list(sizes)))
     assert all(abs(goal[s] - taken[s]) <= 0.02 * goal[s] + 2 for s in sizes)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_on_white_space_and_marks(path):
+    mine, theirs = WordEncoder(path), library(path)
+    fixed = ["a\nb", "a.\nB c", "x\n", "\nx y", "a\n\nb", "it's\nok 'tis", "é5! ", " a", "a\tb\nc d\x0be", "A\r\nB c", "a\x1cb c\nd", "don't\n's"]
+
+    @given(st.text("ab .,'\n\tÉé5!-\r ", max_size=16) | st.sampled_from(fixed))
+    @settings(max_examples=400, deadline=None)
+    def run(text):
+        assert np.frombuffer(mine.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+    run()
