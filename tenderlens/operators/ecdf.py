@@ -24,6 +24,7 @@ SUMMARY_INTERVALS = ((-3, -2), (-2, -1), (-1, 0), (0, 1), (1, 2), (2, 3), (-0.5,
 
 BUCKET_ROWS = 200_000   # distinct values that one window orders
 SKETCH = 10_000         # a quantile's bracket holds about 4 / SKETCH of the rows
+INSIDE = 20_000         # rows of a bracket that are counted value by value
 
 
 def _same(group: list[str], left: str, right: str) -> Column:
@@ -111,6 +112,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: list[s
     it; the values inside, a few rows in ``accuracy``, are counted and ordered.
     """
     group, probs = group or [], [float(p) for p in probs]
+    if not group:
+        found = column_quantiles(df, [value], probs, accuracy)[value]
+        return df.sparkSession.createDataFrame([(p, found[p]) for p in dict.fromkeys(probs)], "p double, value double")
     rows = df.select(*group, _x(value).alias("__x"))
     around = [min(1.0, max(0.0, p + d / accuracy)) for p in probs for d in (-2, 2)]
     sketch = rows.groupBy(*group).agg(F.count("__x").alias("__n"),
@@ -155,13 +159,75 @@ def quantile_columns(df: DataFrame, value: str, named: dict[str, float], group:
                                    for k, p in named.items()])
 
 
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, dict[float, float | None]]:
-    """Exact quantiles of several columns as numbers on the driver (columns x probabilities of them)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), _x(c).alias("x")) for c in cols])
-    long = df.select(F.explode(pairs).alias("e")).select("e.name", "e.x")
-    out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(map(float, probs)) for c in cols}
-    for r in exact_quantiles(long, "x", probs, ["name"]).collect():
-        out[r["name"]][r["p"]] = r["value"]
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int | None = None,
+                     limit: int | None = None) -> dict[str, dict[float, float | None]]:
+    """Exact quantiles of several columns as numbers on the driver (columns x probabilities of them).
+
+    A sketch of all columns brackets every wanted rank; a second scan counts what lies
+    below and inside the brackets. A bracket with more than ``limit`` rows is sketched
+    again within itself, so that whatever the number of rows, at most ``limit`` different
+    values per bracket are counted one by one in the last scan.
+    """
+    probs, accuracy, limit = [float(p) for p in dict.fromkeys(probs)], accuracy or SKETCH, limit or INSIDE
+    out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in cols}
+    if not cols or not probs:
+        return out
+    rows = df.select(*[_x(c).alias(f"x{i}") for i, c in enumerate(cols)])
+    x = [F.col(f"x{i}") for i in range(len(cols))]
+    around = [min(1.0, max(0.0, p + d / accuracy)) for p in probs for d in (-2, 2)]
+    first = rows.agg(*[e for i, v in enumerate(x) for e in (F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+                                                           F.percentile_approx(v, around, accuracy).alias(f"q{i}"))]).first()
+    wanted: dict[tuple[int, int], dict] = {}
+    for i in range(len(cols)):
+        for j, p in enumerate(probs):
+            n = first[f"n{i}"]
+            if n:
+                h = p * (n - 1)
+                wanted[i, j] = {"h": h, "ranks": (math.floor(h), math.ceil(h)), "lo": first[f"q{i}"][2 * j], "hi": first[f"q{i}"][2 * j + 1],
+                                "least": first[f"lo{i}"], "most": first[f"hi{i}"]}
+    open_ = dict(wanted)
+    while open_:
+        seen = rows.agg(*[e for k, ((i, _), w) in enumerate(open_.items()) for e in (
+            F.count_if(x[i] < w["lo"]).alias(f"below{k}"), F.count_if(x[i].between(w["lo"], w["hi"])).alias(f"in{k}"))]).first()
+        again = {}
+        for k, (at, w) in enumerate(open_.items()):
+            w["below"], w["in"] = seen[f"below{k}"], seen[f"in{k}"]
+            if w["ranks"][0] < w["below"]:  # the sketch was off: the bracket opens on that side
+                again[at] = w | {"lo": w["least"]}
+            elif w["ranks"][1] >= w["below"] + w["in"]:
+                again[at] = w | {"hi": w["most"]}
+            elif w["in"] > limit and w["lo"] < w["hi"]:
+                again[at] = w
+            wanted[at] = again.get(at, w)
+        wide = {at: w for at, w in again.items() if w["in"] > limit and w["lo"] < w["hi"]}
+        if wide:
+            def share(w: dict, d: int) -> float:
+                return min(1.0, max(0.0, (w["ranks"][d > 0] - w["below"]) / max(1, w["in"] - 1) + d / accuracy))
+
+            inner = rows.agg(*[F.percentile_approx(F.when(x[at[0]].between(w["lo"], w["hi"]), x[at[0]]), [share(w, -2), share(w, 2)], accuracy)
+                               .alias(f"q{k}") for k, (at, w) in enumerate(wide.items())]).first()
+            for k, (at, w) in enumerate(wide.items()):
+                lo, hi = inner[f"q{k}"]
+                if (lo, hi) == (w["lo"], w["hi"]):  # no narrower: equal values at both ends fill it
+                    w["done"] = True
+                w["lo"], w["hi"] = lo, hi
+        open_ = {at: w for at, w in again.items() if not w.pop("done", False)}
+    held = F.array(*[F.when(x[i].between(w["lo"], w["hi"]), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), x[i].alias("v")))
+                     for (i, j), w in wanted.items()]) if wanted else None
+    values: dict[tuple[int, int], list] = {}
+    if wanted:
+        for r in (rows.select(F.explode(F.filter(held, lambda e: e.isNotNull())).alias("e")).groupBy("e.i", "e.j", "e.v")
+                  .agg(F.count(F.lit(1)).alias("c")).collect()):  # at most `limit` values per bracket
+            values.setdefault((r["i"], r["j"]), []).append((r["v"], r["c"]))
+    for (i, j), w in wanted.items():
+        upto, found = w["below"], {}
+        for v, c in sorted(values[i, j]):
+            for rank in w["ranks"]:
+                if upto <= rank < upto + c:
+                    found[rank] = v
+            upto += c
+        lo, hi = (found[rank] for rank in w["ranks"])
+        out[cols[i]][probs[j]] = lo + (w["h"] - w["ranks"][0]) * (hi - lo)
     return out
 
 
