@@ -70,7 +70,7 @@ def rule_edges(levels=(2, 3), granularities=GRANULARITIES) -> dict:
 def load_bin_edges(edge_table: DataFrame) -> DataFrame:
     """Per (level, n): drop the last file row, sort, x100 -> (level, n, idx, edge)."""
     last = edge_table.groupBy("level", "n").agg(F.max("seq").alias("last_seq"))
-    kept = edge_table.join(F.broadcast(last), ["level", "n"]).filter(F.col("seq") < F.col("last_seq"))
+    kept = edge_table.join(last, ["level", "n"]).filter(F.col("seq") < F.col("last_seq"))
     edges = kept.groupBy("level", "n").agg(F.array_sort(F.collect_list(F.col("upper") * 100)).alias("edges"))
     return edges.select("level", "n", F.posexplode("edges").alias("idx", "edge")) \
         .select("level", "n", (F.col("idx") + 1).alias("idx"), "edge")

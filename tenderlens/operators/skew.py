@@ -16,6 +16,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenderlens.session import cut_lineage
+
 SALT = "__salt"
 
 
@@ -38,7 +40,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     ``hot`` may be given (key -> salts, or keys that get ``salt_buckets`` each);
     otherwise it is estimated with :func:`hot_keys`. With no hot key this is a
     plain join. Rows are dealt to salts by their place in their partition, so
-    equal rows of a hot key part too.
+    equal rows of a hot key part too; the dealt rows are written first, since a
+    task that runs again may see its rows in another order.
     """
     if hot is None:
         hot = hot_keys(big, key, **hot_kw)
@@ -49,6 +52,6 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
         return big.join(small, key, how)
     salts = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
     n = F.coalesce(salts[F.col(key)], F.lit(1))
-    b = big.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), n).cast("int"))
+    b = cut_lineage(big.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), n).cast("int")), "salted")
     s = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), n - 1)))
     return b.join(s, [key, SALT], how).drop(SALT)

@@ -118,7 +118,8 @@ def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns =
 
     Equal rates of a notice are counted first (with map-side aggregation), so what
     is joined, binned and exploded is one weighted row per different rate: a
-    notice with a third of all bids brings no more rows than it has rates.
+    notice with a third of all bids brings no more rows than it has rates; that
+    replaces an estimate of hot notices, which ``hot`` can still name.
     Levels 2/3 use the fixed edge sets (a dict, or the edge table itself), level 0
     equal-width edges between the notice's own bounds. Level-0 notices whose range
     text has no valid pair of bounds give no targets: :func:`range_rejects` names them.
@@ -143,7 +144,7 @@ def standardize_by(df: DataFrame, group: str | None, cols: dict[str, str]) -> Da
     """G1 per group: (x - mean) / population std; zero variance gives 0.
 
     ``cols`` maps input column -> output name. Statistics are one row per
-    group (broadcast join on the group key).
+    group, joined on the group key without a hint: Spark knows their size.
     """
     aggs = []
     for c in cols:
@@ -151,7 +152,7 @@ def standardize_by(df: DataFrame, group: str | None, cols: dict[str, str]) -> Da
         aggs += [F.avg(x).alias(f"__m_{c}"), F.stddev_pop(x).alias(f"__s_{c}")]
     g = df.groupBy(group) if group else df.groupBy()
     stats = g.agg(*aggs)
-    j = df.join(F.broadcast(stats), group, "left") if group else df.crossJoin(F.broadcast(stats))
+    j = df.join(stats, group, "left") if group else df.crossJoin(F.broadcast(stats))
     out = {}
     for c, name in cols.items():
         s = F.col(f"__s_{c}")
