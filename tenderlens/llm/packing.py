@@ -4,11 +4,13 @@ Documents are cut into pieces of at most ``capacity`` tokens. Which lengths go
 together is decided on the counts of pieces by length - at most ``capacity``
 rows, however many documents there are - so no piece passes through the driver.
 Best-fit decreasing gives the first incumbent. Then branch-and-bound completes
-one sequence after another around the largest length left: the undominated
-fillings of its gap are tried by ascending waste, a filling is applied to as
-many sequences as the counts allow, and a branch ends when its waste could no
-longer save a sequence against the incumbent. The search ends at a proven
-minimum or after ``nodes`` completions.
+one sequence after another around the largest length left: a first search tries a few
+good fillings of its gap, by ascending waste, for as many sequences as the counts
+allow; a second one tries all fillings that no further piece fits into, one by one,
+for every number of sequences. A branch ends when
+its waste could no longer save a sequence against the incumbent. The second
+search is complete, whatever the depth: it ends at a proven minimum or when ``nodes``
+completions are used up, whose number is the only bound.
 
 Pieces then take their places by rank within their length. Defined results: a
 null text is empty and has the end id only; rows with equal ids are packed
@@ -143,29 +145,67 @@ def completions(counts: np.ndarray, capacity: int, width: int) -> list[tuple[int
     return [c for c in out if _times(counts, c) > 0]
 
 
-def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES, width: int = 4) -> Patterns:
-    """Patterns that hold every piece once, ``counts[i]`` pieces of length i; few sequences."""
-    total = int((counts * np.arange(len(counts))).sum())
-    best = best_fit(counts, capacity)
-    bins, least = sum(n for _, n in best), lower_bound(counts, capacity)
-    counts, path, waste, used = counts.copy(), [], 0, 0
-    open_: list[list] = []
-    while bins > least and nodes > 0:
+def fillings(counts: np.ndarray, capacity: int) -> Iterator[tuple[int, ...]]:
+    """Every filling around the largest length left that nothing left fits into, larger lengths first."""
+    counts = counts.copy()
+    lengths = np.flatnonzero(counts)[::-1].tolist()
+    left = {x: int(counts[x]) for x in lengths}
+    taken = [lengths[0]]
+    left[lengths[0]] -= 1
+
+    def rest(at: int, gap: int) -> Iterator[tuple[int, ...]]:
+        fits = [i for i in range(len(lengths)) if lengths[i] <= gap and left[lengths[i]]]
+        if not fits:
+            yield tuple(taken)
+        for i in fits:
+            if i < at:
+                continue  # lengths of a filling do not rise
+            taken.append(lengths[i])
+            left[lengths[i]] -= 1
+            yield from rest(i, gap - lengths[i])
+            left[lengths[i]] += 1
+            taken.pop()
+
+    yield from rest(0, capacity - lengths[0])
+
+
+def _good(counts: np.ndarray, capacity: int, width: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """A node's good fillings, each for as many sequences as the counts allow."""
+    yield from [(c, _times(counts, c)) for c in completions(counts, capacity, width)]
+
+
+def _all(counts: np.ndarray, capacity: int, width: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Every (filling, sequences) of a node, the good ones first."""
+    good = completions(counts, capacity, width)
+    known = {tuple(sorted(c, reverse=True)) for c in good}
+    for c in good:
+        yield from ((c, n) for n in range(_times(counts, c), 0, -1))
+    # when these are asked for, the search has come back to this node and the counts are as they were
+    for c in fillings(counts, capacity):
+        if c not in known:
+            yield from ((c, n) for n in range(_times(counts, c), 0, -1))
+
+
+def _search(counts: np.ndarray, capacity: int, best: Patterns, least: int, nodes: int, choices) -> Patterns:
+    """Branch-and-bound below the incumbent ``best``; a filling looked at and cut off costs 1/32 of a node."""
+    total, bins = int((counts * np.arange(len(counts))).sum()), sum(n for _, n in best)
+    counts, path, waste, used, cost = counts.copy(), [], 0, 0, 0
+    open_: list[Iterator] = []
+    while bins > least and cost < 32 * nodes:
         if counts.any():
             allowed = (bins - 1) * capacity - total
             if len(open_) == len(path):
-                open_.append(completions(counts, capacity, width if len(path) < 2_000 else 1))
-            while open_[-1]:
-                lengths = open_[-1].pop(0)
-                n = _times(counts, lengths)
+                open_.append(choices(counts))
+            for lengths, n in open_[-1]:
                 lost = n * (capacity - sum(lengths))
-                # the last sequence may stay open: its waste is not lost on a better packing
-                if waste + lost <= allowed:
+                # waste beyond what the incumbent leaves to save cannot lead to fewer sequences
+                fits = waste + lost <= allowed
+                cost += 32 if fits else 1
+                if fits or cost >= 32 * nodes:
                     break
             else:
-                lengths = None
-            if lengths is not None and waste + lost <= allowed:
-                nodes -= 1
+                fits = False
+            if fits:
                 for x in lengths:
                     counts[x] -= n
                 path.append((lengths, n, lost))
@@ -184,6 +224,18 @@ def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODE
     return best
 
 
+def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES, width: int = 4) -> Patterns:
+    """Patterns that hold every piece once, ``counts[i]`` pieces of length i; few sequences.
+
+    Half the nodes may go into branches of good fillings, which soon lower the
+    incumbent; the complete search has the rest.
+    """
+    best, least = best_fit(counts, capacity), lower_bound(counts, capacity)
+    for choices in (_good, _all):
+        best = _search(counts, capacity, best, least, nodes // 2, lambda c, f=choices: f(c, capacity, width))
+    return best
+
+
 def slots(patterns: Patterns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted (length, first rank), first sequence, offset of each run of places."""
     keys, sequences, offsets, given, base = [], [], [], {}, 0

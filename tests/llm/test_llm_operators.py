@@ -551,3 +551,44 @@ def test_encoder_on_white_space_and_marks(path):
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
 
     run()
+
+
+def optimum(items, capacity):
+    best = [len(items)]
+
+    def place(i, room):
+        if len(room) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(room)
+            return
+        for j in {r: j for j, r in enumerate(room) if r >= items[i]}.values():
+            room[j] -= items[i]
+            place(i + 1, room)
+            room[j] += items[i]
+        place(i + 1, [*room, capacity - items[i]])
+
+    items = sorted(items, reverse=True)
+    place(0, [])
+    return best[0]
+
+
+@given(st.sampled_from([20, 50, 100, 200]), st.lists(st.floats(0.02, 1), min_size=1, max_size=12), st.sampled_from([1, 2, 3]))
+@settings(max_examples=400, deadline=None)
+def test_packing_search_is_complete(capacity, shares, small):
+    items = [max(1, int(s * capacity / small)) for s in shares]
+    counts = np.bincount(items, minlength=capacity + 1)
+    patterns = packing.pack_lengths(counts, capacity)
+    assert all(sum(p) <= capacity for p, _ in patterns)
+    held = Counter()
+    for p, n in patterns:
+        for x in p:
+            held[x] += n
+    assert held == Counter(items) and sum(n for _, n in patterns) == optimum(items, capacity)
+
+
+def test_packing_search_leaves_the_good_fillings():
+    counts = np.bincount([11, 13, 17, 17, 19, 20, 24, 34, 40, 41, 62], minlength=101)
+    assert sum(n for _, n in packing.pack_lengths(counts, 100)) == 3
+    assert all(sum(f) + min([x for x in [20, 20, 30, 50] if list(f).count(x) < [20, 20, 30, 50].count(x)], default=99) > 60
+               for f in packing.fillings(np.bincount([20, 20, 30, 50], minlength=61), 60))
