@@ -8,6 +8,8 @@ fixed bound) reaches the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,21 +119,28 @@ def long_to_dense(long: DataFrame, key: str, dim: int, all_keys: DataFrame | Non
     return m.select(key, arr.alias("embedding"))
 
 
-def embed_with(df: DataFrame, key: str, text: str, encoder, dim: int) -> DataFrame:
+def embed_with(df: DataFrame, key: str, text: str, encoder, dim: int, batch_size: int = 32) -> DataFrame:
     """G12 plug-in: ``encoder()`` returns a function ``pandas.Series[str] -> list[list[float]]``.
 
-    The function is created once per task (iterator pandas UDF), texts are
-    whole and NULL becomes ''.
+    The function is created once per task (iterator pandas UDF) and sees at most
+    ``batch_size`` texts at once; texts are whole and NULL becomes ''. A vector that
+    does not have ``dim`` entries raises.
     """
     import pandas as pd
     from pyspark.sql.types import ArrayType, DoubleType
 
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def enc(batches):
+    def run(batches):
         model = encoder()  # built once per task
         for s in batches:
-            yield pd.Series(list(model(s.fillna(""))))
-
+            s, made = s.fillna(""), []
+            for at in range(0, len(s), batch_size):
+                made += [[float(x) for x in v] for v in model(s.iloc[at: at + batch_size])]
+            if len(made) != len(s) or any(len(v) != dim for v in made):
+                raise ValueError(f"the encoder must give {dim} numbers for every text")
+            yield pd.Series(made, index=s.index, dtype=object)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    enc = F.pandas_udf(run, ArrayType(DoubleType()))
     return df.select(key, enc(F.col(text)).alias("embedding"))
 
 

@@ -225,6 +225,24 @@ def embed_text_q(spark, sf):
     return round_doubles(TX.embed_text_long(d, "doc_id", "text", 64))
 
 
+def _counting_encoder():
+    """A stand-in for a model: code points, words of Latin letters and capitals of each text."""
+    import re
+
+    def encode(texts):
+        return [[len(t), len(re.findall("[A-Za-z]+", t)), len(re.findall("[A-Z]", t))] for t in texts]
+    return encode
+
+
+@query("embed_plugin", """WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, CAST(length(text) AS DOUBLE) AS embedding_0, CAST(len(regexp_extract_all(text, '[A-Za-z]+')) AS DOUBLE) AS embedding_1,
+       CAST(len(regexp_extract_all(text, '[A-Z]')) AS DOUBLE) AS embedding_2 FROM t""")
+def embed_plugin_q(spark, sf):
+    """A user's encoder over the whole texts, in batches of 32, its vectors as columns."""
+    d = TX.embed_with(V.table(spark, sf, "documents"), "doc_id", "text", _counting_encoder, 3)
+    return RD.expand_array(d, "embedding", 3)
+
+
 @query("expand_array", "SELECT vec_id, " + ", ".join(f"{r(f'embedding[{i + 1}]')} AS embedding_{i}" for i in range(64))
        + " FROM embeddings")
 def expand_array_q(spark, sf):

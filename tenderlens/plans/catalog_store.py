@@ -111,15 +111,19 @@ CSV_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
 
 
 @query("scan_csv_glob", "SELECT " + ", ".join(
-    r(c) + f" AS {c}" if c == "l_quantity" else c for c in CSV_COLS) + ", 'DataSet_part' AS dataset FROM lineitem")
+    r(c) + f" AS {c}" if c == "l_quantity" else c for c in CSV_COLS) + ", 'DataSet_bids_' || l_returnflag AS dataset FROM lineitem")
 def scan_csv_glob_q(spark, sf):
-    """A1: bid CSV files written per return flag, read back by one glob with their dataset names
-    (the writer's file names go on with a random part, cut off here)."""
+    """A1: bid CSV files named after their return flag (``bids_A.00000.csv``), read back by one glob with dataset names."""
     path = _scratch(spark, "csv")
     li = V.table(spark, sf, "lineitem").select(*CSV_COLS)
     li.withColumn("folder", F.col("l_returnflag")).write.partitionBy("folder").option("header", True).csv(path)
-    df = FI.scan_csv_glob(spark, f"{path}/*/*.csv", li.schema)
-    return round_doubles(df.withColumn("dataset", F.split("dataset", "-")[0]))
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/folder=*")):
+        flag = folder.getPath().getName().partition("=")[2]
+        for i, part in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder.getPath(), "part-*.csv"))):
+            fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/bids_{flag}.{i:05d}.csv"))
+    return round_doubles(FI.scan_csv_glob(spark, f"{path}/*.csv", li.schema))
 
 
 @query("scan_json", "SELECT doc_id, lang, source, n_chars, text FROM documents")
