@@ -1,10 +1,13 @@
 """Encoders (G4-G6).
 
-Dense columns are made for up to ``MAX_DENSE_CATEGORIES`` categories, read on
-the driver behind that check. Above it the multi-hot form is one sparse column,
-the sorted array of a row's categories (``<col>_parts``); ``multi_hot_long`` is
-the long form at any size. Label codes are ranks of the sorted classes, numbered
-in range partitions, so any number of classes gets a code.
+``multi_hot`` makes a column per category, for up to ``MAX_DENSE_CATEGORIES`` of
+them, read on the driver behind that check; more are an error. For any number,
+``multi_hot_positions`` makes one column ``<col>_hot``: the sorted positions of a
+row's ones, with the width in the column's metadata, the same schema at every size.
+Positions come from an index fitted in range partitions and joined to the different
+cells; the linear models take such columns. ``multi_hot_long`` is the long form.
+Label codes are ranks of the sorted classes, numbered in range partitions, so any
+number of classes gets a code.
 """
 
 from __future__ import annotations
@@ -53,20 +56,42 @@ def multi_hot(df: DataFrame, c: str, sep: str = "/", categories: list[str] | Non
               prefix: str | None = None, fitted: bool = False) -> DataFrame:
     """One 0/1 column ``<col>_<part>`` per distinct part; '' is not a category.
 
-    With too many parts the result is the sparse column ``<col>_parts`` instead;
-    ``fitted`` says that ``categories`` comes from such a count, None for too many.
+    ``fitted`` says that ``categories`` comes from a count, None for too many; too many
+    raise, as :func:`multi_hot_positions` is the form without a limit.
     """
     cats = categories_of(df, c, sep) if categories is None and not fitted else categories
     cats = cats if cats is None else sorted(set(cats) - {""})
     arr = parts(c, sep)
     if cats is None:
-        held = F.array_sort(F.array_distinct(F.filter(arr, lambda v: v.isNotNull() & (v != ""))))
-        return df.withColumn(f"{c}_parts", F.coalesce(held, F.array().cast("array<string>")))
+        raise ValueError(f"{c} has over {MAX_DENSE_CATEGORIES} categories: use multi_hot_positions (form=\"positions\")")
     p = prefix if prefix is not None else f"{c}_"
     return df.withColumns({f"{p}{v}": F.coalesce(F.array_contains(arr, F.lit(v)).cast("int"), F.lit(0))
                            for v in cats})
 
 
+def hot_index(df: DataFrame, c: str, sep: str = "/") -> DataFrame:
+    """G4 fit: (value, code) of the sorted distinct parts, numbered from 0 at any size."""
+    return label_index(df.select(F.explode(parts(c, sep)).alias(c)).filter(F.col(c) != ""), c)
+
+
+def multi_hot_positions(df: DataFrame, c: str, index: DataFrame | None = None, sep: str = "/", out: str | None = None) -> DataFrame:
+    """G4 at any width: ``<col>_hot``, the sorted positions of a row's ones; no ones (a null too) give an empty array.
+
+    The index is joined to the parts of the different cells, and the cells back to the
+    rows. Parts that the index lacks have no position. The number of categories is the
+    column's metadata ``categories``.
+    """
+    index = hot_index(df, c, sep) if index is None else index
+    out = out or f"{c}_hot"
+    cells = df.select(F.col(c).alias("__cell")).filter(F.col("__cell").isNotNull()).distinct()
+    ones = (cells.select("__cell", F.explode(F.array_distinct(parts("__cell", sep))).alias("value"))
+            .join(index, "value").groupBy("__cell").agg(F.array_sort(F.collect_list("code")).alias("__ones")))
+    held = F.coalesce(F.col("__ones"), F.array().cast("array<int>"))
+    j = df.join(ones, F.col(c) == F.col("__cell"), "left")
+    kept = [F.col(f"`{n}`") for n in df.columns]
+    return j.select(*kept, held.alias(out, metadata={"categories": index.count()}))
+
+
 def multi_hot_long(df: DataFrame, key: str, c: str, sep: str = "/") -> DataFrame:
     """G4 for wide vocabularies: (key, category) rows for every 1 cell."""
     return (df.select(key, F.explode(parts(c, sep)).alias("category"))

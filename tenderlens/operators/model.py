@@ -3,7 +3,8 @@
 * Splits are hash based (stable, reproducible in any engine).
 * ``fit_linear_multi`` fits one ridge regression for ALL targets from a
   single distributed pass (means, variances and the correlation matrix of
-  [X | Y] via Spark ML statistics); only (p+t)^2 numbers reach the driver.
+  [X | Y] via Spark ML statistics); only (p+t)^2 numbers reach the driver. With
+  position columns (any number of categories) the products are sparse: ``operators/wide.py``.
 * Trees of all targets: ``operators/trees.py``; ``fit_tree`` wraps Spark ML for one target.
 * ``leaderboard`` ranks five candidates for every target.
 * Scoring is one plan for all rows and targets.
@@ -11,6 +12,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
@@ -19,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenderlens.operators import wide as W
+
 
 def hash_bucket(key, seed: int = 42, buckets: int = 100) -> F.Column:
     """Stable bucket: first 8 hex digits of md5('<key>:<seed>') modulo ``buckets``."""
@@ -44,8 +49,11 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 def fit_linear_multi(df: DataFrame, features: list[str], targets: list[str], ridge: float = 1e-6) -> dict:
     """Ridge regression of every target on the same features, one data pass.
 
-    Returns {"features", "targets", "coef" (p x t), "intercept" (t)}.
+    Returns {"features", "targets", "coef" (p x t), "intercept" (t)}. Position columns
+    count as one feature per category, ``<col>[<position>]``.
     """
+    if W.hot_columns(df, features):
+        return _fit_wide(df, features, targets, ridge)
     from pyspark import StorageLevel
     cols = features + targets
     # the assembled [X | Y] vectors are read twice (moments, correlation): persist them once
@@ -67,6 +75,16 @@ def fit_linear_multi(df: DataFrame, features: list[str], targets: list[str], rid
     return {"features": features, "targets": targets, "coef": coef, "intercept": intercept}
 
 
+def _fit_wide(df: DataFrame, features: list[str], targets: list[str], ridge: float) -> dict:
+    means, parts = W.products(df, features, targets)
+    if 0 not in parts:
+        raise ValueError("no rows with all targets")
+    layout = parts[0].layout
+    b, nd = W.ridge(parts[0], ridge), len(layout.numbers)
+    return {"features": layout.names, "targets": targets, "coef": b[1:],
+            "intercept": means[nd:] + b[0] - means[:nd] @ b[1: 1 + nd]}
+
+
 def predict_linear(df: DataFrame, key: str, model: dict, keep: list[str] = ()) -> DataFrame:
     """J11 for the linear model: key, ``keep`` and one prediction column per target.
 
@@ -76,15 +94,14 @@ def predict_linear(df: DataFrame, key: str, model: dict, keep: list[str] = ()) -
     feats, targets = model["features"], model["targets"]
     coef, intercept = np.asarray(model["coef"]), np.asarray(model["intercept"])
     carried = [key, *keep]
-    rows = df.select(*carried, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"__x{i}")
-                                 for i, c in enumerate(feats)])
+    layout = W.layout_named(feats, df)
+    rows = df.select(*carried, *W.feature_columns(layout))
     schema = T.StructType([*rows.select(*carried).schema.fields, *[T.StructField(t, T.DoubleType()) for t in targets]])
     n = len(carried)
 
     def run(batches):
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[n:]])
-            p = x @ coef + intercept
+            p = W.scores(batch.columns[n:], layout, coef, batch.num_rows) + intercept
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *[pa.array(p[:, j]) for j in range(p.shape[1])]],
                                              names=[*carried, *targets])
 
@@ -231,6 +248,8 @@ def cv_scores(df: DataFrame, key: str, features: list[str], targets: list[str],
     One scan adds up the products per fold; a fold's model comes from the total less the
     fold's own part, its squared errors from that part.
     """
+    if W.hot_columns(df, features):
+        return _cv_wide(df, key, features, targets, k, ridge)
     p = len(features)
     _, parts = fold_products(kfold_assign(df, key, k), "fold", features, targets)
     total, out = sum(v["zz"] for v in parts.values()) if parts else None, []
@@ -250,6 +269,17 @@ def cv_scores(df: DataFrame, key: str, features: list[str], targets: list[str],
     return df.sparkSession.createDataFrame(out, "fold int, target string, rmse double")
 
 
+def _cv_wide(df: DataFrame, key: str, features: list[str], targets: list[str], k: int, ridge: float) -> DataFrame:
+    _, parts = W.products(kfold_assign(df, key, k), features, targets, "fold")
+    out = []
+    if len(parts) > 1:
+        whole = reduce(W.Products.plus, parts.values())
+        for f, own in parts.items():
+            rmse = np.sqrt(np.maximum(W.errors(own, W.ridge(whole.plus(own, -1), ridge)), 0) / own.n)
+            out += [(f, t, float(rmse[j])) for j, t in enumerate(targets)]
+    return df.sparkSession.createDataFrame(out, "fold int, target string, rmse double")
+
+
 def save_model(model, path: str) -> None:
     """Spark ML models are saved with ``write().overwrite().save``."""
     model.write().overwrite().save(path)

@@ -182,6 +182,25 @@ def multi_hot_q(spark, sf):
     return EN.multi_hot(n, C.mark).drop(C.mark)
 
 
+def _positions_sql(c):
+    return f"""(SELECT cell, string_agg(CAST(code AS VARCHAR), ',' ORDER BY code) AS at FROM
+  (SELECT DISTINCT {q(c)} AS cell, unnest(string_split({q(c)}, '/')) AS v FROM n) JOIN
+  (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM
+    (SELECT DISTINCT unnest(string_split({q(c)}, '/')) AS v FROM n) WHERE v <> '') USING (v) GROUP BY cell)"""
+
+
+@query("multi_hot_positions", f"""WITH n AS ({V.NOTICES_SQL})
+SELECT n."공고번호", coalesce(a.at, '') AS agency_at, coalesce(m.at, '') AS mark_at FROM n
+LEFT JOIN {_positions_sql(C.agency)} a ON n.{q(C.agency)} = a.cell
+LEFT JOIN {_positions_sql(C.mark)} m ON n.{q(C.mark)} = m.cell""")
+def multi_hot_positions_q(spark, sf):
+    """G4 at any width: the positions of each notice's ones, joined by commas."""
+    n = V.notices(spark, sf).select(C.key, C.agency, C.mark)
+    d = EN.multi_hot_positions(EN.multi_hot_positions(n, C.agency), C.mark)
+    return d.select(C.key, *[F.concat_ws(",", F.col(f"`{c}_hot`").cast("array<string>")).alias(name)
+                             for c, name in ((C.agency, "agency_at"), (C.mark, "mark_at"))])
+
+
 @query("one_hot_low_card", f"""SELECT {LI_KEYS}, l_returnflag, l_linestatus,
   CAST(l_returnflag = 'A' AS INTEGER) AS l_returnflag_A, CAST(l_returnflag = 'N' AS INTEGER) AS l_returnflag_N,
   CAST(l_returnflag = 'R' AS INTEGER) AS l_returnflag_R, CAST(l_linestatus = 'F' AS INTEGER) AS l_linestatus_F,

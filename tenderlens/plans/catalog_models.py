@@ -9,8 +9,9 @@ queries; linear and tree fits of all targets are checked on rows and by tests.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlens.functions.expr import all_target_names
@@ -212,13 +213,14 @@ def drop_null_targets_q(spark, sf):
 
 
 # ------------------------------------------------------------ Spark ML fits (rows-only checks)
-def _model_data(spark, sf):
+def _model_data(spark, sf, form="columns", indexes=None):
     """The model table (features + 180 targets + split), written once to the
     checkpoint folder: several fits read it, and its wide plan is cut so the
-    optimizer does not re-plan ~220 derived columns per pass."""
+    optimizer does not re-plan ~220 derived columns per pass. The linear models
+    take the multi-hot cells as ``form`` "positions", for any number of categories."""
     from tenderlens.session import cut_lineage
     n, b = _ctx(spark, sf)
-    t = TP.transform(n, b)
+    t = TP.transform(n, b, form=form, indexes=indexes)
     feats = [c for c in t.columns if c not in TARGETS and c not in (C.key, C.range_text, "dataset")]
     return cut_lineage(MD.hash_split(t, C.key)), feats
 
@@ -226,11 +228,19 @@ def _model_data(spark, sf):
 @query("fit_linear_multi", None)
 def fit_linear_multi_q(spark, sf):
     """One pass for all 180 targets -> (target, feature, coef) with the intercept as a feature row."""
-    d, feats = _model_data(spark, sf)
+    from tenderlens.operators.encode import hot_index
+    from tenderlens.session import cut_lineage
+    n, b = _ctx(spark, sf)
+    known = TP.clean_notices(n).join(b.select(C.key).distinct(), C.key, "left_semi")
+    indexes = {c: cut_lineage(hot_index(known, c), "categories") for c in (C.agency, C.region, C.mark)}
+    d, feats = _model_data(spark, sf, "positions", indexes)
     m = MD.fit_linear_multi(d.filter(~F.col("is_test")), feats, TARGETS)
-    rows = [(t, f, float(m["coef"][i, j])) for j, t in enumerate(TARGETS) for i, f in enumerate(feats)]
+    rows = [(t, f, float(m["coef"][i, j])) for j, t in enumerate(TARGETS) for i, f in enumerate(m["features"])]
     rows += [(t, "(intercept)", float(m["intercept"][j])) for j, t in enumerate(TARGETS)]
-    return round_doubles(spark.createDataFrame(rows, "target string, feature string, coef double"))
+    coefs = spark.createDataFrame(rows, "target string, feature string, coef double")
+    names = reduce(DataFrame.unionByName, [i.select(F.format_string("%s_hot[%d]", F.lit(c), "code").alias("feature"),
+                                                    F.concat(F.lit(f"{c}_"), "value").alias("named")) for c, i in indexes.items()])
+    return round_doubles(coefs.join(names, "feature", "left").select("target", F.coalesce("named", "feature").alias("feature"), "coef"))
 
 
 def _fitted_trees(spark, sf, fit, **params):
@@ -331,7 +341,7 @@ def leaderboard_q(spark, sf):
 @query("cv_scores", None)
 def cv_scores_q(spark, sf):
     """RMSE per fold and target beside the target's mean and population standard deviation over the folds."""
-    d, feats = _model_data(spark, sf)
+    d, feats = _model_data(spark, sf, "positions")
     per = MD.cv_scores(d.filter(~F.col("is_test")), C.key, feats, TARGETS, k=5)
     folds = Window.partitionBy("target")
     return round_doubles(per.select("fold", "target", "rmse", F.avg("rmse").over(folds).alias("mean_rmse"),
@@ -344,7 +354,7 @@ DATASETS = ["range3", "range2", "others"]
 @query("predict_bins", None)
 def predict_bins_q(spark, sf):
     """All bins of all granularities for the test notices, one column per bin."""
-    d, feats = _model_data(spark, sf)
+    d, feats = _model_data(spark, sf, "positions")
     m = MD.fit_linear_multi(d.filter(~F.col("is_test")), feats, TARGETS)
     return round_doubles(MD.predict_linear(d.filter(F.col("is_test")), C.key, m))
 
@@ -355,7 +365,7 @@ def batch_predict_q(spark, sf):
     dataset; one without training rows is served by the first dataset of the priority list."""
     from tenderlens.plans import model as PM
     from tenderlens.sources.store import prediction_docs
-    d, feats = _model_data(spark, sf)
+    d, feats = _model_data(spark, sf, "positions")
     models = PM.train(d.filter(~F.col("is_test")), C.key, DATASETS, feats, TARGETS)
     ids = V.bids(spark, sf).select(C.key).distinct()
     long, _ = PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3", "range2"])
@@ -370,7 +380,7 @@ WHERE b.{KEY} IS NOT NULL AND b.{KEY} NOT IN (SELECT nt.{KEY} FROM nt JOIN pb ON
 def batch_predict_failures_q(spark, sf):
     """The notices of the bids that the batch run of all models gives no prediction, with the reason."""
     from tenderlens.plans import model as PM
-    d, feats = _model_data(spark, sf)
+    d, feats = _model_data(spark, sf, "positions")
     models = PM.train(d.filter(~F.col("is_test")), C.key, DATASETS, feats, TARGETS)
     ids = V.bids(spark, sf).select(C.key).dropna().distinct()
     return PM.predict_ids(models, d, ids, C.key, DATASETS, ["range3", "range2"])[1]
@@ -392,7 +402,7 @@ def train_evaluate_q(spark, sf):
 def _save_models(spark, sf):
     """One fit per dataset for all targets, saved per (dataset, prefix)."""
     from tenderlens.session import checkpoint_dir
-    d, feats = _model_data(spark, sf)
+    d, feats = _model_data(spark, sf, "positions")
     root = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex[:12]}"
     paths = {}
     for ds in DATASETS:
@@ -403,7 +413,7 @@ def _save_models(spark, sf):
         for prefix in ("010", "020", "050", "100"):
             at = [i for i, t in enumerate(TARGETS) if t.startswith(f"{prefix}_")]
             paths[ds, prefix] = f"{root}/{ds}/{prefix}"
-            MD.save_linear(spark, {"features": feats, "targets": [TARGETS[i] for i in at], "coef": m["coef"][:, at],
+            MD.save_linear(spark, {"features": m["features"], "targets": [TARGETS[i] for i in at], "coef": m["coef"][:, at],
                                    "intercept": m["intercept"][at]}, paths[ds, prefix], ds, prefix)
     return d, feats, paths
 

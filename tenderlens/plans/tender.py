@@ -163,24 +163,33 @@ def standardize_by(df: DataFrame, group: str | None, cols: dict[str, str]) -> Da
 
 def process_notices(df: DataFrame, targets: DataFrame | None, cols: TenderColumns = TenderColumns(),
                     categories: dict[str, list[str]] | None = None, text_features: int = 0,
-                    keep_raw: bool = False) -> DataFrame:
+                    keep_raw: bool = False, form: str = "columns", indexes: dict[str, DataFrame] | None = None) -> DataFrame:
     """H7: log + per-dataset standardisation, A-value ratio, multi-hot, targets.
 
+    ``form`` "columns" makes a 0/1 column per category, "positions" one ``<col>_hot``
+    column of positions for each multi-hot column, whatever the number of categories;
+    ``indexes`` holds fitted category indexes by column.
+
     Statistics are fitted per ``dataset`` (the reference fits each range
     dataset on its own). ``text_features`` > 0 adds hashed-embedding + PCA
     columns of the title (G12 -> G13).
     """
-    from tenderlens.operators.encode import categories_of_many, multi_hot
+    from tenderlens.operators.encode import categories_of_many, multi_hot, multi_hot_positions
 
+    if form not in ("columns", "positions"):
+        raise ValueError(f"form: {form}")
     hot_cols = [cols.agency, cols.region, cols.mark]
-    if categories is None or any(c not in categories for c in hot_cols):
+    if form == "columns" and (categories is None or any(c not in categories for c in hot_cols)):
         categories = {**categories_of_many(df, hot_cols), **(categories or {})}
     amounts = [cols.base, cols.estimate, cols.bid_rate]
     d = df.withColumns({c: log1p_strict(c) for c in amounts})
     d = d.withColumn(cols.a_value, a_value_ratio(cols.a_value, cols.base))
     d = standardize_by(d, DATASET, {**{c: f"norm_log_{c}" for c in amounts}, cols.a_value: "norm_A값/기초금액"})
     for c in hot_cols:
-        d = multi_hot(d, c, categories=categories[c], fitted=True)
+        if form == "positions":
+            d = multi_hot_positions(d, c, (indexes or {}).get(c))
+        else:
+            d = multi_hot(d, c, categories=categories[c], fitted=True)
     if text_features:
         from tenderlens.operators.text import reduced_text_features
         red = reduced_text_features(d.select(cols.key, cols.title), cols.key, cols.title, k=text_features)
@@ -195,7 +204,8 @@ def process_notices(df: DataFrame, targets: DataFrame | None, cols: TenderColumn
 
 def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderColumns(),
               edges: dict | None = None, categories: dict[str, list[str]] | None = None,
-              text_features: int = 0, hot: dict | list | None = None, materialize: bool = True) -> DataFrame:
+              text_features: int = 0, hot: dict | list | None = None, materialize: bool = True,
+              form: str = "columns", indexes: dict[str, DataFrame] | None = None) -> DataFrame:
     """H8: the whole tender plan; one DataFrame with a ``dataset`` column.
 
     Bids are parsed once: the per-notice bid count comes with the target
@@ -206,6 +216,7 @@ def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderC
     and the final projection all read it, so the bid join and the 180-share
     aggregation run once. Write the result with
     :func:`tenderlens.sources.files.write_datasets` or filter by ``dataset``.
+    ``form`` and ``indexes`` are those of :func:`process_notices`.
     """
     from tenderlens.session import cut_lineage
     keep = cut_lineage if materialize else (lambda d: d)
@@ -213,7 +224,11 @@ def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderC
     pb = parsed_bids(bids, cols)
     targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, total_col="n_rates")
     base = keep(separate(nt.join(targets, cols.key, "inner"), cols))
-    if categories is None:
+    hot_cols = [cols.agency, cols.region, cols.mark]
+    if form == "positions":
+        from tenderlens.operators.encode import hot_index
+        indexes = {**{c: hot_index(base, c) for c in hot_cols if c not in (indexes or {})}, **(indexes or {})}
+    elif categories is None:
         from tenderlens.operators.encode import categories_of_many
-        categories = categories_of_many(base, [cols.agency, cols.region, cols.mark])
-    return process_notices(base, None, cols, categories=categories, text_features=text_features)
+        categories = categories_of_many(base, hot_cols)
+    return process_notices(base, None, cols, categories=categories, text_features=text_features, form=form, indexes=indexes)
