@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderlens.operators import encode as E
+from tenderlens.operators import metrics as M
 from tenderlens.plans import tender as TP
 
 
@@ -41,3 +42,15 @@ def test_few_cells_go_to_the_rows(spark):
     out = E.multi_hot_positions(df, "c")
     assert "SortMergeJoin" not in _plan(out)
     assert [tuple(r["c_hot"]) for r in out.filter("id < 3").orderBy("id").collect()] == [(0, 1), (0, 2), (0, 3)]
+
+
+def test_paired_arrays_are_not_broadcast(spark, monkeypatch, tmp_path):
+    seen = []
+    monkeypatch.setattr(M, "cut_lineage", lambda d, name: seen.append(d) or d)
+    spark.createDataFrame([(i, float(i), 1.0) for i in range(5)], "k long, a double, b double").write.parquet(f"{tmp_path}/y")
+    y = spark.read.parquet(f"{tmp_path}/y")  # a file of few bytes, as a table of equal shares is
+    p = y.select("k", F.lit(2.0).alias("a"), F.lit(3.0).alias("b"))
+    got = M.paired(y, {"M": p, "N": p}, "k", ["a", "b"])
+    assert "Broadcast" not in _plan(seen[0])
+    assert sorted((r["model"], tuple(r["y"]), tuple(r["p"])) for r in got.collect()) == sorted(
+        (m, (float(i), 1.0), (2.0, 3.0)) for m in "MN" for i in range(5))
