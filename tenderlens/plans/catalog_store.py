@@ -371,8 +371,10 @@ def first_collection_q(spark, sf):
 @query("prediction_docs", None)
 def prediction_docs_q(spark, sf):
     """One JSON document per (notice, prefix) from the training-mean candidate."""
-    from tenderlens.plans.catalog_models import _preds
+    from tenderlens.plans.catalog_models import TARGETS, _split_targets
     names = F.create_map(*[F.lit(x) for pair in TP.DATASET_NAMES.items() for x in pair])
     ds = TP.separate(TP.clean_notices(V.notices(spark, sf))).select(C.key, "dataset")
-    p = _preds(spark, sf).join(ds, C.key).filter(F.col("model") == "MEAN").withColumn("prefix", F.split("target", "_").getItem(0))
-    return ST.prediction_docs(p.withColumnRenamed("p", "prediction"), C.key, names[F.col("dataset")])
+    t, means = _split_targets(spark, sf)
+    p = t.filter("is_test").select(C.key).join(ds, C.key)
+    p = p.select(C.key, "dataset", *[F.lit(means[x]).cast("double").alias(x) for x in TARGETS])
+    return ST.prediction_docs_wide(p, C.key, names[F.col("dataset")], TARGETS)

@@ -1,7 +1,9 @@
 """Plans and outputs that must not depend on few keys, one file or a table's estimated size."""
 
+import json
 import json
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from tenderlens.operators import encode as E
 from tenderlens.operators import metrics as M
 from tenderlens.plans import tender as TP
+from tenderlens.sources import store as ST
 
 
 def _plan(df) -> str:
@@ -54,3 +57,16 @@ def test_paired_arrays_are_not_broadcast(spark, monkeypatch, tmp_path):
     assert "Broadcast" not in _plan(seen[0])
     assert sorted((r["model"], tuple(r["y"]), tuple(r["p"])) for r in got.collect()) == sorted(
         (m, (float(i), 1.0), (2.0, 3.0)) for m in "MN" for i in range(5))
+
+
+def test_documents_come_from_wide_rows_without_a_shuffle(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, "DataSet_3", 0.5, nan, 0.25), (2, "DataSet_2", inf, None, 1.0), (None, "DataSet_etc", -inf, 2.0, 0.0)]
+    wide = spark.createDataFrame(rows, "k long, ds string, 010_002 double, 010_001 double, 020_001 double")
+    targets = ["010_002", "010_001", "020_001"]
+    docs = ST.prediction_docs_wide(wide, "k", F.col("ds"), targets)
+    assert "Exchange" not in docs._jdf.queryExecution().executedPlan().toString()
+    long = wide.unpivot(["k", "ds"], targets, "target", "prediction").withColumn("prefix", F.split("target", "_")[0])
+    assert docs.columns == ["k", "prefix", "document"]
+    assert Counter(docs.collect()) == Counter(ST.prediction_docs(long, "k", F.col("ds")).collect())
+    assert json.loads(docs.where("k = 1 and prefix = '010'").first()["document"])["predictions"] == {"010_001": None, "010_002": 0.5}
