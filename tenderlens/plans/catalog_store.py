@@ -64,15 +64,16 @@ def upsert_single_q(spark, sf):
 @query("upsert_stream", f"""SELECT l_orderkey AS k, l_linestatus AS status, l_returnflag AS flag, CAST(l_linenumber AS INTEGER) AS line
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber // 2, {LAST_FIRST}) = 1""")
 def upsert_stream_q(spark, sf):
-    """A10 as a stream: the bid lines arrive in four files, each file is an epoch, later epochs win; every second one folds."""
+    """A10 as a stream: the bid lines arrive in four loads of many files, each load is an epoch, later epochs win;
+    every second one folds."""
     from tenderlens.streaming.upsert import latest_snapshot, start_upsert_stream
     path = _scratch(spark, "stream")
     li = _upd(spark, sf).withColumn("line", F.col("seq.l_linenumber").cast("int"))
     part = F.floor(F.col("line") / 2).cast("int")
     for i in (3, 2, 1, 0):  # line numbers end at seven; lower ones arrive later
-        li.filter(part == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    start_upsert_stream(stream, f"{path}/out", ["k"], f"{path}/checkpoint", "seq", fold_every=2).awaitTermination()
+        li.filter(part == i).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(li.schema).parquet(f"{path}/in")  # all files since the last run are one epoch
+        start_upsert_stream(stream, f"{path}/out", ["k"], f"{path}/checkpoint", "seq", fold_every=2).awaitTermination()
     return latest_snapshot(spark, f"{path}/out", ["k"])
 
 

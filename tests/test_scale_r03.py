@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tenderlens.operators import encode as E
 from tenderlens.operators import metrics as M
+from tenderlens.plans import catalog_store as CS
 from tenderlens.plans import tender as TP
 from tenderlens.sources import store as ST
 
@@ -70,3 +71,25 @@ def test_documents_come_from_wide_rows_without_a_shuffle(spark):
     assert docs.columns == ["k", "prefix", "document"]
     assert Counter(docs.collect()) == Counter(ST.prediction_docs(long, "k", F.col("ds")).collect())
     assert json.loads(docs.where("k = 1 and prefix = '010'").first()["document"])["predictions"] == {"010_001": None, "010_002": 0.5}
+
+
+def test_stream_loads_are_not_written_by_one_task(spark, tmp_path, monkeypatch):
+    rows = [(i % 40, i % 7 + 1, i, 1, float(i), "F" if i % 2 else "O", "ANR"[i % 3]) for i in range(400)]
+    li = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, "
+                                     "l_linestatus string, l_returnflag string")
+    li.repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(CS, "_scratch", lambda s, tag: f"{tmp_path}/{tag}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = {r["k"]: (r["status"], r["flag"], r["line"]) for r in CS.upsert_stream_q(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(list((tmp_path / "stream/in").glob("*.parquet"))) > 4
+    assert sorted(p.name for p in (tmp_path / "stream/out").glob("v=*")) == [f"v={i:09d}" for i in (1, 2, 3, 4)]
+    last = {}
+    for k, line, part, supp, price, status, flag in rows:  # lower line halves arrive later
+        place = (-(line // 2), line, part, supp, price)
+        if k not in last or place > last[k][0]:
+            last[k] = (place, (status, flag, line))
+    assert got == {k: v for k, (_, v) in last.items()}
