@@ -9,6 +9,7 @@ fixed bound) reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +30,17 @@ def unigrams_bigrams(t: F.Column) -> F.Column:
     return F.concat(t, bigrams)
 
 
-def term_counts(df: DataFrame, key: str, text: str, ngrams: bool = True) -> DataFrame:
-    """(key, term, tf) for every document and term."""
+def every_term(df: DataFrame, key: str, text: str, ngrams: bool = True) -> DataFrame:
+    """(key, term) for every place of a term."""
     # tokens are materialised once per document; the bigram lambda indexes that column
     tok = df.select(key, tokens(text).alias("__tok"))
     t = F.col("__tok")
-    terms = unigrams_bigrams(t) if ngrams else t
-    return (tok.select(key, F.explode(terms).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return tok.select(key, F.explode(unigrams_bigrams(t) if ngrams else t).alias("term"))
+
+
+def term_counts(df: DataFrame, key: str, text: str, ngrams: bool = True) -> DataFrame:
+    """(key, term, tf) for every document and term."""
+    return every_term(df, key, text, ngrams).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_df: int = 2,
@@ -48,9 +52,11 @@ def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_d
     vocabulary. Every document gets a row per vocabulary term (zeros kept).
     The gate (>= 30 rows, > 100 characters in total) returns no rows when not met.
 
-    Texts are tokenised once: the counted terms are written as a table, which
-    gives the vocabulary with its document frequencies (at most
-    ``max_features`` rows reach the driver) and then its terms per document.
+    A first pass adds up each term's total, in every task before the totals meet,
+    beside its least and largest key, which tell whether two documents have it.
+    Terms per document are counted in a second pass, for the most frequent terms
+    only (``max_features`` of them, more when ``min_df`` over 2 leaves some out), so
+    no row for every document and term is moved or written.
     ``min_rows``, ``min_chars`` and the number of terms are the operator's own
     rule for which columns are worth the features.
     """
@@ -61,17 +67,33 @@ def tfidf_long(df: DataFrame, key: str, text: str, max_features: int = 10, min_d
     schema = f"{key} {df.schema[key].dataType.simpleString()}, term string, tfidf double"
     if n < min_rows or chars <= min_chars:
         return spark.createDataFrame([], schema)
-    tc = cut_lineage(term_counts(d, key, "__t"), "terms")
-    dfc = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
-    vocab = [(r["term"], int(r["df"])) for r in
-             dfc.filter(F.col("df") >= min_df).orderBy(F.col("tot").desc(), "term").limit(max_features).collect()]
+    found = every_term(d, key, "__t")
+    totals = found.groupBy("term").agg(F.count(F.lit(1)).alias("tot"), F.count(key).alias("known"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    if min_df > 1:  # a null key is a document of its own
+        totals = totals.where((F.col("lo") != F.col("hi")) | ((F.col("known") > 0) & (F.col("known") < F.col("tot"))))
+    totals = totals.select("term", "tot")
+    if min_df > 2:
+        totals = cut_lineage(totals, "term_totals")
+    vocab, counted, page, take = [], [], [], max_features
+    while len(vocab) < max_features and len(page) in (0, take):
+        rest = totals
+        if page:
+            tot, term, take = page[-1]["tot"], page[-1]["term"], min(4 * take, 10_000)
+            rest = rest.where((F.col("tot") < tot) | ((F.col("tot") == tot) & (F.col("term") > term)))
+        page = rest.orderBy(F.col("tot").desc(), "term").limit(take).collect()
+        if not page:
+            break
+        counted.append(cut_lineage(found.where(F.col("term").isin([r["term"] for r in page])).groupBy(key, "term")
+                                   .agg(F.count(F.lit(1)).alias("tf")), "terms"))
+        dfs = {r["term"]: r["df"] for r in counted[-1].groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
+        vocab += [(r["term"], int(dfs[r["term"]])) for r in page if dfs[r["term"]] >= min_df][: max_features - len(vocab)]
     if not vocab:
         return spark.createDataFrame([], schema)
     import math
     idf = {t: math.log((1.0 + n) / (1.0 + dfv)) + 1.0 for t, dfv in vocab}
     terms = [t for t, _ in vocab]
     idf_map = F.create_map(*[x for t in terms for x in (F.lit(t), F.lit(idf[t]))])
-    hits = tc.filter(F.col("term").isin(terms))
+    hits = reduce(DataFrame.unionByName, counted).filter(F.col("term").isin(terms))
     w = hits.select(key, "term", (F.col("tf") * idf_map[F.col("term")]).alias("w"))
     per_doc = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("__m"))
     per_doc = per_doc.select(key, "__m", F.sqrt(F.aggregate(F.map_values("__m"), F.lit(0.0),

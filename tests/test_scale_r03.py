@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tenderlens.operators import encode as E
 from tenderlens.operators import metrics as M
+from tenderlens.operators import text as TX
 from tenderlens.plans import catalog_store as CS
 from tenderlens.plans import tender as TP
 from tenderlens.sources import store as ST
@@ -93,3 +94,31 @@ def test_stream_loads_are_not_written_by_one_task(spark, tmp_path, monkeypatch):
         if k not in last or place > last[k][0]:
             last[k] = (place, (status, flag, line))
     assert got == {k: v for k, (_, v) in last.items()}
+
+
+@pytest.mark.parametrize("min_df", [1, 2, 4])
+def test_only_frequent_terms_are_counted_per_document(spark, monkeypatch, min_df):
+    texts = [(i % 37 if i % 9 else None, " ".join([f"w{j}" for j in range(i % 11)] + [f"only{i}"] * (20 if i == 5 else 1) + ["rare", "rare"] * (i in (3, 40, 5))))
+             for i in range(60)]
+    written = []
+    keep = TX.cut_lineage
+    monkeypatch.setattr(TX, "cut_lineage", lambda d, name: written.append((name, keep(d, name))) or written[-1][1])
+    got = {(r["k"], r["term"]): r["tfidf"] for r in TX.tfidf_long(spark.createDataFrame(texts, "k long, t string"), "k", "t", 5, min_df).collect()}
+    tf = {}
+    for k, t in texts:
+        w = t.split()
+        tf.setdefault(k, Counter()).update(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    tot, df = Counter(), Counter()
+    for c in tf.values():
+        tot.update(c)
+        df.update(c.keys())
+    vocab = sorted((t for t in tot if df[t] >= min_df), key=lambda t: (-tot[t], t))[:5]
+    assert {t for _, t in got} == set(vocab)
+    idf = {t: math.log(61 / (1 + df[t])) + 1 for t in vocab}
+    for k, c in tf.items():
+        if k is None:
+            continue  # a null key finds no row of its own in the join
+        norm = math.sqrt(sum((c[t] * idf[t]) ** 2 for t in vocab))
+        assert all(got[k, t] == pytest.approx(c[t] * idf[t] / norm if norm else 0.0) for t in vocab)
+    counted = sum(d.count() for name, d in written if name == "terms")
+    assert counted < sum(len(c) for c in tf.values()) / 2
