@@ -193,16 +193,28 @@ def bin_shares_wide(binned: DataFrame, keys: list[str], granularities=GRANULARIT
     at most sum(granularities) entries -- a fixed bound -- read out into
     columns (integer keys: the lookups compare ints, not label strings).
     """
+    return read_shares(bin_maps(binned, keys, granularities, weight), keys, granularities, total_col)
+
+
+def bin_maps(binned: DataFrame, keys: list[str], granularities=GRANULARITIES, weight: str | None = None) -> DataFrame:
+    """(keys, __m, __total): the non-empty cells of each key, for joins that come before :func:`read_shares`.
+
+    A key with few rows has few cells, so a row is far smaller than with all share columns.
+    """
     counts = long_bin_counts(binned, keys, granularities, weight)
-    off = cell_offsets(granularities)
     first = granularities[0]
-    per_key = counts.groupBy(*keys).agg(
+    return counts.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("cell", "c"))).alias("__m"),
         F.sum(F.when(F.col("cell") < first, F.col("c"))).alias("__total"))
+
+
+def read_shares(maps: DataFrame, kept: list[str], granularities=GRANULARITIES, total_col: str | None = None) -> DataFrame:
+    """``kept`` and one share column per (granularity, bin) from rows of :func:`bin_maps`; no map gives NULL shares."""
+    off = cell_offsets(granularities)
     shares = [f"coalesce(__m[{off[n] + i - 1}], 0) / CAST(__total AS DOUBLE) AS {_q(target_name(n, i))}"
               for n in granularities for i in range(1, n + 1)]
     extra = [f"__total AS {_q(total_col)}"] if total_col else []
-    return per_key.selectExpr(*[_q(k) for k in keys], *shares, *extra)
+    return maps.selectExpr(*[_q(k) for k in kept], *shares, *extra)
 
 
 def wide_to_long(wide: DataFrame, keys: list[str], granularities=GRANULARITIES) -> DataFrame:

@@ -205,10 +205,13 @@ WHERE {" AND ".join(f"targets.{q(t)} IS NOT NULL" for t in TARGETS)}""")
 def drop_null_targets_q(spark, sf):
     """B6 on notices with and without bids: those without have NULL targets."""
     from tenderlens.operators.modeldata import drop_null_targets
-    n, _ = _ctx(spark, sf)
+    from tenderlens.operators.bins import read_shares
+    n, b = _ctx(spark, sf)
     from tenderlens.session import cut_lineage
+    nt = TP.clean_notices(n)
+    j = nt.select(C.key).join(TP.calculate_target(nt, TP.parsed_bids(b), maps=True), C.key, "left")
     # the wide table is written: 180 conditions on columns still to be computed would repeat their expressions
-    j = cut_lineage(TP.clean_notices(n).select(C.key).join(_targets(spark, sf), C.key, "left"), "with_null_targets")
+    j = cut_lineage(read_shares(j, [C.key]), "with_null_targets")
     return round_doubles(drop_null_targets(j, TARGETS).select(C.key, *TARGETS))
 
 

@@ -113,7 +113,8 @@ def default_edges(spark=None) -> dict:
 
 def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns = TenderColumns(),
                      edges: dict | DataFrame | None = None, granularities=GRANULARITIES,
-                     hot: dict | list | None = None, total_col: str | None = None, salt_buckets: int = 16) -> DataFrame:
+                     hot: dict | list | None = None, total_col: str | None = None, salt_buckets: int = 16,
+                     maps: bool = False) -> DataFrame:
     """H6: per-notice shares for all granularities, one column per ``NNN_iii``.
 
     Equal rates of a notice are counted first (with map-side aggregation), so what
@@ -123,6 +124,7 @@ def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns =
     Levels 2/3 use the fixed edge sets (a dict, or the edge table itself), level 0
     equal-width edges between the notice's own bounds. Level-0 notices whose range
     text has no valid pair of bounds give no targets: :func:`range_rejects` names them.
+    ``maps`` gives the rows of ``bins.bin_maps``, to be joined before they are read into columns.
     """
     edges = default_edges(nt.sparkSession) if edges is None else edges
     if isinstance(edges, DataFrame):
@@ -131,6 +133,8 @@ def calculate_target(nt: DataFrame, bids_long: DataFrame, cols: TenderColumns =
     rates = bids_long.groupBy(cols.key, cols.rate).agg(F.count(F.lit(1)).alias("__w"))
     joined = salted_join(rates, nb, cols.key, "inner", salt_buckets=salt_buckets, hot=hot or {})
     binned = B.add_bin_columns(joined, cols.rate, "__level", "__lower", "__upper", edges, granularities)
+    if maps:
+        return B.bin_maps(binned, [cols.key], granularities, weight="__w")
     return B.bin_shares_wide(binned, [cols.key], granularities, total_col=total_col, weight="__w")
 
 
@@ -227,8 +231,10 @@ def transform(notices: DataFrame, bids: DataFrame, cols: TenderColumns = TenderC
     keep = cut_lineage if materialize else (lambda d: d)
     nt = clean_notices(notices, cols)
     pb = parsed_bids(bids, cols)
-    targets = calculate_target(nt, pb, cols, edges=edges, hot=hot, total_col="n_rates")
-    base = keep(separate(nt.join(targets, cols.key, "inner"), cols))
+    # the join sorts and moves maps of a few cells, not 180 columns
+    joined = nt.join(calculate_target(nt, pb, cols, edges=edges, hot=hot, maps=True), cols.key, "inner")
+    base = B.read_shares(joined, [c for c in joined.columns if c not in ("__m", "__total")], total_col="n_rates")
+    base = keep(separate(base, cols))
     hot_cols = [cols.agency, cols.region, cols.mark]
     if form == "positions":
         from tenderlens.operators.encode import hot_index

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tenderlens.operators import bins as B
 from tenderlens.operators import encode as E
 from tenderlens.operators import metrics as M
 from tenderlens.operators import text as TX
@@ -122,3 +123,23 @@ def test_only_frequent_terms_are_counted_per_document(spark, monkeypatch, min_df
         assert all(got[k, t] == pytest.approx(c[t] * idf[t] / norm if norm else 0.0) for t in vocab)
     counted = sum(d.count() for name, d in written if name == "terms")
     assert counted < sum(len(c) for c in tf.values()) / 2
+
+
+def test_shares_are_read_after_the_join(spark, monkeypatch):
+    """A sort of rows with 180 columns is what the join's tasks held most memory for."""
+    c = TP.TenderColumns()
+    rows = [(i, "t", "a", "r", 100.0, 90.0, "+2%~-2%", 5.0, 85.0, 3, "m") for i in range(4)]
+    nt = spark.createDataFrame(rows, [c.key, c.title, c.agency, c.region, c.base, c.estimate, c.range_text, c.a_value, c.bid_rate,
+                                      c.n_bidders, c.mark])
+    bids = spark.createDataFrame([(i, f"{r}.5") for i in range(3) for r in (-1, 0, 0, 1)], [c.key, c.rate_text])
+    seen = []
+    monkeypatch.setattr("tenderlens.session.cut_lineage", lambda d, name="stage": seen.append(d) or d)
+    out = TP.transform(nt, bids)
+    lines = [x for x in _plan(seen[0]).splitlines() if "Join" in x]
+    assert "010_001" in seen[0].columns and lines
+    optimized = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "010_001" not in optimized[optimized.index("Join "):]
+    got = {r[c.key]: [r[f"010_{i:03d}"] for i in range(1, 11)] for r in out.collect()}
+    assert set(got) == {0, 1, 2} and all(sum(v) == pytest.approx(1) and max(v) == 0.5 for v in got.values())
+    left = B.read_shares(nt.select(c.key).join(TP.calculate_target(nt, TP.parsed_bids(bids), maps=True), c.key, "left"), [c.key])
+    assert left.where(f"`{c.key}` = 3").first()["100_050"] is None
