@@ -73,9 +73,14 @@ def _wide_preds(spark, sf):
 def _preds(spark, sf):
     """Long predictions (model, target, key, y, p) of the MEAN candidate."""
     t, means = _split_targets(spark, sf)
-    yl = t.filter("is_test").select(C.key, *TARGETS).unpivot([C.key], TARGETS, "target", "y")
-    p = F.create_map(*[v for x in TARGETS for v in (F.lit(x), F.lit(means[x]).cast("double"))])
-    return yl.select(F.lit("MEAN").alias("model"), "target", C.key, "y", F.element_at(p, F.col("target")).alias("p"))
+    return _long_means(t.filter("is_test"), means)
+
+
+def _long_means(test, means):
+    """A row per test row and target; the means stand beside their targets, so none is looked up by name."""
+    pairs = F.array(*[F.struct(F.lit(x).alias("target"), F.col(f"`{x}`").cast("double").alias("y"), F.lit(means[x]).cast("double").alias("p"))
+                      for x in TARGETS])
+    return test.select(C.key, F.inline(pairs)).select(F.lit("MEAN").alias("model"), "target", C.key, "y", "p")
 
 
 def _metrics(spark, sf):
