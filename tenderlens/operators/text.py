@@ -141,6 +141,20 @@ def long_to_dense(long: DataFrame, key: str, dim: int, all_keys: DataFrame | Non
     return m.select(key, arr.alias("embedding"))
 
 
+def embed_text_dense(df: DataFrame, key: str, text: str, dim: int = 64) -> DataFrame:
+    """G12 in dense form: (key, embedding array<double> of length ``dim``), one row per key, without a join.
+
+    Keys without tokens, and the null key, have zeros.
+    """
+    tok = df.select(key, F.explode_outer(tokens(F.coalesce(F.col(text), F.lit("")))).alias("tok"))
+    cnt = tok.groupBy(key, hash_bucket(F.col("tok"), dim).alias("dim")).agg(F.count("tok").alias("c"))
+    held = F.when(F.col("dim").isNotNull() & F.col(key).isNotNull(), F.struct("dim", "c"))
+    m = cnt.groupBy(key).agg(F.map_from_entries(F.collect_list(held)).alias("__m"))
+    norm = F.sqrt(F.aggregate(F.map_values("__m"), F.lit(0).cast("bigint"), lambda acc, c: acc + c * c))
+    arr = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.col("__m")[i] / F.col("__n"), F.lit(0.0)))
+    return m.select(key, "__m", norm.alias("__n")).select(key, arr.alias("embedding"))
+
+
 def embed_with(df: DataFrame, key: str, text: str, encoder, dim: int, batch_size: int = 32) -> DataFrame:
     """G12 plug-in: ``encoder()`` returns a function ``pandas.Series[str] -> list[list[float]]``.
 
@@ -170,5 +184,5 @@ def reduced_text_features(df: DataFrame, key: str, text: str, k: int = 20, dim:
                           prefix: str | None = None) -> DataFrame:
     """Hashed embedding -> centred PCA with k components -> ``PCA_<text>_<i>`` columns."""
     from tenderlens.operators.reduce import pca_reduce
-    dense = long_to_dense(embed_text_long(df, key, text, dim), key, dim, all_keys=df)
+    dense = cut_lineage(embed_text_dense(df, key, text, dim), "embeddings")  # the fit reads it several times
     return pca_reduce(dense, key, "embedding", k=k, prefix=prefix or f"PCA_{text}")
