@@ -7,7 +7,11 @@ the vector width, not by the row count).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -41,6 +45,15 @@ def column_means(df: DataFrame, c: str) -> list[float]:
     return list(m.toArray()) if m is not None else []
 
 
+def _signed(loadings: np.ndarray) -> np.ndarray:
+    """Columns whose entry of largest size is positive."""
+    out = np.array(loadings, copy=True)
+    for j in range(out.shape[1]):
+        if out[abs(out[:, j]).argmax(), j] < 0:
+            out[:, j] = -out[:, j]
+    return out
+
+
 def pca_fit(df: DataFrame, c: str, k: int):
     """Centred PCA: returns (mean, loadings d x k with sign fixed, explained variance)."""
     v = _as_vector(df.select(c).na.drop(), c)
@@ -50,11 +63,7 @@ def pca_fit(df: DataFrame, c: str, k: int):
     centred = v.select(array_to_vector(F.zip_with(vector_to_array(c), F.array(*[F.lit(x) for x in mean]),
                                                   lambda a, m: a - m)).alias(c))
     model = PCA(k=k, inputCol=c, outputCol="__pca").fit(centred)
-    pc = np.array(model.pc.toArray(), copy=True)  # d x k
-    for j in range(k):
-        col = pc[:, j]
-        if col[abs(col).argmax()] < 0:
-            pc[:, j] = -col
+    pc = _signed(model.pc.toArray())  # d x k
     return mean, pc, list(model.explainedVariance.toArray())
 
 
@@ -119,16 +128,71 @@ def svd_reduce(df: DataFrame, key: str, c: str, k: int = 20, prefix: str = "SVD"
     return df.select(key, *outs)
 
 
+def centred_products(df: DataFrame, cols: list[str], around: list[float]) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, sums, sums of products) of double columns less ``around``, in one pass without a vector per row.
+
+    A task sends one row per pair of columns, whatever its number of rows.
+    """
+    shift, width = np.array(around, dtype=float), len(cols)
+    a, b = np.triu_indices(width)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums, products = 0, np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - shift
+            n, sums, products = n + len(x), sums + x.sum(axis=0), products + x.T @ x
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(([-1], np.full(width, -1), a)), pa.int32()),
+                 pa.array(np.concatenate(([-1], np.arange(width), b)), pa.int32()),
+                 pa.array(np.concatenate(([float(n)], sums, products[a, b])), pa.float64())], names=["i", "j", "v"])
+
+    rows = (df.select(*[F.col(f"`{c}`") for c in cols]).mapInArrow(add, "i int, j int, v double")
+            .groupBy("i", "j").agg(F.sum("v").alias("v")).collect())
+    n, sums, products = 0, np.zeros(width), np.zeros((width, width))
+    for i, j, v in rows:
+        if i < 0 and j < 0:
+            n = int(v)
+        elif i < 0:
+            sums[j] = v
+        else:
+            products[i, j] = products[j, i] = v
+    return n, sums, products
+
+
+def add_pca_numeric(df: DataFrame, cols: list[str], k: int = 3,
+                    exclude_prefixes=("TFIDF_", "dummy_", "BGE_", "PCA_"), prefix: str = "PCA") -> DataFrame:
+    """``<prefix>_1..k`` of the numeric features (fill 0, min-max), k = min(3, n-1), beside a row's other columns.
+
+    Least, largest and mean values come from one pass, the covariance from a second; a
+    row's scores are sums over its own columns. Fewer than 5 columns add nothing.
+    """
+    cols = [c for c in cols if not c.startswith(tuple(exclude_prefixes))]
+    if len(cols) < 5:
+        return df
+    x = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in cols]
+    seen = df.agg(*[e for i, v in enumerate(x) for e in (F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"), F.avg(v).alias(f"m{i}"))]).first()
+    k = min(k, len(cols) - 1)
+    if seen["lo0"] is None:  # no rows
+        return df.withColumns({f"{prefix}_{j + 1}": F.lit(None).cast("double") for j in range(k)})
+    low, span = [seen[f"lo{i}"] for i in range(len(cols))], [seen[f"hi{i}"] - seen[f"lo{i}"] for i in range(len(cols))]
+    names = [f"__scaled_{i}" for i in range(len(cols))]
+    scaled = {names[i]: F.lit(0.0) if span[i] == 0 else (v - F.lit(low[i])) / F.lit(span[i]) for i, v in enumerate(x)}
+    around = [0.0 if s == 0 else (seen[f"m{i}"] - low[i]) / s for i, s in enumerate(span)]
+    n, sums, products = centred_products(df.select(*[e.alias(c) for c, e in scaled.items()]), names, around)
+    mean = [m + s / n for m, s in zip(around, sums.tolist())]
+    values, vectors = np.linalg.eigh((products - np.outer(sums, sums) / n) / max(1, n - 1))
+    pc = _signed(vectors[:, np.argsort(-values, kind="stable")[:k]])
+    scores = {f"{prefix}_{j + 1}": reduce(lambda acc, e: acc + e, [(F.col(c) - F.lit(m)) * F.lit(w) for c, m, w in
+                                                                  zip(names, mean, pc[:, j].tolist())]) for j in range(k)}
+    return df.withColumns(scaled).withColumns(scores).drop(*names)
+
+
 def pca_numeric(df: DataFrame, key: str, cols: list[str] | None = None, k: int = 3,
                 exclude_prefixes=("TFIDF_", "dummy_", "BGE_", "PCA_")) -> DataFrame:
-    """Numeric features (fill 0, min-max) -> PCA with k = min(3, n-1); needs >= 5 columns."""
+    """(key, ``PCA_1..k``) of the numeric features; see :func:`add_pca_numeric`."""
     from tenderlens.operators.clean import numeric_columns
-    from tenderlens.operators.scale import apply_minmax, minmax_stats
-    cols = [c for c in (numeric_columns(df, (key,)) if cols is None else cols)
-            if not c.startswith(tuple(exclude_prefixes))]
-    if len(cols) < 5:
-        return df.select(key)
-    d = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    d = apply_minmax(d, minmax_stats(d, cols), cols)
-    d = d.select(key, F.array(*cols).alias("__v"))
-    return pca_reduce(d, key, "__v", k=min(k, len(cols) - 1), prefix="PCA")
+    cols = numeric_columns(df, (key,)) if cols is None else cols
+    d = add_pca_numeric(df.select(key, *[F.col(f"`{c}`").alias(f"__in_{c}") for c in cols]),
+                        [f"__in_{c}" for c in cols if not c.startswith(tuple(exclude_prefixes))], k)
+    return d.select(key, *[c for c in d.columns if c != key and not c.startswith("__in_")])

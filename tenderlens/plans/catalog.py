@@ -32,8 +32,11 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            # multiply, round to an integer, divide: the same IEEE steps in both engines
-            exprs.append(f"round(CAST({name} AS DOUBLE) * {scale}, 0) / {scale} + CAST(0.0 AS DOUBLE) AS {name}")
+            # multiply, round to an integer, divide: the same IEEE steps in both engines; halves go away from zero
+            # as with round(x, 0), which would make a decimal of every value
+            x = f"(CAST({name} AS DOUBLE) * {scale})"
+            whole = f"CASE WHEN abs({x} - rint({x})) = 0.5D THEN {x} + 0.5D * signum({x}) ELSE rint({x}) END"
+            exprs.append(f"({whole}) / {scale} + CAST(0.0 AS DOUBLE) AS {name}")
         else:
             exprs.append(name)
     return df.selectExpr(*exprs)

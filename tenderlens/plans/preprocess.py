@@ -8,9 +8,9 @@ between dates) -> hook -> named price ratios.
 
 The cleaned table is written once (``cut_lineage``) with a row number, so the
 statistics of the later stages read it and not the stages before. Blocks of
-features computed aside (TF-IDF, PCA) are joined back on that number: a row
-meets its own features only, whatever the key repeats. Keys are never filled,
-scaled or retyped.
+features computed aside (TF-IDF) are joined back on that number: a row
+meets its own features only, whatever the key repeats; PCA scores are sums over a
+row's own columns. Keys are never filled, scaled or retyped.
 """
 
 from __future__ import annotations
@@ -121,9 +121,8 @@ def features(df: DataFrame, roles: ColumnRoles, k_best: int = 10, advanced: bool
         if len(cand) >= MIN_FEATURES and d.limit(MIN_ROWS).count() >= MIN_ROWS:
             d = select_k_best(d, cand, targets[0], k_best)
     if advanced:
-        from tenderlens.operators.reduce import pca_numeric
-        cols = CL.numeric_columns(d, _own(d, roles))
-        d = d.join(pca_numeric(d.select(ROW, *cols), ROW, cols), ROW, "left")
+        from tenderlens.operators.reduce import add_pca_numeric
+        d = add_pca_numeric(d, CL.numeric_columns(d, _own(d, roles)))
     d = pairwise_ratio_diff(d)
     return days_between_all(d)
 
